@@ -17,12 +17,12 @@ from ledgerlake.operators.aggregates import group_mode
 from ledgerlake.operators.dedup import latest_by
 from ledgerlake.operators.history import present_history, scd2_from_log
 from ledgerlake.plans import facts, features, history, reports, staging, usage
+from ledgerlake.plans.ingest_catalog import INGEST_QUERIES
 from ledgerlake.plans.segmentation import segment_customers
 from ledgerlake.sources import fixtures as fx
 from ledgerlake.sources.raw import to_raw
 
-RUN1 = RunContext("2024-03-01 00:00:00")
-RUN2 = RunContext("2024-03-02 00:00:00")
+from ledgerlake.plans.runs import RUN1, RUN2  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -280,3 +280,4 @@ def _build() -> dict[str, Query]:
 
 
 QUERIES: dict[str, Query] = _build()
+QUERIES.update(INGEST_QUERIES)

@@ -424,3 +424,36 @@ def _oracle() -> dict[str, str]:
 
 
 ORACLE: dict[str, str] = _oracle()
+
+
+# ---- ingest side ----------------------------------------------------------------------------
+TX_KEPT = "id % 13 <> 0 AND id % 17 <> 0"
+STG_TX_COLS = ("CAST(id AS VARCHAR) AS transaction_id, CAST(account_id AS VARCHAR) AS account_id, amount, "
+               "txn_type AS transaction_type, CAST(related_account_id AS VARCHAR) AS related_account_id, status, "
+               "created_at AS transaction_time")
+ORACLE_INGEST = {
+    "after_image_extract": q(f"SELECT {STG_TX_COLS}, id AS _ts_ms FROM transactions WHERE {TX_KEPT}", "transactions"),
+    "quarantined_events": q("SELECT 'banking_server.public.transactions' AS topic, 'not json ' || CAST(id AS VARCHAR) AS value "
+                            "FROM transactions WHERE id % 19 = 0", "transactions"),
+    "normalize_changes": q("""SELECT 'customers' AS change_table, CASE WHEN id % 6 = 0 THEN 'staging' ELSE 'public' END AS change_schema,
+       op, 'banking_server.public.customers' AS topic,
+       CASE WHEN op = 'd' THEN NULL ELSE id END AS after_id, CASE WHEN op = 'd' THEN NULL ELSE email END AS after_email,
+       id AS before_id
+FROM (SELECT *, CASE WHEN id % 10 = 7 THEN 'r' WHEN id % 3 = 0 THEN 'c' WHEN id % 3 = 1 THEN 'u' ELSE 'd' END AS op
+      FROM customers WHERE id % 23 <> 0 AND id % 11 <> 0) c""", "customers"),
+    "lake_refresh": q("SELECT * EXCLUDE (load_timestamp) FROM stg_service_usage", "stg_service_usage"),
+    "load_audit": q("SELECT 'service_usage' AS \"table\", count(*) AS \"rows\" FROM service_usage", "service_usage"),
+    "stream_to_lake": q(f"SELECT {STG_TX_COLS} FROM transactions WHERE {TX_KEPT}", "transactions"),
+    "stream_upsert": q(f"""SELECT {STG_TX_COLS}, _ts_ms FROM (
+  SELECT id, account_id, txn_type, CASE WHEN id % 3 = 0 THEN amount + 1 ELSE amount END AS amount, related_account_id, status,
+         created_at, id + 1000000000000 AS _ts_ms FROM transactions WHERE {TX_KEPT}
+  UNION ALL
+  SELECT t.id, t.account_id, t.txn_type, t.amount, t.related_account_id, t.status, t.created_at, t.id AS _ts_ms
+  FROM transactions_b1 t WHERE t.{TX_KEPT.replace(' AND ', ' AND t.')}
+    AND NOT (t.id % 13 <> 0 AND t.id % 17 <> 0 AND t.id IN (SELECT id FROM transactions WHERE {TX_KEPT}))
+) x""", "transactions", "transactions_b1"),
+    "safe_number_cast": """SELECT event_id, TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(38,0)) AS value_0,
+       TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(38,1)) AS value_1, TRY_CAST(event_type AS DECIMAL(38,0)) AS type_number,
+       TRY_CAST('-' || CAST(value AS VARCHAR) AS DECIMAL(38,0)) AS negated_0 FROM events""",
+}
+ORACLE.update(ORACLE_INGEST)
