@@ -84,7 +84,8 @@ def canonical_id(v: ColumnOrName, path: str) -> Column:
     return (
         F.when(F.is_variant_null(x) | x.isNull(), F.lit(None).cast("string"))
         .when(kind == "STRING", F.variant_get(x, "$", "string"))
-        .when(F.isnan(as_double) | F.isnull(as_double), F.variant_get(x, "$", "string"))
+        .when(F.isnan(as_double), F.lit(None).cast("string"))
+        .when(F.isnull(as_double), F.variant_get(x, "$", "string"))
         .when(as_double == F.floor(as_double), F.try_variant_get(x, "$", "bigint").cast("string"))
         .otherwise(F.variant_get(x, "$", "string"))
     ).alias(path.split(".")[-1])

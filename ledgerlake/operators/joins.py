@@ -68,4 +68,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     pk = parent_key or key
     parents = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
     kids = child.filter(F.col(key).isNotNull())
-    return kids.join(parents, kids[key] == parents["_pk"], "left_anti")
+    left, right = kids[key], parents["_pk"]
+    if kids.schema[key].dataType != parents.schema["_pk"].dataType:  # e.g. text vs integer ids (H14)
+        left, right = left.cast("string"), right.cast("string")
+    return kids.join(parents, left == right, "left_anti")

@@ -1,6 +1,6 @@
 """Data-quality expectations: not_null, unique, relationships, row predicates, accepted values.
 
-`run_checks` returns one row per expectation: (check, dataset, column, failed_rows).
+`run_checks` returns one row per expectation: (check_name, dataset, column_name, failed_rows).
 All not_null checks of one dataset share a single aggregation pass; predicates and
 accepted values likewise. `unique` counts duplicated key values (one shuffle per column);
 `relationships` counts child rows without a parent (one anti join).
@@ -82,9 +82,9 @@ def _failed_expr(exp: Expectation) -> Column:
 
 def _row(exp: Expectation, dataset: str, failed: Column) -> Column:
     return F.struct(
-        F.lit(exp.label).alias("check"),
+        F.lit(exp.label).alias("check_name"),
         F.lit(dataset).alias("dataset"),
-        F.lit(exp.column).alias("column"),
+        F.lit(exp.column).alias("column_name"),
         failed.cast("bigint").alias("failed_rows"),
     )
 
@@ -108,7 +108,7 @@ def run_checks(
             n = violations(df, e, parents).agg(F.count(F.lit(1)).alias("n"))
             parts.append(n.select(_row(e, dataset, F.col("n")).alias("r")).select("r.*"))
     if not parts:
-        return spark.createDataFrame([], "check string, dataset string, column string, failed_rows bigint")
+        return spark.createDataFrame([], "check_name string, dataset string, column_name string, failed_rows bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -236,6 +236,40 @@ def report_top_services(spark, sf):
     return reports.report_top_services(agg_service_frequency(spark, sf), 10)
 
 
+def quality_datasets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The datasets the checks read, as of the first run."""
+    return {
+        "stg_services": stg(spark, sf, "services"),
+        "stg_service_usage": stg(spark, sf, "service_usage"),
+        "dim_services": _dim_services_df(spark, sf),
+        "fct_service_usage": fct_service_usage(spark, sf),
+        "agg_service_frequency": agg_service_frequency(spark, sf),
+        "stg_customers": stg(spark, sf, "customers"),
+        "stg_accounts": _acc(spark, sf),
+        "stg_transactions": _tx(spark, sf),
+        "dim_customers": dim_customers(spark, sf),
+        "dim_accounts": dim_accounts(spark, sf),
+        "fact_transactions": fact_transactions(spark, sf),
+        "stg_customer_profiles": stg(spark, sf, "customer_profiles"),
+        "stg_customer_segments": stg(spark, sf, "customer_segments"),
+        "dim_customer_profile": dim_customer_profile(spark, sf),
+        "fact_customer_segment": fact_customer_segment(spark, sf),
+        "fact_customer_activity": fact_customer_activity(spark, sf),
+    }
+
+
+def quality_declared(spark, sf):
+    from ledgerlake.plans.checks import declared_checks
+
+    return declared_checks(quality_datasets(spark, sf))
+
+
+def quality_ddl(spark, sf):
+    from ledgerlake.plans.checks import ddl_checks
+
+    return ddl_checks(quality_datasets(spark, sf))
+
+
 def _build() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for t in staging.STAGING:
@@ -274,6 +308,8 @@ def _build() -> dict[str, Query]:
             "report_segment_counts": report_segment_counts,
             "report_top_risk": partial(report_top_risk, n=10),
             "report_top_risk_5": partial(report_top_risk, n=5),
+            "quality_declared": quality_declared,
+            "quality_ddl": quality_ddl,
         }
     )
     return q

@@ -59,16 +59,20 @@ def fact_customer_activity(
     mode="recompute": the target's last day is rebuilt too and merged (late rows of that day
     are counted).
     """
-    daily = customer_daily_activity(tx, accounts)
     if mode == "strict":
-        batch = above_watermark(daily, target, "activity_date", floor=EPOCH_DATE)
-        return append(target, batch)
+        return append(target, fact_customer_activity_batch(tx, accounts, target))
+    daily = customer_daily_activity(tx, accounts)
     if mode == "recompute":
         batch = above_watermark(daily, target, "activity_date", floor=EPOCH_DATE, inclusive=True)
         return upsert(target, batch, ["customer_id", "activity_date"])
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def fact_customer_activity_batch(tx: DataFrame, accounts: DataFrame, target: DataFrame | None) -> DataFrame:
+    """Strict mode's new rows: days strictly after the target's last day."""
+    return above_watermark(customer_daily_activity(tx, accounts), target, "activity_date", floor=EPOCH_DATE)
+
+
 def fact_customer_segment(segments: DataFrame, target: DataFrame | None) -> DataFrame:
     """Latest segment per customer (assigned_at desc, NULLS FIRST), above the target's last
     assignment, merged on customer_id."""

@@ -457,3 +457,53 @@ FROM (SELECT *, CASE WHEN id % 10 = 7 THEN 'r' WHEN id % 3 = 0 THEN 'c' WHEN id
        TRY_CAST('-' || CAST(value AS VARCHAR) AS DECIMAL(38,0)) AS negated_0 FROM events""",
 }
 ORACLE.update(ORACLE_INGEST)
+
+
+# ---- data-quality checks -------------------------------------------------------------------
+cte("dim_customers_t", f"SELECT customer_id, first_name, last_name, email, created_at, TIMESTAMP '{RUN1}' AS effective_from, "
+    "CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current FROM stg_customers", "stg_customers")
+cte("dim_accounts_t", present_sql("acc_h1", ACC_COLS), "acc_h1")
+cte("fact_tx", fact_tx_sql("stg_transactions", "stg_accounts", RUN1), "stg_transactions", "stg_accounts")
+QUALITY_SOURCES = {
+    "stg_services": "stg_services", "stg_service_usage": "stg_service_usage", "dim_services": "dim_services",
+    "fct_service_usage": "fct_service_usage", "agg_service_frequency": "agg_service_frequency",
+    "stg_customers": "stg_customers", "stg_accounts": "stg_accounts", "stg_transactions": "stg_transactions",
+    "dim_customers": "dim_customers_t", "dim_accounts": "dim_accounts_t", "fact_transactions": "fact_tx",
+    "stg_customer_profiles": "stg_customer_profiles", "stg_customer_segments": "stg_customer_segments",
+    "dim_customer_profile": "dim_profile", "fact_customer_segment": "fact_segment", "fact_customer_activity": "activity",
+}
+
+
+def _check_sql(dataset: str, exp) -> str:
+    src = QUALITY_SOURCES[dataset]
+    c = exp.column
+    head = f"SELECT '{exp.label}' AS check_name, '{dataset}' AS dataset, '{c}' AS column_name, "
+    if exp.check == "not_null":
+        return head + f"count(*) FILTER (WHERE {c} IS NULL) AS failed_rows FROM {src}"
+    if exp.check == "unique":
+        return head + f"(SELECT count(*) FROM (SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) d) AS failed_rows"
+    if exp.check == "relationships":
+        parent = QUALITY_SOURCES[exp.parent]
+        return head + (f"(SELECT count(*) FROM {src} k WHERE k.{c} IS NOT NULL AND CAST(k.{c} AS VARCHAR) NOT IN "
+                       f"(SELECT CAST({exp.parent_column} AS VARCHAR) FROM {parent} WHERE {exp.parent_column} IS NOT NULL)) AS failed_rows")
+    if exp.check == "predicate":
+        return head + f"count(*) FILTER (WHERE NOT coalesce({exp.predicate}, TRUE)) AS failed_rows FROM {src}"
+    if exp.check == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in exp.values)
+        return head + f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})) AS failed_rows FROM {src}"
+    raise ValueError(exp.check)
+
+
+def _suite_sql(suite) -> str:
+    needs = sorted({QUALITY_SOURCES[d] for d in suite} | {QUALITY_SOURCES[e.parent] for es in suite.values() for e in es if e.parent})
+    body = "\nUNION ALL\n".join(_check_sql(d, e) for d, es in suite.items() for e in es)
+    return q(body, *needs)
+
+
+def _quality_oracle() -> dict[str, str]:
+    from ledgerlake.plans.checks import DDL, DECLARED
+
+    return {"quality_declared": _suite_sql(DECLARED), "quality_ddl": _suite_sql(DDL)}
+
+
+ORACLE.update(_quality_oracle())

@@ -28,16 +28,21 @@ FCT_COLUMNS = [
 ]
 
 
-def fct_service_usage(usage: DataFrame, dim_services: DataFrame, target: DataFrame | None, ctx: RunContext) -> DataFrame:
-    """Usage events enriched with the *current* service attributes; incremental on usage_id.
-
-    The watermark is insert-only: a later change to an old usage id never arrives (H12).
-    Since usage_id is the key and strictly above the target's max, the merge is an append.
-    """
+def fct_service_usage_batch(
+    usage: DataFrame, dim_services: DataFrame, target: DataFrame | None, ctx: RunContext
+) -> DataFrame:
+    """New usage rows above the target's max usage_id, enriched with the *current* service
+    attributes. The watermark is insert-only: a later change to an old id never arrives (H12)."""
     batch = above_watermark(usage, target, "usage_id", floor=0)
     e = enrich_current(batch, dim_services, "service_id", ["service_code", "service_name", "category"])
     e = e.withColumn("usage_date", event_date("used_at")).withColumn("load_timestamp", ctx.ts())
-    return append(target, e.select(*FCT_COLUMNS))
+    return e.select(*FCT_COLUMNS)
+
+
+def fct_service_usage(usage: DataFrame, dim_services: DataFrame, target: DataFrame | None, ctx: RunContext) -> DataFrame:
+    """Full contents after the run. usage_id is the key and the batch is strictly above the
+    target's max, so the merge is an append."""
+    return append(target, fct_service_usage_batch(usage, dim_services, target, ctx))
 
 
 def agg_service_frequency(fct: DataFrame) -> DataFrame:
