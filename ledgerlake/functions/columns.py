@@ -77,18 +77,13 @@ def whole_days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 
 def canonical_id(v: ColumnOrName, path: str) -> Column:
-    """Key text of a VARIANT field: integral numbers without '.0', NaN → NULL, text as is (H7)."""
-    x = F.variant_get(_c(v), path, "variant")
-    kind = F.schema_of_variant(x)
-    as_double = F.try_variant_get(x, "$", "double")
-    return (
-        F.when(F.is_variant_null(x) | x.isNull(), F.lit(None).cast("string"))
-        .when(kind == "STRING", F.variant_get(x, "$", "string"))
-        .when(F.isnan(as_double), F.lit(None).cast("string"))
-        .when(F.isnull(as_double), F.variant_get(x, "$", "string"))
-        .when(as_double == F.floor(as_double), F.try_variant_get(x, "$", "bigint").cast("string"))
-        .otherwise(F.variant_get(x, "$", "string"))
-    ).alias(path.split(".")[-1])
+    """Key text of a VARIANT field (H7): integral numbers without a fraction (a double 12.0
+    and a JSON 12 both give '12', a double 1.2E7 gives '12000000'), NaN → NULL, text as is.
+    Each variant lookup is referenced once, so the expression stays cheap when inlined."""
+    text = F.variant_get(_c(v), path, "string")
+    scientific = F.try_variant_get(_c(v), path, "bigint").cast("string")
+    plain = F.regexp_replace(text, r"^(-?[0-9]+)\.0+$", "$1")
+    return F.nullif(F.when(text.contains("E") & text.rlike(r"^-?[0-9.]+E[0-9]+$"), scientific).otherwise(plain), F.lit("NaN"))
 
 
 def table_of_topic(topic: ColumnOrName) -> Column:

@@ -43,6 +43,18 @@ def extract(df: DataFrame, spec: dict[str, tuple[str, str]], v: str = "v", keep:
     return df.select(*cols, *[F.col(k) for k in keep if k in df.columns])
 
 
+def compute_once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add expensive columns (e.g. a JSON parse) that are evaluated once per row.
+
+    A plain projection of such a column is re-inlined by the optimizer into every filter
+    pushed below it and every expression that reads it, so one parse can turn into ten. The
+    one-row `inline(array(struct(...)))` generator is a boundary Catalyst neither inlines
+    across nor pushes filters through; downstream expressions read an attribute.
+    """
+    packed = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
+    return df.select("*", F.inline(packed))
+
+
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
 

@@ -31,17 +31,25 @@ def attach_customer(
     key: str = "account_id",
     account_key: str = "account_id",
     out: str = "customer_id",
+    null_buckets: int | None = None,
 ) -> DataFrame:
     """`facts ⟕ accounts` on the account id, adding the owning customer.
 
-    Orphans keep a NULL customer. Rows whose account id is NULL cannot match, so they skip
-    the join instead of all hashing to one reducer; both halves are unioned back.
+    Orphans keep a NULL customer. A NULL account id cannot match, but in a plain shuffle
+    join all such rows would hash to one reducer; here they join on a (flag, salt) key that
+    spreads them over `null_buckets` partitions and never matches an account. The salt is a
+    hash of the row, so retries see the same value.
     """
-    owners = accounts.select(F.col(account_key).alias("_acct"), F.col(out))
-    keyed = facts.filter(F.col(key).isNotNull())
-    joined = keyed.join(owners, keyed[key] == owners["_acct"], "left").drop("_acct")
-    unkeyed = facts.filter(F.col(key).isNull()).withColumn(out, F.lit(None).cast(owners.schema[out].dataType))
-    return joined.unionByName(unkeyed)
+    n = null_buckets or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = F.col(key)
+    ktype = facts.schema[key].dataType
+    salt = (F.abs(F.xxhash64(*[F.col(c) for c in facts.columns])) % n).cast(ktype)
+    left = facts.withColumn("_null_key", k.isNull()).withColumn("_jk", F.coalesce(k, salt))
+    owners = accounts.select(
+        F.lit(False).alias("_owner_null"), F.col(account_key).cast(ktype).alias("_acct"), F.col(out)
+    )
+    cond = (left["_null_key"] == owners["_owner_null"]) & (left["_jk"] == owners["_acct"])
+    return left.join(owners, cond, "left").drop("_null_key", "_jk", "_owner_null", "_acct")
 
 
 def current_rows(history: DataFrame, flag: str = "is_current") -> DataFrame:

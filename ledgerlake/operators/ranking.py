@@ -40,15 +40,19 @@ def global_rank(
     descending: bool = True,
     nulls_first: bool | None = None,
     dense: bool = False,
-    local_limit: int = LOCAL_RANK_VALUES,
+    local_limit: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Competition rank (ties share, gaps follow) or dense rank of `col` over the whole table."""
+    """Competition rank (ties share, gaps follow) or dense rank of `col` over the whole table.
+
+    Default: range-partitioned prefix sums over per-value counts (no job ahead of the query).
+    With `local_limit`, a bounded count check first decides whether one window suffices.
+    """
     weight = F.lit(1) if dense else F.count(F.lit(1))
     counts = df.groupBy(col).agg(weight.cast("bigint").alias("_n"))
     key = _sort_key(col, descending, nulls_first)
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    if fits(counts, local_limit):
+    if local_limit is not None and fits(counts, local_limit):
         ranks = counts.withColumn(out, F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1)
         ranks = F.broadcast(ranks.select(F.col(col).alias("_rank_key"), out))
     else:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import safe_number
+from ledgerlake.operators.extract import compute_once
 from ledgerlake.plans import staging
 from ledgerlake.plans.runs import RUN1
 from ledgerlake.session import scratch_path
@@ -92,14 +93,14 @@ def realtime_payloads(spark: SparkSession, sf: str) -> DataFrame:
     ]
     body = F.struct(*fields)
     payload = F.when(i % 4 == 0, F.to_json(F.struct(body.alias("data")))).otherwise(F.to_json(body))
-    return c.select(F.parse_json(payload).alias("j"))
+    return compute_once(c, j=F.parse_json(payload)).select("j")
 
 
 def normalize_changes_query(spark: SparkSession, sf: str) -> DataFrame:
     """Normalize, guard, route; the envelope is read back for comparison."""
     env = normalize_changes(realtime_payloads(spark, sf), F.lit(0))
     routed = route(only_tables(env, ["customers", "accounts", "transactions"]))
-    parsed = routed.select("table", "topic", F.parse_json("envelope").alias("_j"))
+    parsed = compute_once(routed.select("table", "topic", "envelope"), _j=F.parse_json("envelope"))
     j = F.col("_j")
     return parsed.select(
         F.col("table").alias("change_table"),

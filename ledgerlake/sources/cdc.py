@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.columns import op_code, table_of_topic, topic_name
+from ledgerlake.operators.extract import compute_once
 from ledgerlake.schemas import DEFAULT_SCHEMA, DEFAULT_TOPIC_PREFIX, TABLES
 
 REALTIME_CONNECTOR = "realtime"
@@ -68,8 +69,9 @@ def read_changes(
 
 
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
-    """Parse the JSON text into `j: VARIANT`; text that is not JSON gives NULL (see `quarantine`)."""
-    return df.withColumn("j", F.try_parse_json(F.col(value)))
+    """Parse the JSON text into `j: VARIANT` once per event; text that is not JSON gives NULL
+    (see `quarantine`)."""
+    return compute_once(df, j=F.try_parse_json(F.col(value)))
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
@@ -94,12 +96,15 @@ def after_image(
     before-image in `v` and `_op = 'd'`. `wrapped=False` reads bare envelopes (no `payload`).
     """
     root = "$.payload" if wrapped else "$"
-    after = F.variant_get("j", f"{root}.after", "variant")
-    before = F.variant_get("j", f"{root}.before", "variant")
+    base = compute_once(
+        decoded.filter(F.col("j").isNotNull()),
+        _after=F.variant_get("j", f"{root}.after", "variant"),
+        _before=F.variant_get("j", f"{root}.before", "variant"),
+    )
+    after, before = F.col("_after"), F.col("_before")
     op = F.try_variant_get("j", f"{root}.op", "string")
     ts_ms = F.try_variant_get("j", f"{root}.ts_ms", "bigint")
     has_after = ~_empty_or_null(after)
-    base = decoded.filter(F.col("j").isNotNull())
     if keep_deletes:
         body = F.when(has_after, after).otherwise(before)
         keep = has_after | ((op == "d") & ~_empty_or_null(before))
@@ -141,8 +146,9 @@ def normalize_changes(
     """
     p = F.col(payload)
     wrapped = F.variant_get(p, "$.data", "variant")
-    # staged projections: each value is computed once per row and referenced by name
-    d = df.select(F.when(_truthy_object(wrapped), wrapped).otherwise(p).alias("_data"))
+    # each stage is computed once per row and referenced by name
+    d = compute_once(df.select(p), _wrapped=wrapped)
+    d = compute_once(d, _data=F.when(_truthy_object(F.col("_wrapped")), F.col("_wrapped")).otherwise(p)).select("_data")
     j = F.col("_data")
     d = d.select(
         F.coalesce(_text(j, "$.eventType"), _text(j, "$.event"), _text(j, "$.type")).alias("_event"),

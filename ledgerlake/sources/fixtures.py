@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import broadcast_if_small
 from ledgerlake.plans.segmentation import segment_customers
 from ledgerlake.schemas import CHANNELS, DEFAULT_CURRENCY, DEFAULT_TXN_STATUS, TXN_TYPES
 
@@ -39,8 +38,29 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_SPLITS: dict[str, int] = {}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return ensure_parallelism(df, key=path) if spread else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
+    """Spread an under-split input (e.g. one file of one row group) over the cluster's cores.
+
+    Checked at planning time from the scan's splits (memoized per immutable input path);
+    inputs that already have enough splits — the normal case for large tables — are
+    returned unchanged, without a shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    splits = _SPLITS.get(key) if key else None
+    if splits is None:
+        splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+        if key:
+            _SPLITS[key] = splits
+    return df if splits >= target else df.repartition(target)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +127,7 @@ def services(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def service_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
-    codes = broadcast_if_small(_event_type_codes(spark, sf_dir), 100_000)
+    codes = _event_type_codes(spark, sf_dir)  # one row per event type; AQE broadcasts on its measured size
     j = e.join(codes, "event_type", "left")
     k = F.get_json_object("props", "$.k").cast("bigint")
     eid = F.col("event_id")
@@ -156,7 +176,8 @@ def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "lineitem")
+    """lineitem as a versioned row log; its consumers shuffle by key right away."""
+    return read(spark, sf_dir, "lineitem", spread=False)
 
 
 ENTITIES = {
