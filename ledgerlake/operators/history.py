@@ -119,22 +119,57 @@ def scd2_from_log(
     order: Sequence[str],
     check_cols: Sequence[str],
     valid_from: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """History from a whole change log in one pass (backfill form of repeated check runs).
 
-    Rows are ordered per key by `order` (ascending, total order expected); a row opens a
-    version when its check columns differ from the previous row's; a version ends where the
-    next version starts. Output: log columns + valid_from, valid_to, is_current.
+    Rows are ordered per key by `order` (ascending, NULLS FIRST; a total order expected); a
+    row opens a version when its check columns differ from the previous row's; a version ends
+    where the next version of the key starts. Output: log columns + valid_from, valid_to,
+    is_current.
+
+    Skew-safe: the log is range-partitioned on (key, order), so a key holding a large share
+    of the rows spans several partitions; neighbours are found inside each partition and
+    across partition edges through one boundary row per partition (a table with at most
+    `partitions` rows, broadcast). The range-partitioned log is checkpointed (to the
+    session's `spark.checkpoint.dir`) so every branch sees the same partition ids and the
+    range exchange runs once.
     """
+    from ledgerlake.session import ensure_checkpoint_dir
+
     vf = valid_from or order[0]
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    n = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = log.columns
+    sort_key = [F.col(c).asc_nulls_first() for c in (key, *order)]
+    pos = F.struct(*[F.col(c) for c in (key, *order)])
     sig = F.struct(*[F.col(c) for c in check_cols])
-    prev = F.lag(sig).over(w)
-    marked = log.withColumn("_first", F.row_number().over(w) == 1).withColumn("_prev", prev)
-    versions = marked.filter(F.col("_first") | ~sig.eqNullSafe(F.col("_prev"))).drop("_first", "_prev")
-    nxt = F.lead(F.col(vf)).over(w)
-    out = versions.withColumn("valid_from", F.col(vf).cast("timestamp_ntz")).withColumn(
-        "valid_to", nxt.cast("timestamp_ntz")
+
+    ensure_checkpoint_dir(log.sparkSession)
+    ranged = log.repartitionByRange(n, *sort_key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    w = Window.partitionBy("_pid", key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    local = ranged.withColumn("_prev", F.lag(sig).over(w)).withColumn("_first_local", F.row_number().over(w) == 1)
+
+    # last row of every partition, carried into the next non-empty one
+    last = ranged.groupBy("_pid").agg(F.max_by(F.struct(F.col(key).alias("k"), sig.alias("s")), pos).alias("_last"))
+    carry = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_carry"))
+    j = local.join(F.broadcast(carry), "_pid", "left")
+    continues = F.col("_first_local") & F.coalesce(F.col("_carry.k").eqNullSafe(F.col(key)), F.lit(False))
+    prev = F.when(continues, F.col("_carry.s")).otherwise(F.col("_prev"))
+    is_first = F.col("_first_local") & ~continues
+    versions = j.filter(is_first | ~sig.eqNullSafe(prev)).select(*cols, "_pid")
+
+    # valid_to: next version of the key, inside the partition or in a later one
+    w2 = Window.partitionBy("_pid", key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    firsts = versions.groupBy("_pid").agg(
+        F.min_by(F.struct(F.col(key).alias("k"), F.col(vf).alias("f")), pos).alias("_fk")
+    )
+    nexts = firsts.select("_pid", F.lead("_fk").over(Window.orderBy("_pid")).alias("_next"))
+    v2 = versions.withColumn("_lead", F.lead(F.col(vf)).over(w2)).join(F.broadcast(nexts), "_pid", "left")
+    following = F.when(F.col("_next.k").eqNullSafe(F.col(key)), F.col("_next.f"))
+    out = v2.select(
+        *cols,
+        F.col(vf).cast("timestamp_ntz").alias("valid_from"),
+        F.coalesce(F.col("_lead"), following).cast("timestamp_ntz").alias("valid_to"),
     )
     return out.withColumn("is_current", F.col("valid_to").isNull())
 

@@ -151,3 +151,26 @@ def test_scd2_runs_equal_history_from_log(spark):
     log = spark.createDataFrame(log_rows, "id int, a string, ts timestamp_ntz")
     from_log = scd2_from_log(log, "id", ["ts"], ["a"])
     assert _hist_rows(h) == sorted((r["id"], r["a"], r["valid_from"], r["valid_to"]) for r in from_log.collect())
+
+
+def test_scd2_from_log_hot_key_spans_partitions(spark):
+    """One key holds most rows; the range-partitioned form equals a plain per-key window."""
+    from pyspark.sql import Window
+
+    base = spark.range(0, 3000).select(
+        F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("k"),
+        (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("ts"),
+        ((F.col("id") / 7).cast("int") % 3).alias("a"),
+    )
+    got = scd2_from_log(base, "k", ["ts"], ["a"], partitions=7)
+    w = Window.partitionBy("k").orderBy("ts")
+    ref = (
+        base.withColumn("_p", F.lag("a").over(w))
+        .filter(F.col("_p").isNull() | (F.col("_p") != F.col("a")))
+        .withColumn("valid_to", F.lead("ts").over(w))
+    )
+    a = sorted((r.k, r.ts, r.a, r.valid_to) for r in got.collect())
+    b = sorted((r.k, r.ts, r.a, r.valid_to) for r in ref.collect())
+    assert a == b
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and "_pid" in plan  # reads the checkpointed range-partitioned log
