@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -25,6 +25,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def null_spread(df: DataFrame, is_null: Column, prefix: str, buckets: int | None = None) -> DataFrame:
+    """Add `<prefix>_null` and `<prefix>_salt` join-key columns: rows whose key cannot match
+    (a NULL part) get a salt from a hash of the row, others 0. Put both in the join condition
+    against (false, 0) on the other side: matches are unchanged, and the unmatched rows spread
+    over `buckets` partitions instead of one. The salt is deterministic (retries agree)."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(is_null, F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % n).otherwise(F.lit(0)).cast("bigint")
+    return df.withColumn(f"{prefix}_null", is_null).withColumn(f"{prefix}_salt", salt)
+
+
 def attach_customer(
     facts: DataFrame,
     accounts: DataFrame,
@@ -36,20 +46,14 @@ def attach_customer(
     """`facts ⟕ accounts` on the account id, adding the owning customer.
 
     Orphans keep a NULL customer. A NULL account id cannot match, but in a plain shuffle
-    join all such rows would hash to one reducer; here they join on a (flag, salt) key that
-    spreads them over `null_buckets` partitions and never matches an account. The salt is a
-    hash of the row, so retries see the same value.
+    join all such rows would hash to one reducer; `null_spread` salts them instead.
     """
-    n = null_buckets or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = F.col(key)
-    ktype = facts.schema[key].dataType
-    salt = (F.abs(F.xxhash64(*[F.col(c) for c in facts.columns])) % n).cast(ktype)
-    left = facts.withColumn("_null_key", k.isNull()).withColumn("_jk", F.coalesce(k, salt))
+    left = null_spread(facts, F.col(key).isNull(), "_f", null_buckets)
     owners = accounts.select(
-        F.lit(False).alias("_owner_null"), F.col(account_key).cast(ktype).alias("_acct"), F.col(out)
+        F.lit(False).alias("_o_null"), F.lit(0).cast("bigint").alias("_o_salt"), F.col(account_key).alias("_acct"), F.col(out)
     )
-    cond = (left["_null_key"] == owners["_owner_null"]) & (left["_jk"] == owners["_acct"])
-    return left.join(owners, cond, "left").drop("_null_key", "_jk", "_owner_null", "_acct")
+    cond = (left["_f_null"] == owners["_o_null"]) & (left["_f_salt"] == owners["_o_salt"]) & (left[key] == owners["_acct"])
+    return left.join(owners, cond, "left").drop("_f_null", "_f_salt", "_o_null", "_o_salt", "_acct")
 
 
 def current_rows(history: DataFrame, flag: str = "is_current") -> DataFrame:

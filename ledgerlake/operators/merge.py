@@ -82,15 +82,34 @@ def upsert(
     if target is None:
         return batch
     batch = batch.select(*target.columns)
-    bkeys = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        c = target[k] == bkeys[f"_b_{k}"]
-        cond = c if cond is None else cond & c
-    kept = target.join(bkeys, cond, "left_anti")
+    kept = _unmatched(target, batch, keys)
     return kept.unionByName(batch)
 
 
+def _unmatched(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key is not in the batch (anti join).
+
+    Target rows with a NULL key part can never match; they carry a (flag, salt) pair in the
+    join key that spreads them over the shuffle instead of hashing them all to one reducer.
+    Batch keys with a NULL part are left out of the probe side for the same reason.
+    """
+    from ledgerlake.operators.joins import null_spread
+
+    any_null = F.lit(False)
+    all_set = F.lit(True)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+        all_set = all_set & F.col(k).isNotNull()
+    t = null_spread(target, any_null, "_t")
+    b = batch.filter(all_set).select(
+        F.lit(False).alias("_b_null"), F.lit(0).cast("bigint").alias("_b_salt"), *[F.col(k).alias(f"_bk{i}") for i, k in enumerate(keys)]
+    )
+    cond = (t["_t_null"] == b["_b_null"]) & (t["_t_salt"] == b["_b_salt"])
+    for i, k in enumerate(keys):
+        cond = cond & (t[k] == b[f"_bk{i}"])
+    return t.join(b, cond, "left_anti").drop("_t_null", "_t_salt")
+
+
 def append(target: DataFrame | None, batch: DataFrame) -> DataFrame:
     """Upsert that provably cannot match (the batch's keys are above the target's mark)."""
     return batch if target is None else target.unionByName(batch.select(*target.columns))
