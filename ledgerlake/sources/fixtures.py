@@ -39,11 +39,18 @@ def ts(text: str):
 
 
 _SPLITS: dict[str, int] = {}
+_SCHEMAS: dict[str, object] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read a driver table. Its schema is inferred once per path (a footer-reading job) and
+    then given to the reader, so later reads plan without a job."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    if path in _SCHEMAS:
+        df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
     return ensure_parallelism(df, key=path) if spread else df
 
 
