@@ -45,8 +45,14 @@ def fct_service_usage(usage: DataFrame, dim_services: DataFrame, target: DataFra
     return append(target, fct_service_usage_batch(usage, dim_services, target, ctx))
 
 
-def agg_service_frequency(fct: DataFrame) -> DataFrame:
-    """Per service: uses, distinct customers, successes, failures, share of all uses, rank."""
+def agg_service_frequency(fct: DataFrame, materialize: bool = True) -> DataFrame:
+    """Per service: uses, distinct customers, successes, failures, share of all uses, rank.
+
+    The per-service aggregate (one row per service of the catalogue) is read three times —
+    rows, grand total, rank — with different columns each, so Spark would not reuse its
+    exchanges and would run the whole usage pipeline three times. It is checkpointed once
+    (to `spark.checkpoint.dir`) and the three reads share it.
+    """
     per = fct.groupBy("service_id", "service_name", "category").agg(
         F.count(F.lit(1)).alias("total_uses"),
         F.count_distinct("customer_id").alias("distinct_customers"),
@@ -54,6 +60,11 @@ def agg_service_frequency(fct: DataFrame) -> DataFrame:
         count_where(F.col("status") == "FAILED").alias("failed_uses"),
         F.max("used_at").alias("last_used_at"),
     )
+    if materialize:
+        from ledgerlake.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(fct.sparkSession)
+        per = per.checkpoint(eager=True)
     shared = share_of_total(per, "total_uses", "pct_share")
     ranked = global_rank(shared, "total_uses", "usage_rank", descending=True)
     return ranked.select(

@@ -114,10 +114,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_type_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct event types with a 0-based rank; a categorical domain, size-checked."""
+    """Distinct event types with a 0-based dense rank (ascending, NULLS FIRST).
+
+    The window runs over the *distinct* event types — a categorical domain of a few values
+    after a partially aggregated distinct — not over event rows, so one partition is enough;
+    the range-partitioned `global_rank` would only add scans here.
+    """
     kinds = read(spark, sf_dir, "events").select("event_type").distinct()
-    ranked = kinds.withColumn("type_rank", F.dense_rank().over(Window.orderBy("event_type")) - 1)
-    return ranked
+    return kinds.withColumn("type_rank", F.dense_rank().over(Window.orderBy(F.col("event_type").asc_nulls_first())) - 1)
 
 
 def services(spark: SparkSession, sf_dir: str) -> DataFrame:
