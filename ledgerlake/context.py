@@ -29,3 +29,9 @@ class RunContext:
 
     def date(self) -> Column:
         return self.ts().cast("date")
+
+    def epoch_millis(self) -> Column:
+        """The run time as epoch milliseconds (run_ts is UTC wall-clock)."""
+        text = self.run_ts if "." in self.run_ts else self.run_ts + ".000000"
+        t = _dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f").replace(tzinfo=_dt.timezone.utc)
+        return F.lit(int(t.timestamp() * 1000)).cast("bigint")

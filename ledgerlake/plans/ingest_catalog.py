@@ -16,7 +16,7 @@ from ledgerlake.plans import staging
 from ledgerlake.plans.runs import RUN1
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import fixtures as fx
-from ledgerlake.sources.cdc import after_image, decode, jsonable, normalize_changes, only_tables, quarantine, route
+from ledgerlake.sources.cdc import after_image, decode, jsonable, only_tables, quarantine, realtime_to_changes
 from ledgerlake.sources.lake import TableStore, load_audit, refresh_raw, write_lake
 from ledgerlake.sources.raw import to_raw
 from ledgerlake.streaming.ingest import run_until_drained, stream_to_lake, stream_upsert
@@ -98,9 +98,8 @@ def realtime_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 def normalize_changes_query(spark: SparkSession, sf: str) -> DataFrame:
     """Normalize, guard, route; the envelope is read back for comparison."""
-    env = normalize_changes(realtime_payloads(spark, sf), F.lit(0))
-    routed = route(only_tables(env, ["customers", "accounts", "transactions"]))
-    parsed = compute_once(routed.select("table", "topic", "envelope"), _j=F.parse_json("envelope"))
+    routed = realtime_to_changes(realtime_payloads(spark, sf), RUN1.epoch_millis(), ["customers", "accounts", "transactions"])
+    parsed = compute_once(routed, _j=F.parse_json("value")).withColumn("table", F.variant_get("_j", "$.payload.source.table", "string"))
     j = F.col("_j")
     return parsed.select(
         F.col("table").alias("change_table"),
@@ -205,6 +204,20 @@ def safe_number_cast(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pipeline_service_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    """N01 end to end: change feed of services and usage → `run(full)` (ingest, lake, RAW,
+    staging, SCD2, dimension, usage fact, aggregates, checks) → published frequency table."""
+    from ledgerlake.plans.pipeline import PipelineConfig, run
+    from ledgerlake.sources.cdc import envelopes
+
+    root = scratch_path(spark, "pipeline")
+    changes = f"{root}/changes"
+    for t in ("services", "service_usage"):
+        _write_changes(envelopes(fx.ENTITIES[t](spark, sf), t), changes)
+    cfg = PipelineConfig(lake=f"{root}/lake", warehouse=f"{root}/wh", changes=changes, tables=["services", "service_usage"])
+    return run(spark, "full", cfg, RUN1)["agg_service_frequency"]
+
+
 INGEST_QUERIES = {
     "after_image_extract": after_image_extract,
     "quarantined_events": quarantined_events,
@@ -214,4 +227,5 @@ INGEST_QUERIES = {
     "stream_to_lake": stream_to_lake_query,
     "stream_upsert": stream_upsert_query,
     "safe_number_cast": safe_number_cast,
+    "pipeline_service_frequency": pipeline_service_frequency,
 }

@@ -456,6 +456,7 @@ FROM (SELECT *, CASE WHEN id % 10 = 7 THEN 'r' WHEN id % 3 = 0 THEN 'c' WHEN id
        TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(38,1)) AS value_1, TRY_CAST(event_type AS DECIMAL(38,0)) AS type_number,
        TRY_CAST('-' || CAST(value AS VARCHAR) AS DECIMAL(38,0)) AS negated_0 FROM events""",
 }
+ORACLE_INGEST["pipeline_service_frequency"] = ORACLE["agg_service_frequency"]
 ORACLE.update(ORACLE_INGEST)
 
 

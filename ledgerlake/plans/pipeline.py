@@ -137,6 +137,15 @@ def build_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return r
 
 
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose published tables as temp views (the source catalog) for `spark.sql` users."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names
+
+
 def run(spark: SparkSession, mode: str, cfg: PipelineConfig, ctx: RunContext | None = None) -> dict[str, DataFrame]:
     """mode: ingest | warehouse | full. Returns the published tables and reports."""
     ctx = ctx or RunContext()

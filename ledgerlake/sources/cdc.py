@@ -190,6 +190,38 @@ def route(df: DataFrame, prefix: str = DEFAULT_TOPIC_PREFIX, schema: str = DEFAU
     return df.withColumn("topic", topic_name(prefix, schema, F.col(table)))
 
 
+def realtime_to_changes(
+    payloads: DataFrame,
+    run_ts_ms: Column,
+    tables: Sequence[str],
+    prefix: str = DEFAULT_TOPIC_PREFIX,
+    schema: str = DEFAULT_SCHEMA,
+    payload: str = "j",
+) -> DataFrame:
+    """Realtime row-change payloads (`j: VARIANT`) → (topic, value) change events: normalized,
+    guarded (table present and allow-listed) and routed with the configured schema."""
+    env = only_tables(normalize_changes(payloads, run_ts_ms, schema, payload=payload), tables)
+    return route(env, prefix, schema).select("topic", F.col("envelope").alias("value"))
+
+
+def write_changes(changes: DataFrame, sink: str, target: str, checkpoint: str | None = None, trigger: dict | None = None):
+    """Publish (topic, value) change events.
+
+    sink="files": JSON-lines directory, one sub-folder per topic (batch or streaming);
+    sink="kafka": `target` is the bootstrap servers (needs the Kafka connector package).
+    """
+    if changes.isStreaming:
+        w = changes.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+        if sink == "kafka":
+            return w.format("kafka").option("kafka.bootstrap.servers", target).start()
+        return w.format("text").partitionBy("topic").start(target)
+    if sink == "kafka":
+        changes.write.format("kafka").option("kafka.bootstrap.servers", target).save()
+        return None
+    changes.select("value", "topic").write.mode("append").partitionBy("topic").text(target)
+    return None
+
+
 def iso_text(c: Column) -> Column:
     """ISO-8601 text of a timestamp: fraction only when non-zero (as Python's isoformat)."""
     micros = F.unix_micros(c.cast("timestamp_ntz").cast("timestamp")) % 1_000_000

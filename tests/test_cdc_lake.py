@@ -113,3 +113,27 @@ def test_table_store_versions(spark, tmp):
     assert store.read("t").count() == 7
     assert store.publish(spark.range(100), "t", version=2) == 2  # replay of a committed version: no-op
     assert store.read("t").count() == 7
+
+
+def test_epoch_millis_and_change_sink_roundtrip(spark, tmp):
+    from ledgerlake.sources.cdc import read_changes, realtime_to_changes, write_changes
+
+    ctx = RunContext("2024-01-01 00:00:01")
+    assert spark.range(1).select(ctx.epoch_millis()).first()[0] == 1704067201000
+    payloads = spark.createDataFrame(
+        [('{"eventType":"INSERT","table":"customers","record":{"id":7}}',), ('{"eventType":"INSERT","table":"nope","record":{"id":8}}',)],
+        "s string",
+    ).select(F.parse_json("s").alias("j"))
+    changes = realtime_to_changes(payloads, ctx.epoch_millis(), ["customers"])
+    path = os.path.join(tmp, "feed")
+    write_changes(changes, "files", path)
+    back = read_changes(spark, "files", path, ["customers"], streaming=False)
+    imgs = after_image(decode(back)).select("table", F.variant_get("v", "$.id", "int").alias("id"), "_ts_ms").collect()
+    assert [(r.table, r.id, r._ts_ms) for r in imgs] == [("customers", 7, 1704067201000)]
+
+
+def test_register_views(spark):
+    from ledgerlake.plans.pipeline import register_views
+
+    names = register_views({"ll_view_test": spark.range(3)})
+    assert spark.sql(f"SELECT count(*) FROM {names[0]}").first()[0] == 3
