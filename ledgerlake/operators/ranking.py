@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import fits
 
-LOCAL_RANK_VALUES = 1_000_000
-
-
 def share_of_total(df: DataFrame, col: str, out: str = "pct_share", scale: int = 2) -> DataFrame:
     """round(100 * col / nullif(sum(col) over (), 0), scale) as DOUBLE, computed in DECIMAL."""
     total = df.agg(F.sum(F.col(col)).cast("decimal(20,0)").alias("_share_total"))

@@ -9,29 +9,25 @@ from ledgerlake.context import RunContext
 from ledgerlake.operators.history import present_history, scd2_check, scd2_timestamp
 
 
-def _src(stg: DataFrame) -> DataFrame:
-    return stg
-
-
 def customers_history(src: DataFrame, hist: DataFrame | None, ctx: RunContext) -> DataFrame:
-    return scd2_check(hist, _src(src), "customer_id", ["first_name", "last_name", "email"], ctx.ts())
+    return scd2_check(hist, src, "customer_id", ["first_name", "last_name", "email"], ctx.ts())
 
 
 def accounts_history(src: DataFrame, hist: DataFrame | None, ctx: RunContext) -> DataFrame:
     """Currency changes alone do not version an account (not a check column)."""
-    return scd2_check(hist, _src(src), "account_id", ["customer_id", "account_type", "balance"], ctx.ts())
+    return scd2_check(hist, src, "account_id", ["customer_id", "account_type", "balance"], ctx.ts())
 
 
 def services_history(src: DataFrame, hist: DataFrame | None, ctx: RunContext) -> DataFrame:
-    return scd2_check(hist, _src(src), "service_id", ["service_name", "category", "is_active"], ctx.ts())
+    return scd2_check(hist, src, "service_id", ["service_name", "category", "is_active"], ctx.ts())
 
 
 def profiles_history(src: DataFrame, hist: DataFrame | None, ctx: RunContext | None = None) -> DataFrame:
-    return scd2_timestamp(hist, _src(src), "customer_id", "updated_at")
+    return scd2_timestamp(hist, src, "customer_id", "updated_at")
 
 
 def segments_history(src: DataFrame, hist: DataFrame | None, ctx: RunContext | None = None) -> DataFrame:
-    return scd2_timestamp(hist, _src(src), "customer_id", "assigned_at")
+    return scd2_timestamp(hist, src, "customer_id", "assigned_at")
 
 
 _DIM_CUSTOMERS = ["customer_id", "first_name", "last_name", "email", "created_at"]
