@@ -39,18 +39,22 @@ def read_changes(
     streaming: bool = True,
     starting_offsets: str = "latest",
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Change events as (topic, value, _offset)."""
+    """Change events as (topic, value, _offset). Micro-batch size is bounded by
+    `max_files_per_trigger` (files) or `max_offsets_per_trigger` (Kafka)."""
     topics = topics_for(tables, prefix, schema)
     if source == "kafka":
         reader = spark.readStream if streaming else spark.read
-        df = (
+        reader = (
             reader.format("kafka")
             .option("kafka.bootstrap.servers", path_or_servers)
             .option("subscribe", ",".join(topics))
             .option("startingOffsets", starting_offsets)
-            .load()
         )
+        if streaming and max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        df = reader.load()
         return df.select(
             "topic",
             F.col("value").cast("string").alias("value"),
