@@ -158,3 +158,48 @@ def run(spark: SparkSession, mode: str, cfg: PipelineConfig, ctx: RunContext | N
     tables = warehouse(spark, cfg, ctx)
     tables.update({f"report_{k}": v for k, v in build_reports(tables).items()})
     return tables
+
+
+def main(argv: list[str] | None = None) -> int:
+    """`python -m ledgerlake.plans.pipeline full|ingest|warehouse --lake L --warehouse W [--changes C]`.
+
+    Uses the active session's configuration (master, checkpoint dir) when launched with
+    spark-submit; prints the reports.
+    """
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    ap = argparse.ArgumentParser(prog="ledgerlake-pipeline")
+    ap.add_argument("mode", choices=["full", "ingest", "warehouse"])
+    ap.add_argument("--lake", required=True)
+    ap.add_argument("--warehouse", required=True)
+    ap.add_argument("--changes", help="JSON-lines change directory, or Kafka bootstrap servers with --source kafka")
+    ap.add_argument("--source", default="files", choices=["files", "kafka"])
+    ap.add_argument("--tables", default=",".join(TABLES))
+    ap.add_argument("--activity-mode", default="strict", choices=["strict", "recompute"])
+    ap.add_argument("--run-ts", help="UTC run time 'YYYY-MM-DD HH:MM:SS' (default: now)")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("ledgerlake-pipeline").getOrCreate()
+    from ledgerlake.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    cfg = PipelineConfig(
+        lake=a.lake,
+        warehouse=a.warehouse,
+        changes=a.changes,
+        source=a.source,
+        tables=[t.strip() for t in a.tables.split(",") if t.strip()],
+        activity_mode=a.activity_mode,
+    )
+    out = run(spark, a.mode, cfg, RunContext(a.run_ts) if a.run_ts else RunContext())
+    register_views(out)
+    for name, df in out.items():
+        if name.startswith("report_"):
+            print(f"== {name}")
+            df.show(truncate=False)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
