@@ -22,6 +22,24 @@ LOCAL_CONF = {
 }
 
 
+# Settings the operators are designed around on a large cluster (merge into the job's conf;
+# values are starting points for ~100 TB inputs on ~1000 executors, tune per workload).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",  # upper bound; AQE coalesces small ones
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # spark.checkpoint.dir: a shared folder (HDFS / object store) named by the cluster
+}
+
+
 def local_session(cpus: int | str = "*", app: str = "ledgerlake", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for k, v in {**LOCAL_CONF, **conf}.items():
