@@ -32,15 +32,18 @@ def above_watermark(
     target_col: str | None = None,
     floor: Any = None,
     inclusive: bool = False,
+    mark: Any = None,
 ) -> DataFrame:
     """Rows with `col` strictly above the target's max (`>=` when `inclusive`).
 
     First run (`target is None`) passes everything. The mark is evaluated first and applied
-    as a typed literal, so it reaches the scan as a pushed filter / partition prune.
+    as a typed literal, so it reaches the scan as a pushed filter / partition prune. A known
+    `mark` (e.g. kept next to an append-only target) skips the scan of the target.
     """
     if target is None:
         return df
-    mark = watermark(target, target_col or col, floor)
+    if mark is None:
+        mark = watermark(target, target_col or col, floor)
     if mark is None:
         return df
     dtype = df.schema[col].dataType.simpleString()

@@ -68,9 +68,9 @@ def fact_customer_activity(
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def fact_customer_activity_batch(tx: DataFrame, accounts: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Strict mode's new rows: days strictly after the target's last day."""
-    return above_watermark(customer_daily_activity(tx, accounts), target, "activity_date", floor=EPOCH_DATE)
+def fact_customer_activity_batch(tx: DataFrame, accounts: DataFrame, target: DataFrame | None, mark=None) -> DataFrame:
+    """Strict mode's new rows: days strictly after the target's last day (or the kept `mark`)."""
+    return above_watermark(customer_daily_activity(tx, accounts), target, "activity_date", floor=EPOCH_DATE, mark=mark)
 
 
 def fact_customer_segment(segments: DataFrame, target: DataFrame | None) -> DataFrame:

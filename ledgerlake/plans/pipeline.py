@@ -94,22 +94,27 @@ def warehouse(spark: SparkSession, cfg: PipelineConfig, ctx: RunContext) -> dict
         table("fact_transactions", facts.fact_transactions(tx, acc, store.read("fact_transactions"), ctx))
         prev = store.read("fact_customer_activity")
         if cfg.activity_mode == "strict" and prev is not None:
-            store.append(facts.fact_customer_activity_batch(tx, acc, prev), "fact_customer_activity")
+            mark = store.read_mark("fact_customer_activity", "activity_date")
+            batch = facts.fact_customer_activity_batch(tx, acc, prev, mark)
+            store.append(batch, "fact_customer_activity", mark_col="activity_date")
             out["fact_customer_activity"] = store.read("fact_customer_activity")
         else:
-            table("fact_customer_activity", facts.fact_customer_activity(tx, acc, prev, cfg.activity_mode))
+            mark_col = "activity_date" if cfg.activity_mode == "strict" else None
+            store.publish(facts.fact_customer_activity(tx, acc, prev, cfg.activity_mode), "fact_customer_activity", mark_col=mark_col)
+            out["fact_customer_activity"] = store.read("fact_customer_activity")
     if "customer_segments" in stg:
         table("fact_customer_segment", facts.fact_customer_segment(stg["customer_segments"], store.read("fact_customer_segment")))
 
     # service usage marts
     if "service_usage" in stg and "dim_services" in out:
         prev = store.read("fct_service_usage")
-        batch = usage.fct_service_usage_batch(stg["service_usage"], out["dim_services"], prev, ctx)
+        mark = store.read_mark("fct_service_usage", "usage_id") if prev is not None else None
+        batch = usage.fct_service_usage_batch(stg["service_usage"], out["dim_services"], prev, ctx, mark)
         if prev is None:
-            table("fct_service_usage", batch)
+            store.publish(batch, "fct_service_usage", mark_col="usage_id")
         else:
-            store.append(batch, "fct_service_usage")
-            out["fct_service_usage"] = store.read("fct_service_usage")
+            store.append(batch, "fct_service_usage", mark_col="usage_id")
+        out["fct_service_usage"] = store.read("fct_service_usage")
         fct = out["fct_service_usage"]
         table("agg_service_frequency", usage.agg_service_frequency(fct))
         table("agg_service_usage_daily", usage.agg_service_usage_daily(fct))

@@ -29,11 +29,12 @@ FCT_COLUMNS = [
 
 
 def fct_service_usage_batch(
-    usage: DataFrame, dim_services: DataFrame, target: DataFrame | None, ctx: RunContext
+    usage: DataFrame, dim_services: DataFrame, target: DataFrame | None, ctx: RunContext, mark=None
 ) -> DataFrame:
-    """New usage rows above the target's max usage_id, enriched with the *current* service
-    attributes. The watermark is insert-only: a later change to an old id never arrives (H12)."""
-    batch = above_watermark(usage, target, "usage_id", floor=0)
+    """New usage rows above the target's max usage_id (or the kept `mark`), enriched with the
+    *current* service attributes. The watermark is insert-only: a later change to an old id
+    never arrives (H12)."""
+    batch = above_watermark(usage, target, "usage_id", floor=0, mark=mark)
     e = enrich_current(batch, dim_services, "service_id", ["service_code", "service_name", "category"])
     e = e.withColumn("usage_date", event_date("used_at")).withColumn("load_timestamp", ctx.ts())
     return e.select(*FCT_COLUMNS)

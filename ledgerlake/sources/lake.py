@@ -192,9 +192,10 @@ class TableStore:
     def is_committed(self, name: str, version: int) -> bool:
         return exists(self.spark, f"{self._dir(name)}/v={version}/batch=0/_SUCCESS")
 
-    def publish(self, df: DataFrame, name: str, version: int | None = None) -> int:
+    def publish(self, df: DataFrame, name: str, version: int | None = None, mark_col: str | None = None) -> int:
         """Write `df` as a new version (the next one, or `version`); readers switch once it
-        is committed. Publishing an already committed `version` is a no-op (replays)."""
+        is committed. Publishing an already committed `version` is a no-op (replays).
+        With `mark_col`, the table's high-water mark is set from the written files."""
         if version is not None:
             if self.is_committed(name, version):
                 return version
@@ -204,16 +205,43 @@ class TableStore:
         v = (self.current(name) or 0) + 1
         while exists(self.spark, f"{self._dir(name)}/v={v}"):
             v += 1  # skip leftovers of a failed attempt
-        df.write.mode("errorifexists").parquet(f"{self._dir(name)}/v={v}/batch=0")
+        path = f"{self._dir(name)}/v={v}/batch=0"
+        df.write.mode("errorifexists").parquet(path)
+        if mark_col:
+            self.advance_mark(name, mark_col, self.spark.read.parquet(path))
         return v
 
-    def append(self, df: DataFrame, name: str) -> int:
-        """Add rows to the current version as a new batch (exact for append-only targets)."""
+    def _mark_path(self, name: str, col: str) -> str:
+        return f"{self._dir(name)}/_marks/{col}"
+
+    def read_mark(self, name: str, col: str):
+        """The kept high-water mark of `col` for table `name`, or None."""
+        path = self._mark_path(name, col)
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            return None
+        row = self.spark.read.parquet(path).first()
+        return None if row is None else row["mark"]
+
+    def advance_mark(self, name: str, col: str, batch: DataFrame, previous=None) -> None:
+        """Keep max(previous, max(batch.col)) as the table's mark (aggregates the batch only)."""
+        m = batch.agg(F.max(col).alias("mark"))
+        if previous is not None:
+            m = m.select(F.greatest(F.col("mark"), F.lit(str(previous)).cast(batch.schema[col].dataType)).alias("mark"))
+        m.write.mode("overwrite").parquet(self._mark_path(name, col))
+
+    def append(self, df: DataFrame, name: str, mark_col: str | None = None) -> int:
+        """Add rows to the current version as a new batch (exact for append-only targets).
+        With `mark_col`, the kept high-water mark advances by the written batch only."""
         v = self.current(name)
         if v is None:
-            return self.publish(df, name)
+            return self.publish(df, name, mark_col=mark_col)
         b = max(self.batches(name, v)) + 1
         while exists(self.spark, f"{self._dir(name)}/v={v}/batch={b}"):
             b += 1
-        df.write.mode("errorifexists").parquet(f"{self._dir(name)}/v={v}/batch={b}")
+        path = f"{self._dir(name)}/v={v}/batch={b}"
+        previous = self.read_mark(name, mark_col) if mark_col else None
+        df.write.mode("errorifexists").parquet(path)
+        if mark_col:
+            source = self.spark.read.parquet(path) if previous is not None else self.read(name)
+            self.advance_mark(name, mark_col, source, previous)
         return v

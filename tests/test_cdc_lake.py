@@ -137,3 +137,14 @@ def test_register_views(spark):
 
     names = register_views({"ll_view_test": spark.range(3)})
     assert spark.sql(f"SELECT count(*) FROM {names[0]}").first()[0] == 3
+
+
+def test_table_store_marks(spark, tmp):
+    store = TableStore(spark, os.path.join(tmp, "wh2"))
+    assert store.read_mark("t", "id") is None
+    store.advance_mark("t", "id", spark.range(5))
+    assert store.read_mark("t", "id") == 4
+    store.advance_mark("t", "id", spark.range(2), previous=4)  # never moves back
+    assert store.read_mark("t", "id") == 4
+    store.advance_mark("t", "id", spark.range(10, 12), previous=4)
+    assert store.read_mark("t", "id") == 11

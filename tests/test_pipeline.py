@@ -38,3 +38,13 @@ def test_full_pipeline_two_runs(spark, tmp):
     assert out2["fct_service_usage"].count() == fx.service_usage(spark, SF).count()
     assert out2["fact_transactions"].count() == fx.transactions(spark, SF).count()
     assert out2["accounts_snapshot"].filter(F.col("valid_to").isNotNull()).count() == 0  # nothing changed
+
+
+def test_marks_kept_for_append_only_targets(spark, tmp):
+    from ledgerlake.sources.lake import TableStore
+
+    store = TableStore(spark, os.path.join(tmp, "wh"))
+    store.publish(spark.range(5).withColumnRenamed("id", "usage_id"), "fct", mark_col="usage_id")
+    assert store.read_mark("fct", "usage_id") == 4
+    store.append(spark.range(5, 9).withColumnRenamed("id", "usage_id"), "fct", mark_col="usage_id")
+    assert store.read_mark("fct", "usage_id") == 8 and store.read("fct").count() == 9
