@@ -79,9 +79,10 @@ def warehouse(spark: SparkSession, cfg: PipelineConfig, ctx: RunContext) -> dict
     }
     for t, (snap, build, dim, dim_name) in snapshots.items():
         if t in stg:
-            h = table(snap, build(stg[t], store.read(snap), ctx))
+            h = history_step(store, snap, build(stg[t], store.read(f"{snap}_open"), ctx))
+            out[snap] = h
             if dim:
-                table(dim_name, dim(h))
+                out[dim_name] = dim(h)  # a view over the history (no copy per run)
 
     # customer features and facts
     if "transactions" in stg and "accounts" in stg:
@@ -129,6 +130,25 @@ def warehouse(spark: SparkSession, cfg: PipelineConfig, ctx: RunContext) -> dict
     return out
 
 
+def history_step(store: TableStore, snap: str, step: DataFrame) -> DataFrame:
+    """Store one SCD2 run: versions closed in this run are appended to `<snap>_closed`
+    (append-only), the open versions are published as a new version of `<snap>_open`.
+    The run reads and writes only open versions and changes, never the whole history.
+    Returns the full history (closed ∪ open) as a lazy union."""
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+
+    step = step.persist(StorageLevel.MEMORY_AND_DISK)  # read twice below; released after the writes
+    try:
+        store.append(step.filter(F.col("valid_to").isNotNull()), f"{snap}_closed")
+        store.publish(step.filter(F.col("valid_to").isNull()), f"{snap}_open")
+    finally:
+        step.unpersist()
+    opened = store.read(f"{snap}_open")
+    closed = store.read(f"{snap}_closed")
+    return opened if closed is None else closed.unionByName(opened)
+
+
 def build_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     r: dict[str, DataFrame] = {}
     if "agg_service_frequency" in tables:

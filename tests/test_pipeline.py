@@ -38,6 +38,23 @@ def test_full_pipeline_two_runs(spark, tmp):
     assert out2["fct_service_usage"].count() == fx.service_usage(spark, SF).count()
     assert out2["fact_transactions"].count() == fx.transactions(spark, SF).count()
     assert out2["accounts_snapshot"].filter(F.col("valid_to").isNotNull()).count() == 0  # nothing changed
+    assert out2["accounts_snapshot"].count() == out["accounts_snapshot"].count()
+
+
+def test_history_step_touches_open_versions_only(spark, tmp):
+    from ledgerlake.operators import scd2_check
+    from ledgerlake.plans.pipeline import history_step
+    from ledgerlake.sources.lake import TableStore
+
+    store = TableStore(spark, os.path.join(tmp, "wh"))
+    ts = lambda t: F.lit(t).cast("timestamp_ntz")
+    s1 = spark.createDataFrame([(1, "a"), (2, "b")], "id int, a string")
+    h1 = history_step(store, "snap", scd2_check(store.read("snap_open"), s1, "id", ["a"], ts("2024-01-01 00:00:00")))
+    assert h1.count() == 2 and store.read("snap_closed") is None or store.read("snap_closed").count() == 0
+    s2 = spark.createDataFrame([(1, "A"), (2, "b")], "id int, a string")
+    h2 = history_step(store, "snap", scd2_check(store.read("snap_open"), s2, "id", ["a"], ts("2024-01-02 00:00:00")))
+    assert store.read("snap_open").count() == 2 and store.read("snap_closed").count() == 1
+    assert sorted((r.id, r.a, r.valid_to is None) for r in h2.collect()) == [(1, "A", True), (1, "a", False), (2, "b", True)]
 
 
 def test_marks_kept_for_append_only_targets(spark, tmp):
