@@ -126,3 +126,22 @@ def test_h16_bare_envelopes(spark):
     df = decode(spark.createDataFrame([("t.public.accounts", '{"op":"c","after":{"id":1}}')], "topic string, value string"))
     assert after_image(df).count() == 0
     assert after_image(df, wrapped=False).count() == 1
+
+
+def test_h15_timestamps_order_by_value_not_text(spark):
+    # as text '2024-01-09T...' > '2024-01-10T...' would pick the older row; typed order picks the newer
+    df = spark.createDataFrame(
+        [(1, "a", "2024-01-09T23:00:00"), (1, "b", "2024-01-10T01:00:00")], "id long, first_name string, created_at string"
+    )
+    got = staging.stg_customers(to_raw(df), CTX).first()
+    assert got.first_name == "b" and got.created_at == T(2024, 1, 10, 1)
+
+
+def test_u03_null_timestamp_never_counts_as_newer(spark):
+    from ledgerlake.operators import scd2_timestamp
+
+    s1 = spark.createDataFrame([(1, "a", T(2024, 1, 1))], "id int, a string, updated_at timestamp_ntz")
+    h1 = scd2_timestamp(None, s1, "id", "updated_at")
+    s2 = spark.createDataFrame([(1, "b", None)], "id int, a string, updated_at timestamp_ntz")
+    h2 = scd2_timestamp(h1, s2, "id", "updated_at")
+    assert [(r.a, r.valid_to) for r in h2.collect()] == [("a", None)]
