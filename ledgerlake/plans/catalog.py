@@ -232,6 +232,27 @@ def segment_rules(spark, sf):
     return segment_customers(fx.customer_profiles(spark, sf), fx.ts(fx.AS_OF))
 
 
+def raw_typed_extract(spark, sf):
+    """S13, P01, P02 through the generic `extract` operator: RAW profiles → typed columns."""
+    from ledgerlake.operators.extract import extract
+
+    spec = {
+        "customer_id": ("customer_id", "id"),
+        "total_transactions": ("total_transactions", "int"),
+        "risk_number": ("risk_score", "number"),
+        "risk_score": ("risk_score", "float"),
+        "preferred_transaction_type": ("preferred_transaction_type", "string"),
+        "last_active_date": ("last_active_date", "timestamp_ntz"),
+    }
+    return extract(raw(spark, sf, "customer_profiles"), spec)
+
+
+def scd2_check_first(spark, sf):
+    """U02 first run in its stored form: every source row opens a version at the run time."""
+    h = history.accounts_history(stg(spark, sf, "accounts", RUN1), None, RUN1)
+    return h.drop("version_id", "load_timestamp")
+
+
 def report_top_services(spark, sf):
     return reports.report_top_services(agg_service_frequency(spark, sf), 10)
 
@@ -308,6 +329,8 @@ def _build() -> dict[str, Query]:
             "report_segment_counts": report_segment_counts,
             "report_top_risk": partial(report_top_risk, n=10),
             "report_top_risk_5": partial(report_top_risk, n=5),
+            "raw_typed_extract": raw_typed_extract,
+            "scd2_check_first": scd2_check_first,
             "quality_declared": quality_declared,
             "quality_ddl": quality_ddl,
         }

@@ -409,6 +409,13 @@ def _oracle() -> dict[str, str]:
   WHERE rn = 1 OR p_rf IS DISTINCT FROM l_returnflag OR p_ls IS DISTINCT FROM l_linestatus OR p_q IS DISTINCT FROM l_quantity
 ) v"""
     o["segment_rules"] = q("SELECT * FROM customer_segments", "customer_segments")
+    o["raw_typed_extract"] = q(
+        "SELECT CAST(customer_id AS VARCHAR) AS customer_id, total_transactions, "
+        f"{_num('risk_score')} AS risk_number, risk_score, preferred_transaction_type, last_active_date "
+        "FROM customer_profiles", "customer_profiles")
+    o["scd2_check_first"] = q(
+        f"SELECT {', '.join(ACC_COLS)}, TIMESTAMP '{RUN1}' AS version_updated_at, TIMESTAMP '{RUN1}' AS valid_from, "
+        "CAST(NULL AS TIMESTAMP) AS valid_to FROM stg_accounts", "stg_accounts")
     o["report_top_services"] = q(
         "SELECT usage_rank, service_name, category, total_uses, distinct_customers, pct_share FROM agg_service_frequency "
         "ORDER BY usage_rank, service_id LIMIT 10", "agg_service_frequency")
