@@ -2,7 +2,8 @@
 
 Lake layout (own sink): `<lake>/table=<t>/date=<yyyy-mm-dd>/part-*.parquet` with columns
 `v` (VARIANT after-image) and lineage `_op, _ts_ms, _offset`: one fixed schema, so files of a
-table never disagree. Foreign files in the reference layout `<lake>/<t>/date=<d>/*.parquet`
+table never disagree. A lake written by the streaming sink is read through the sink's commit
+log (`_spark_metadata`); batch `write_lake` is for lakes without a streaming writer. Foreign files in the reference layout `<lake>/<t>/date=<d>/*.parquet`
 (row columns, types inferred per file) are read by footer schema group (H5).
 
 Versioned tables: `<root>/<name>/v=<n>/batch=<k>/`; `batch=0` is the full contents of
@@ -109,7 +110,13 @@ def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
     parts: list[DataFrame] = []
     own = _own_layout(spark, lake, table)
     if own:
-        df = reader.parquet(own).withColumn("_file", F.col("_metadata.file_path"))
+        if exists(spark, f"{lake.rstrip('/')}/_spark_metadata"):
+            # written by the streaming file sink: read through its commit log (committed files
+            # only, never a retried batch's leftovers) and prune to the table's partition
+            df = reader.parquet(lake).where(F.col("table") == table)
+        else:
+            df = reader.parquet(own)
+        df = df.withColumn("_file", F.col("_metadata.file_path"))
         parts.append(df.select(*[c for c in LAKE_COLUMNS if c in df.columns], "_file"))
     foreign = _foreign_layout(spark, lake, table)
     if foreign:

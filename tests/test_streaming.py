@@ -63,3 +63,17 @@ def test_stream_upsert_newest_wins_and_replay_noop(spark, tmp):
     before = store.current("tx")
     run()  # nothing new: no new version
     assert store.current("tx") == before
+
+
+def test_lake_read_ignores_uncommitted_sink_files(spark, tmp):
+    """A file left in the lake by a failed micro-batch is not in the sink's commit log: not read."""
+    import shutil
+
+    changes, lake, ckpt = (os.path.join(tmp, x) for x in ("changes", "lake", "ckpt"))
+    _write(spark, changes, [_ev(1, 1.5, 1), _ev(2, 2.5, 2)])
+    run_until_drained(stream_to_lake(read_changes(spark, "files", changes, ["transactions"]), lake, ckpt, ["transactions"], "availableNow"))
+    part = [d for d in os.listdir(os.path.join(lake, "table=transactions")) if d.startswith("date=")][0]
+    folder = os.path.join(lake, "table=transactions", part)
+    committed = [f for f in os.listdir(folder) if f.endswith(".parquet")][0]
+    shutil.copy(os.path.join(folder, committed), os.path.join(folder, "part-99999-leftover.c000.snappy.parquet"))
+    assert refresh_raw(spark, lake, "transactions").count() == 2
