@@ -67,9 +67,20 @@ def stream_to_lake(
 
 def newest_per_key(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Target ∪ batch, newest version per key under `order`: order-safe merge (late files of
-    an older version cannot overwrite a newer row)."""
-    both = batch if target is None else target.unionByName(batch.select(*target.columns))
-    return latest_by(both, list(keys), list(order))
+    an older version cannot overwrite a newer row).
+
+    Only keys present in the batch can change: target rows of other keys pass through an
+    anti join untouched, and the window runs over the touched target rows plus the batch.
+    With a small batch, AQE broadcasts its key set and the target is never shuffled.
+    """
+    keys, order = list(keys), list(order)
+    if target is None:
+        return latest_by(batch, keys, order)
+    batch = batch.select(*target.columns)
+    batch_keys = batch.select(*keys).distinct()
+    untouched = target.join(batch_keys, keys, "left_anti")
+    touched = target.join(batch_keys, keys, "left_semi")
+    return untouched.unionByName(latest_by(touched.unionByName(batch), keys, order))
 
 
 def stream_upsert(
