@@ -69,10 +69,19 @@ def enrich_current(
     cols: Sequence[str],
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join to the dimension's *current* rows (as of run time, not event time)."""
+    """Left join to the dimension's *current* rows (as of run time, not event time).
+
+    Broadcast when the current rows are proven few; otherwise a shuffle join in which rows
+    with a NULL key (they cannot match) are spread by `null_spread` instead of one reducer.
+    """
     right = current_rows(dim).select(F.col(key).alias("_dim_key"), *[F.col(c) for c in cols])
-    right = broadcast_if_small(right, max_broadcast_rows)
-    return df.join(right, df[key] == right["_dim_key"], "left").drop("_dim_key")
+    if fits(right, max_broadcast_rows):
+        right = F.broadcast(right)
+        return df.join(right, df[key] == right["_dim_key"], "left").drop("_dim_key")
+    left = null_spread(df, F.col(key).isNull(), "_e")
+    right = right.select(F.lit(False).alias("_d_null"), F.lit(0).cast("bigint").alias("_d_salt"), "*")
+    cond = (left["_e_null"] == right["_d_null"]) & (left["_e_salt"] == right["_d_salt"]) & (left[key] == right["_dim_key"])
+    return left.join(right, cond, "left").drop("_e_null", "_e_salt", "_d_null", "_d_salt", "_dim_key")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
