@@ -129,10 +129,21 @@ def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
         )
         groups = _footers(files).filter(F.col("schema").isNotNull())
         # one entry per distinct footer schema (a handful), not per row
-        for sch in [r["schema"] for r in groups.select("schema").distinct().collect()]:
+        schemas = [r["schema"] for r in groups.select("schema").distinct().collect()]
+        lineage = ("_op", "_ts_ms", "_offset", "_file")
+        if len(schemas) == 1:
+            # no drift: read the folder as a whole, no file list through the driver
+            df = (
+                reader.option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.parquet")
+                .parquet(foreign)
+                .withColumn("_file", F.col("_metadata.file_path"))
+            )
+            parts.append(to_raw(df, exclude=("date", "table"), lineage=lineage))
+        for sch in schemas if len(schemas) > 1 else []:
             paths = [r["path"] for r in groups.filter(F.col("schema") == sch).select("path").collect()]
             df = reader.parquet(*paths).withColumn("_file", F.col("_metadata.file_path"))
-            parts.append(to_raw(df, exclude=("date", "table"), lineage=("_op", "_ts_ms", "_offset", "_file")))
+            parts.append(to_raw(df, exclude=("date", "table"), lineage=lineage))
     if not parts:
         return None
     out = parts[0]

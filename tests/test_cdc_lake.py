@@ -148,3 +148,13 @@ def test_table_store_marks(spark, tmp):
     assert store.read_mark("t", "id") == 4
     store.advance_mark("t", "id", spark.range(10, 12), previous=4)
     assert store.read_mark("t", "id") == 11
+
+
+def test_refresh_raw_single_schema_folder(spark, tmp):
+    lake = os.path.join(tmp, "lake1")
+    for d, ids in (("date=2024-01-01", [1, 2]), ("date=2024-01-02", [3])):
+        os.makedirs(os.path.join(lake, "accounts", d))
+        pq.write_table(pa.table({"id": pa.array(ids, pa.int64())}), os.path.join(lake, "accounts", d, "f.parquet"))
+    raw = refresh_raw(spark, lake, "accounts")
+    assert sorted(r[0] for r in raw.select(F.variant_get("v", "$.id", "int")).collect()) == [1, 2, 3]
+    assert raw.filter(F.variant_get("v", "$.date", "string").isNotNull()).count() == 0
