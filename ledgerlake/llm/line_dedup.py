@@ -165,10 +165,15 @@ def removed_lines(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Da
     classes = lines.withColumn("r", F.row_number().over(first)).filter("r = 1").drop("r")
     classes = written(classes.sort("d", "x", "line").withColumn("id", F.monotonically_increasing_id()), "classes")
 
+    enough = F.expr(f"({num} * n + {den - 1}) div {den}")
     by_tok = Window.partitionBy("tok")
-    posts = classes.select("id", "n", F.posexplode("toks").alias("pos", "tok"))
-    posts = posts.withColumn("df", F.count("*").over(by_tok)).filter("df > 1")
-    posts = written(posts.withColumn("pivot", F.min("id").over(by_tok)), "posts")
+    posts = classes.select("id", "n", F.size("toks").alias("len"), F.posexplode("toks").alias("pos", "tok"))
+    posts = written(posts.withColumn("df", F.count("*").over(by_tok)).filter("df > 1").drop("df"), "posts")
+    # prefix tokens of no other line bound what a line can share (cap); too little, and it needs no partner
+    caps = posts.groupBy("id", "n", "len").agg(F.count("*").alias("shared")).withColumn("cap", F.expr("n - len + shared"))
+    posts = posts.join(caps.filter(F.col("cap") >= enough).select("id", "cap"), "id").drop("len")
+    posts = posts.withColumn("pivot", F.min("id").over(by_tok)).withColumn("last", F.max("id").over(by_tok))
+    posts = written(posts.filter("pivot <> last").drop("last"), "posts")
 
     # round 1: each class against the pivot with which it shares most prefix tokens
     near = posts.filter("pivot < id").groupBy("id", "pivot").agg(F.count("*").alias("c"))
@@ -180,10 +185,10 @@ def removed_lines(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Da
     done = links.select(F.col("a").alias("id")).distinct()
 
     # round 2: classes without a match yet, against all earlier classes of their posting lists
-    x = posts.select("tok", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    y = posts.join(done, "id", "left_anti").filter("pivot < id").select("tok", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    x = posts.select("tok", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("cap").alias("cb"))
+    y = posts.join(done, "id", "left_anti").filter("pivot < id").select("tok", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("cap").alias("ca"))
     need = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
-    met = y.join(x, "tok").filter((F.col("b") < F.col("a")) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb")))
+    met = y.join(x, "tok").filter((F.col("b") < F.col("a")) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb")) & (F.least("ca", "cb") >= need))
     pairs = met.withColumn("need", need).groupBy("a", "b").agg(
         F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.first("na").alias("na"), F.first("nb").alias("nb"), F.first("need").alias("need")
     )

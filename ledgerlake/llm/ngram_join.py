@@ -7,7 +7,8 @@ choice follows the lengths of the document's posting lists, counted by Spark.
 
 Hot groups. Equal sets become one class before anything is joined. In each posting list the first document is the
 pivot; every document is verified against the pivot it shares most tokens with, which joins a large group of near
-copies by as many pairs as it has members. Only then are the lists that still hold more than one component joined
+copies by as many pairs as it has members. Prefix tokens that no other document has bound what a document can share;
+where that is too little it needs no partner, which spares near copies just below the threshold. Only then are the lists that still hold more than one component joined
 with themselves, between components. No link between different components is lost, and pairs inside one component
 need no check, as they change no result.
 
@@ -126,19 +127,22 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     # the ids of the classes follow the order of doc_id
     classes = written(classes.sort("d", "h").withColumn("node", F.monotonically_increasing_id()), "classes")
 
+    need = F.expr(f"({num} * n + {den - 1}) div {den}")
     by_tok = Window.partitionBy("tok")
-    posts = classes.select("node", "n", F.posexplode("toks").alias("pos", "tok"))
-    posts = posts.withColumn("df", F.count("*").over(by_tok)).filter("df > 1")
-    posts = written(posts.withColumn("pivot", F.min("node").over(by_tok)), "posts")
+    posts = classes.select("node", "n", F.size("toks").alias("len"), F.posexplode("toks").alias("pos", "tok"))
+    posts = written(posts.withColumn("df", F.count("*").over(by_tok)).filter("df > 1"), "posts")
 
-    need = F.expr(f"({num} * n + {den - 1}) div {den}")
+    # per document: how many tokens can be shared at most (cap), and the cheapest number of tokens to ask for
     base_len = F.col("n") - need + 1
     reads = [F.sum(F.when(F.col("pos") < F.col("p") + k, F.col("df")).otherwise(0)).alias(f"s{k}") for k in range(MAX_MULTI)]
-    costs = posts.withColumn("p", base_len).groupBy("node", "n").agg(*reads)
+    costs = posts.withColumn("p", base_len).groupBy("node", "n", "len").agg(F.count("*").alias("shared"), *reads)
+    costs = costs.withColumn("cap", F.expr("n - len + shared")).filter(F.col("cap") >= need)
     options = [F.struct((F.col(f"s{k}") * (1 + VERIFY_COST / (k + 1))).alias("cost"), F.lit(k + 1).alias("l")) for k in range(MAX_MULTI)]
     options = [options[0]] + [F.when(need >= k + 1, options[k]) for k in range(1, MAX_MULTI)]
-    multi = costs.select("node", F.least(*options).getField("l").alias("l"))
-    posts = written(posts.join(multi, "node").withColumn("p", base_len), "posts")
+    multi = costs.select("node", "cap", F.least(*options).getField("l").alias("l"))
+    posts = posts.drop("df").join(multi, "node").withColumn("p", base_len)
+    posts = posts.withColumn("pivot", F.min("node").over(by_tok)).withColumn("last", F.max("node").over(by_tok))
+    posts = written(posts.filter("pivot <> last").drop("last", "len"), "posts")
 
     # round 1: each document against the pivot with which it shares most tokens of its prefix
     near = posts.filter("pos < p + l - 1 and pivot <> node").groupBy("node", "pivot", "l").agg(F.count("*").alias("c")).filter("c >= l")
@@ -149,19 +153,25 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     # round 2: the posting lists that still hold several components, between these
     member = posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_lists = member.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tok")
-    member = written(member.join(open_lists, "tok").select("tok", "node", "root", "n", "pos", "p", "l"), "open")
-    x = member.select("tok", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "pos", "p")])
-    y = member.select("tok", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "pos", "p", "l")])
+    member = written(member.join(open_lists, "tok").select("tok", "node", "root", "n", "pos", "p", "l", "cap"), "open")
+    x = member.select("tok", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "pos", "p", "cap")])
+    y = member.select("tok", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "pos", "p", "l", "cap")])
+    both = F.expr(f"({num} * (x_n + y_n) + {num + den - 1}) div {num + den}")  # the least intersection that suffices
     met = x.join(y, "tok").filter(
         (F.col("x_node") < F.col("y_node"))
         & (F.col("x_root") != F.col("y_root"))
         & (den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n"))
+        & (F.least("x_cap", "y_cap") >= both)
         & (F.col("x_pos") < F.col("x_p") + F.col("y_l") - 1)
         & (F.col("y_pos") < F.col("y_p") + F.col("y_l") - 1)
     )
-    # a set pair that the first round refused is refused again by its signature or its sets; it is rare and cheap
-    pairs = met.groupBy("x_node", "y_node", "y_l").agg(F.count("*").alias("c")).filter("c >= y_l")
-    more = _verified(docs, classes, pairs.select(F.col("y_node").alias("a"), F.col("x_node").alias("b")), n, num, den)
+    pairs = met.groupBy("x_node", "y_node", "x_n", "y_n", "y_l").agg(
+        F.count("*").alias("c"), F.min("x_pos").alias("x0"), F.min("y_pos").alias("y0"), F.max("x_pos").alias("x1"), F.max("y_pos").alias("y1")
+    )
+    # nothing is shared before the first match; after the last, no more than what is left
+    pairs = pairs.filter("c >= y_l").filter(F.least(F.expr("x_n - x0"), F.expr("y_n - y0"), F.expr("c + x_n - x1 - 1"), F.expr("c + y_n - y1 - 1")) >= both)
+    pairs = pairs.select(F.col("y_node").alias("a"), F.col("x_node").alias("b")).join(links, ["a", "b"], "left_anti")
+    more = _verified(docs, classes, pairs, n, num, den)
     if not is_empty(more):
         roots = components(links.unionAll(more))
 
