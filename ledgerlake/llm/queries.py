@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from ledgerlake.llm.bpe_automaton import op6_bpe_automaton
 from ledgerlake.llm.line_dedup import op8_line_dedup
 from ledgerlake.llm.ngram_join import op10_ngram_join
+from ledgerlake.llm.quality_rules import op9_quality_rules
 
 QUERIES = {
+    "op6_bpe_automaton": op6_bpe_automaton,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality_rules": op9_quality_rules,
     "op10_ngram_join": op10_ngram_join,
 }
 
