@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from ledgerlake.llm.bpe_automaton import op6_bpe_automaton
 from ledgerlake.llm.line_dedup import op8_line_dedup
+from ledgerlake.llm.neighbour_quality import op3_neighbour_quality
 from ledgerlake.llm.ngram_join import op10_ngram_join
 from ledgerlake.llm.ppm import op7_ppm
 from ledgerlake.llm.quality_rules import op9_quality_rules
 
 QUERIES = {
+    "op3_neighbour_quality": op3_neighbour_quality,
     "op6_bpe_automaton": op6_bpe_automaton,
     "op7_ppm": op7_ppm,
     "op8_line_dedup": op8_line_dedup,
