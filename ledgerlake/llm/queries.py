@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerlake.llm.bpe_automaton import op6_bpe_automaton
+from ledgerlake.llm.decontaminate import op2_decontaminate
 from ledgerlake.llm.line_dedup import op8_line_dedup
 from ledgerlake.llm.neighbour_quality import op3_neighbour_quality
 from ledgerlake.llm.ngram_join import op10_ngram_join
@@ -10,6 +11,7 @@ from ledgerlake.llm.ppm import op7_ppm
 from ledgerlake.llm.quality_rules import op9_quality_rules
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_neighbour_quality": op3_neighbour_quality,
     "op6_bpe_automaton": op6_bpe_automaton,
     "op7_ppm": op7_ppm,
