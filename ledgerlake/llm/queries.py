@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from ledgerlake.llm.bpe_automaton import op6_bpe_automaton
+from ledgerlake.llm.chat_format import OP5_SQL, op5_chat_format
 from ledgerlake.llm.decontaminate import op2_decontaminate
 from ledgerlake.llm.line_dedup import op8_line_dedup
 from ledgerlake.llm.neighbour_quality import op3_neighbour_quality
 from ledgerlake.llm.ngram_join import op10_ngram_join
+from ledgerlake.llm.page_text import OP4_SQL, op4_page_text
 from ledgerlake.llm.ppm import op7_ppm
 from ledgerlake.llm.quality_rules import op9_quality_rules
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_neighbour_quality": op3_neighbour_quality,
+    "op4_page_text": op4_page_text,
+    "op5_chat_format": op5_chat_format,
     "op6_bpe_automaton": op6_bpe_automaton,
     "op7_ppm": op7_ppm,
     "op8_line_dedup": op8_line_dedup,
@@ -20,4 +24,7 @@ QUERIES = {
     "op10_ngram_join": op10_ngram_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_page_text": OP4_SQL,
+    "op5_chat_format": OP5_SQL,
+}
