@@ -148,8 +148,8 @@ def _drop_lines(batches):
                 t = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in drop)
             out.append(t)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("d"), pa.array(total, pa.int64()), pa.array([sorted(g) if g else [] for g in gone], pa.list_(pa.int32())), pa.array(out, pa.string())],
-            ["d", "n_lines", "removed", "text"],
+            [batch.column("d"), pa.array(total, pa.int64()), pa.array([sorted(g) if g else [] for g in gone], pa.list_(pa.int32())), pa.array(out, pa.string()), *batch.columns[3:]],
+            ["d", "n_lines", "removed", "text", "more"][: 4 + len(batch.columns[3:])],
         )
 
 
@@ -214,17 +214,22 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, num
     return written(out.mapInArrow(similar(num, den), "a long, b long"), "links")
 
 
-def with_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def with_keys(docs: DataFrame, id_col: str, text_col: str, more: list[str]) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text).alias("x"), text.alias("text"))
+    keys = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text).alias("x"), text.alias("text")]
+    return docs.select(*keys, *([F.struct(*more).alias("more")] if more else []))
 
 
-def line_dedup(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns (doc_id, n_lines, removed, text): the text without the lines whose numbers (from 0) are in removed."""
-    keyed = with_keys(docs, id_col, text_col)
+def line_dedup(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", key_cols: list[str] | None = None) -> DataFrame:
+    """Returns (doc_id, n_lines, removed, text): the text without the lines whose numbers (from 0) are in removed.
+
+    key_cols: further columns of docs to pass through unchanged.
+    """
+    keyed = with_keys(docs, id_col, text_col, key_cols or [])
     out = keyed.join(removed_lines(keyed, n, num, den), ["d", "x"], "left")
-    out = out.select("d", "text", "gone").mapInArrow(_drop_lines, "d long, n_lines long, removed array<int>, text string")
-    return out.select(F.nullif("d", F.lit(NO_ID)).alias(id_col), "n_lines", "removed", F.col("text").alias(text_col))
+    kind = "" if not key_cols else ", more " + docs.select(F.struct(*key_cols).alias("s")).schema["s"].dataType.simpleString()
+    out = out.select("d", "text", "gone", *(["more"] if key_cols else [])).mapInArrow(_drop_lines, "d long, n_lines long, removed array<int>, text string" + kind)
+    return out.select(F.nullif("d", F.lit(NO_ID)).alias(id_col), "n_lines", "removed", F.col("text").alias(text_col), *[F.col("more")[c].alias(c) for c in key_cols or []])
 
 
 def op8_line_dedup(spark, sf_dir):

@@ -8,11 +8,13 @@ from ledgerlake.llm.decontaminate import op2_decontaminate
 from ledgerlake.llm.line_dedup import op8_line_dedup
 from ledgerlake.llm.neighbour_quality import op3_neighbour_quality
 from ledgerlake.llm.ngram_join import op10_ngram_join
+from ledgerlake.llm.packing import op1_packing
 from ledgerlake.llm.page_text import OP4_SQL, op4_page_text
 from ledgerlake.llm.ppm import op7_ppm
 from ledgerlake.llm.quality_rules import op9_quality_rules
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_decontaminate": op2_decontaminate,
     "op3_neighbour_quality": op3_neighbour_quality,
     "op4_page_text": op4_page_text,
