@@ -92,6 +92,8 @@ def rarity(docs: DataFrame, n: int, by_line: bool = False, with_words: bool = Tr
                     fold()
                     size = 0
                     for kind, parts in held.items():
+                        if not parts:
+                            continue
                         k, c = parts[0]
                         if len(k) > 8 * keep:
                             top = np.sort(np.argpartition(-c, 8 * keep)[: 8 * keep])
