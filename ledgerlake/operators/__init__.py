@@ -20,10 +20,8 @@ from ledgerlake.operators.history import (
 )
 from ledgerlake.operators.joins import (
     attach_customer,
-    broadcast_if_small,
     current_rows,
     enrich_current,
-    fits,
     orphans,
 )
 from ledgerlake.operators.merge import (
@@ -45,7 +43,6 @@ __all__ = [
     "assert_unique",
     "attach_customer",
     "avg_zero",
-    "broadcast_if_small",
     "count_where",
     "current",
     "current_rows",
@@ -53,7 +50,6 @@ __all__ = [
     "enrich_current",
     "extract",
     "field",
-    "fits",
     "global_rank",
     "group_mode",
     "latest_by",

@@ -1,8 +1,7 @@
 """Joins used by the models: fact → account owner, event → current dimension, orphans.
 
-Broadcasts happen only behind a bounded row-count check; otherwise the join is left to
-sort-merge with AQE (which may still switch to broadcast on measured runtime sizes and
-split skewed partitions of the left side).
+The choice between a broadcast and a shuffle join is left to AQE, which knows the measured
+sizes at run time and splits skewed partitions of the left side.
 """
 
 from __future__ import annotations
@@ -12,19 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows; reads at most `max_rows + 1` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast only when its row count is proven ≤ `max_rows`."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def null_spread(df: DataFrame, is_null: Column, prefix: str, buckets: int | None = None) -> DataFrame:
     """Add `<prefix>_null` and `<prefix>_salt` join-key columns: rows whose key cannot match
     (a NULL part) get a salt from a hash of the row, others 0. Put both in the join condition
@@ -67,17 +53,13 @@ def enrich_current(
     dim: DataFrame,
     key: str,
     cols: Sequence[str],
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join to the dimension's *current* rows (as of run time, not event time).
 
-    Broadcast when the current rows are proven few; otherwise a shuffle join in which rows
-    with a NULL key (they cannot match) are spread by `null_spread` instead of one reducer.
+    Rows with a NULL key (they cannot match) are spread by `null_spread` instead of meeting in
+    one reducer.
     """
     right = current_rows(dim).select(F.col(key).alias("_dim_key"), *[F.col(c) for c in cols])
-    if fits(right, max_broadcast_rows):
-        right = F.broadcast(right)
-        return df.join(right, df[key] == right["_dim_key"], "left").drop("_dim_key")
     left = null_spread(df, F.col(key).isNull(), "_e")
     right = right.select(F.lit(False).alias("_d_null"), F.lit(0).cast("bigint").alias("_d_salt"), "*")
     cond = (left["_e_null"] == right["_d_null"]) & (left["_e_salt"] == right["_d_salt"]) & (left[key] == right["_dim_key"])

@@ -1,9 +1,8 @@
 """Whole-table windows without a one-partition window on data-sized input.
 
 `share_of_total`  — `x / sum(x) over ()` as a one-row global aggregate broadcast back.
-`global_rank`     — `rank() over (order by x)` from per-value counts: a window only when the
-                    number of distinct values is proven small, otherwise range-partitioned
-                    prefix sums (per-partition totals are the only thing that meets in one place).
+`global_rank`     — `rank() over (order by x)` from per-value counts and prefix sums over value ranges
+                    with fixed bounds (the ranges' totals are the only thing that meets in one place).
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import fits
 
 def share_of_total(df: DataFrame, col: str, out: str = "pct_share", scale: int = 2) -> DataFrame:
     """round(100 * col / nullif(sum(col) over (), 0), scale) as DOUBLE, computed in DECIMAL."""
@@ -37,33 +35,34 @@ def global_rank(
     descending: bool = True,
     nulls_first: bool | None = None,
     dense: bool = False,
-    local_limit: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Competition rank (ties share, gaps follow) or dense rank of `col` over the whole table.
 
-    Default: range-partitioned prefix sums over per-value counts (no job ahead of the query).
-    With `local_limit`, a bounded count check first decides whether one window suffices.
+    The range of a value is an expression over bounds that are literals (approximate quantiles of the values),
+    so every use of it agrees, whatever the optimizer reuses. `col` is numeric, a date or a timestamp.
     """
     weight = F.lit(1) if dense else F.count(F.lit(1))
     counts = df.groupBy(col).agg(weight.cast("bigint").alias("_n"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = df.agg(F.percentile_approx(col, [k / n for k in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    kind = df.schema[col].dataType
+    place = F.lit(0)
+    for b in sorted(set(bounds or [])):
+        place = place + (F.col(col) > F.lit(b).cast(kind)).cast("int")
+    first = descending if nulls_first is None else nulls_first
+    place = F.when(F.col(col).isNull(), F.lit(-1 if first else n)).otherwise(-place + n - 1 if descending else place)
     key = _sort_key(col, descending, nulls_first)
-    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    if local_limit is not None and fits(counts, local_limit):
-        ranks = counts.withColumn(out, F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1)
-        ranks = F.broadcast(ranks.select(F.col(col).alias("_rank_key"), out))
-    else:
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranged = counts.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
-        local_before = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        local = ranged.withColumn("_local", F.coalesce(F.sum("_n").over(local_before), F.lit(0)))
-        totals = ranged.groupBy("_pid").agg(F.sum("_n").alias("_tot"))  # one row per partition
-        offsets = totals.withColumn(
-            "_off",
-            F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-        ranks = local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid").select(
-            F.col(col).alias("_rank_key"), (F.col("_off") + F.col("_local") + 1).alias(out)
-        )
+    ranged = counts.withColumn("_pid", place)
+    local_before = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_n").over(local_before), F.lit(0)))
+    totals = ranged.groupBy("_pid").agg(F.sum("_n").alias("_tot"))  # one row per range
+    offsets = totals.withColumn(
+        "_off",
+        F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    )
+    ranks = local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid").select(
+        F.col(col).alias("_rank_key"), (F.col("_off") + F.col("_local") + 1).alias(out)
+    )
     joined = df.join(ranks, df[col].eqNullSafe(ranks["_rank_key"]), "left").drop("_rank_key")
     return joined.withColumn(out, F.col(out).cast("bigint"))

@@ -100,8 +100,8 @@ def warehouse(spark: SparkSession, cfg: PipelineConfig, ctx: RunContext) -> dict
             store.append(batch, "fact_customer_activity", mark_col="activity_date")
             out["fact_customer_activity"] = store.read("fact_customer_activity")
         else:
-            mark_col = "activity_date" if cfg.activity_mode == "strict" else None
-            store.publish(facts.fact_customer_activity(tx, acc, prev, cfg.activity_mode), "fact_customer_activity", mark_col=mark_col)
+            # whatever the mode, the version's record holds its own mark: a later strict run goes on from it
+            store.publish(facts.fact_customer_activity(tx, acc, prev, cfg.activity_mode), "fact_customer_activity", mark_col="activity_date")
             out["fact_customer_activity"] = store.read("fact_customer_activity")
     if "customer_segments" in stg:
         table("fact_customer_segment", facts.fact_customer_segment(stg["customer_segments"], store.read("fact_customer_segment")))
@@ -132,7 +132,8 @@ def warehouse(spark: SparkSession, cfg: PipelineConfig, ctx: RunContext) -> dict
 
 def history_step(store: TableStore, snap: str, step: DataFrame) -> DataFrame:
     """Store one SCD2 run: versions closed in this run are appended to `<snap>_closed`
-    (append-only), the open versions are published as a new version of `<snap>_open`.
+    (append-only), the open versions are published as a new version of `<snap>_open`. A run that
+    fails between the two and is run again closes each version once.
     The run reads and writes only open versions and changes, never the whole history.
     Returns the full history (closed ∪ open) as a lazy union."""
     from pyspark import StorageLevel
@@ -140,12 +141,14 @@ def history_step(store: TableStore, snap: str, step: DataFrame) -> DataFrame:
 
     step = step.persist(StorageLevel.MEMORY_AND_DISK)  # read twice below; released after the writes
     try:
-        store.append(step.filter(F.col("valid_to").isNotNull()), f"{snap}_closed")
-        store.publish(step.filter(F.col("valid_to").isNull()), f"{snap}_open")
+        # both parts carry the run's generation; closed versions count once the open ones of their run do
+        generation = store.generation(f"{snap}_open") + 1
+        store.append(step.filter(F.col("valid_to").isNotNull()), f"{snap}_closed", generation=generation)
+        store.publish(step.filter(F.col("valid_to").isNull()), f"{snap}_open", generation=generation)
     finally:
         step.unpersist()
     opened = store.read(f"{snap}_open")
-    closed = store.read(f"{snap}_closed")
+    closed = store.read(f"{snap}_closed", generation=generation)
     return opened if closed is None else closed.unionByName(opened)
 
 

@@ -15,7 +15,7 @@ def report_top_services(freq: DataFrame, n: int | None = 10) -> DataFrame:
 
 def report_recent_activity(activity: DataFrame, n: int = 20) -> DataFrame:
     return (
-        activity.orderBy(F.col("activity_date").desc(), F.col("customer_id").asc_nulls_first())
+        activity.orderBy(F.col("activity_date").desc_nulls_first(), F.col("customer_id").asc_nulls_first())
         .select("customer_id", "activity_date", "transactions_count", "total_amount")
         .limit(n)
     )

@@ -142,7 +142,7 @@ def normalize_changes(
 ) -> DataFrame:
     """Row-change payloads of a realtime feed → change envelopes.
 
-    data = payload.data or the payload itself; event type = eventType or event or type;
+    data = payload.data where that is present (also empty), else the payload itself; event type = eventType or event or type;
     INSERT/UPDATE/DELETE (any case) → c/u/d, anything else → r; after = NULL for deletes;
     after-image = new or record, before-image = old or old_record; schema defaults.
     Output: (table, schema, op, envelope) with `envelope` the JSON text of
@@ -152,7 +152,7 @@ def normalize_changes(
     wrapped = F.variant_get(p, "$.data", "variant")
     # each stage is computed once per row and referenced by name
     d = compute_once(df.select(p), _wrapped=wrapped)
-    d = compute_once(d, _data=F.when(_truthy_object(F.col("_wrapped")), F.col("_wrapped")).otherwise(p)).select("_data")
+    d = compute_once(d, _data=F.when(F.col("_wrapped").isNotNull(), F.col("_wrapped")).otherwise(p)).select("_data")
     j = F.col("_data")
     d = d.select(
         F.coalesce(_text(j, "$.eventType"), _text(j, "$.event"), _text(j, "$.type")).alias("_event"),

@@ -38,7 +38,6 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-_SPLITS: dict[str, int] = {}
 _SCHEMAS: dict[str, object] = {}
 
 
@@ -51,23 +50,7 @@ def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
     else:
         df = spark.read.parquet(path)
         _SCHEMAS[path] = df.schema
-    return ensure_parallelism(df, key=path) if spread else df
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Spread an under-split input (e.g. one file of one row group) over the cluster's cores.
-
-    Checked at planning time from the scan's splits (memoized per immutable input path);
-    inputs that already have enough splits — the normal case for large tables — are
-    returned unchanged, without a shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    splits = _SPLITS.get(key) if key else None
-    if splits is None:
-        splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
-        if key:
-            _SPLITS[key] = splits
-    return df if splits >= target else df.repartition(target)
+    return df
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,15 @@ log (`_spark_metadata`); batch `write_lake` is for lakes without a streaming wri
 (row columns, types inferred per file) are read by footer schema group (H5).
 
 Versioned tables: `<root>/<name>/v=<n>/batch=<k>/`; `batch=0` is the full contents of
-version n, later batches are appends. A batch counts once its `_SUCCESS` marker exists, so a
+version n, later batches are appends. A batch counts once its commit record exists, so a
 half-written batch is never read, and nothing is overwritten in place (H19).
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +59,12 @@ def lake_frame(after_images: DataFrame, date: F.Column) -> DataFrame:
 
 
 def write_lake(after_images: DataFrame, lake: str, ctx: RunContext) -> None:
-    """Batch append of after-images, partitioned by table and processing date (UTC)."""
+    """Batch append of after-images, partitioned by table and processing date (UTC).
+
+    A lake that a streaming sink writes is read through the sink's commit log, which would never show these rows: refused.
+    """
+    if exists(after_images.sparkSession, f"{lake.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{lake} is written by a stream; batch rows would not be read from it")
     lake_frame(after_images, ctx.date()).write.mode("append").partitionBy("table", "date").parquet(lake)
 
 
@@ -74,30 +81,47 @@ def _foreign_layout(spark: SparkSession, lake: str, table: str) -> str | None:
     return p if exists(spark, p) else None
 
 
+# URI schemes that pyarrow opens, by their names in Spark
+_ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
 _FOOTER_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("schema", T.StringType())])
 
 
 def _footers(files: DataFrame) -> DataFrame:
-    """Per file: its Parquet footer schema as text, read on the executors (only footers)."""
+    """Per file: its Parquet footer schema as text (None: not a Parquet file), read on the executors.
+
+    Where pyarrow knows the store only the footer is read; of other stores, Spark reads the files' bytes.
+    Only a file that is not Parquet counts as unreadable; a store that fails raises.
+    """
+    scheme = F.regexp_extract("path", r"^([a-z0-9+.-]+):", 1)
+    known = scheme.isin(*_ARROW_SCHEMES)
 
     def read(batches):
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
 
         for pdf in batches:
             out = []
-            for path in pdf["path"]:
-                try:
-                    filesystem, rel = pafs.FileSystem.from_uri(path)
-                    with filesystem.open_input_file(rel) as fh:
-                        sch = pq.read_schema(fh)
-                    out.append(";".join(f"{f.name}:{f.type}" for f in sch))
-                except Exception:  # unreadable file: skipped, as the tolerant load does
-                    out.append(None)
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                if content is None:
+                    name, rest = path.split(":", 1)
+                    filesystem, rel = pafs.FileSystem.from_uri(f"{_ARROW_SCHEMES[name]}:{rest}")
+                    handle = filesystem.open_input_file(rel)
+                else:
+                    handle = pa.BufferReader(content)
+                with handle:
+                    try:
+                        sch = pq.read_schema(handle)
+                        out.append(";".join(f"{f.name}:{f.type}" for f in sch))
+                    except pa.ArrowInvalid:  # not a Parquet file: skipped, as the tolerant load does
+                        out.append(None)
             yield pd.DataFrame({"path": pdf["path"], "schema": out})
 
-    return files.mapInPandas(read, _FOOTER_SCHEMA)
+    native = files.filter(known).select("path", F.lit(None).cast("binary").alias("content"))
+    other = files.filter(~known).select("path", "content")
+    return native.unionAll(other).mapInPandas(read, _FOOTER_SCHEMA)
 
 
 def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
@@ -125,16 +149,19 @@ def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
             .load(foreign)
-            .select("path")
+            .select("path", "content")
         )
         groups = _footers(files).filter(F.col("schema").isNotNull())
         # one entry per distinct footer schema (a handful), not per row
         schemas = [r["schema"] for r in groups.select("schema").distinct().collect()]
         lineage = ("_op", "_ts_ms", "_offset", "_file")
         if len(schemas) == 1:
-            # no drift: read the folder as a whole, no file list through the driver
+            # no drift: read the folder as a whole, no file list through the driver; the schema comes from a
+            # file that could be read, as the reader's own inference may pick one that is not Parquet
+            one = groups.select("path").first()["path"]
             df = (
-                reader.option("recursiveFileLookup", "true")
+                reader.schema(spark.read.parquet(one).schema)
+                .option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.parquet")
                 .parquet(foreign)
                 .withColumn("_file", F.col("_metadata.file_path"))
@@ -171,7 +198,12 @@ _B = re.compile(r"^batch=(\d+)$")
 
 
 class TableStore:
-    """Immutable versions of named tables under one root (shared storage on a cluster)."""
+    """Immutable versions of named tables under one root (shared storage on a cluster).
+
+    A batch is written first and counts once its commit record `_COMMIT` exists: one small file, moved into place
+    in one step, that holds all that belongs to the batch (its high-water marks, the stream batch it came from, its
+    generation). So a run that fails at any point leaves nothing half done, and can be run again.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -179,61 +211,131 @@ class TableStore:
     def _dir(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    # commit records
+
+    def _commit(self, path: str, record: dict) -> None:
+        fs, p = _fs(self.spark, path)
+        jvm = self.spark.sparkContext._jvm
+        temporary = jvm.org.apache.hadoop.fs.Path(p, f"_commit-{uuid.uuid4().hex}.tmp")
+        out = fs.create(temporary, True)
+        out.write(bytearray(json.dumps(record).encode()))
+        out.close()
+        if not fs.rename(temporary, jvm.org.apache.hadoop.fs.Path(p, "_COMMIT")):
+            raise OSError(f"{path} could not be committed")
+
+    def _record(self, path: str) -> dict | None:
+        if not exists(self.spark, f"{path}/_COMMIT"):
+            return None
+        fs, p = _fs(self.spark, f"{path}/_COMMIT")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def records(self, name: str, version: int) -> dict[int, dict]:
+        """The committed batches of a version, with their records."""
+        base, out = f"{self._dir(name)}/v={version}", {}
+        for d in list_dirs(self.spark, base):
+            m = _B.match(d)
+            r = self._record(f"{base}/{d}") if m else None
+            if r is not None:
+                out[int(m.group(1))] = r
+        return dict(sorted(out.items()))
+
     def versions(self, name: str) -> list[int]:
-        vs = []
-        for d in list_dirs(self.spark, self._dir(name)):
-            m = _V.match(d)
-            if m and exists(self.spark, f"{self._dir(name)}/{d}/batch=0/_SUCCESS"):
-                vs.append(int(m.group(1)))
-        return sorted(vs)
+        found = [int(m.group(1)) for m in map(_V.match, list_dirs(self.spark, self._dir(name))) if m]
+        return sorted(v for v in found if self.is_committed(name, v))
 
     def current(self, name: str) -> int | None:
-        vs = self.versions(name)
-        return vs[-1] if vs else None
+        found = sorted((int(m.group(1)) for m in map(_V.match, list_dirs(self.spark, self._dir(name))) if m), reverse=True)
+        return next((v for v in found if self.is_committed(name, v)), None)
 
     def batches(self, name: str, version: int) -> list[int]:
-        base = f"{self._dir(name)}/v={version}"
-        out = []
-        for d in list_dirs(self.spark, base):
-            m = _B.match(d)
-            if m and exists(self.spark, f"{base}/{d}/_SUCCESS"):
-                out.append(int(m.group(1)))
-        return sorted(out)
+        return list(self.records(name, version))
 
-    def read(self, name: str, version: int | None = None) -> DataFrame | None:
+    def generation(self, name: str) -> int:
+        """The generation of the current version (0: none)."""
+        v = self.current(name)
+        return 0 if v is None else self.records(name, v)[0].get("generation", 0)
+
+    def read(self, name: str, version: int | None = None, generation: int | None = None) -> DataFrame | None:
+        """The rows of a version. With `generation`, batches of later generations are left out, and of batches of
+        one generation (a step that was run again) the last counts."""
         v = self.current(name) if version is None else version
         if v is None:
             return None
-        paths = [f"{self._dir(name)}/v={v}/batch={b}" for b in self.batches(name, v)]
-        return self.spark.read.parquet(*paths)
+        records = self.records(name, v)
+        if generation is not None:
+            last = {r.get("generation", 0): b for b, r in records.items() if r.get("generation", 0) <= generation}
+            records = dict.fromkeys(last.values())
+        if not records:
+            return None
+        return self.spark.read.parquet(*[f"{self._dir(name)}/v={v}/batch={b}" for b in records])
 
     def is_committed(self, name: str, version: int) -> bool:
-        return exists(self.spark, f"{self._dir(name)}/v={version}/batch=0/_SUCCESS")
-
-    def publish(self, df: DataFrame, name: str, version: int | None = None, mark_col: str | None = None) -> int:
-        """Write `df` as a new version (the next one, or `version`); readers switch once it
-        is committed. Publishing an already committed `version` is a no-op (replays).
-        With `mark_col`, the table's high-water mark is set from the written files."""
-        if version is not None:
-            if self.is_committed(name, version):
-                return version
-            path = f"{self._dir(name)}/v={version}/batch=0"
-            df.write.mode("overwrite").parquet(path)  # only an uncommitted leftover can be here
-            return version
-        v = (self.current(name) or 0) + 1
-        while exists(self.spark, f"{self._dir(name)}/v={v}"):
-            v += 1  # skip leftovers of a failed attempt
-        path = f"{self._dir(name)}/v={v}/batch=0"
+        return exists(self.spark, f"{self._dir(name)}/v={version}/batch=0/_COMMIT")
+
+    def has_source(self, name: str, source: str) -> bool:
+        """Whether the current version, or one before it, was made from this stream batch."""
+        return any(r.get("source") == source for v in reversed(self.versions(name)) for r in self.records(name, v).values())
+
+    def _write(self, df: DataFrame, name: str, version: int, batch: int, mark_col: str | None, record: dict, previous=None) -> None:
+        path = f"{self._dir(name)}/v={version}/batch={batch}"
         df.write.mode("errorifexists").parquet(path)
         if mark_col:
-            self.advance_mark(name, mark_col, self.spark.read.parquet(path))
+            top = self.spark.read.schema(df.schema).parquet(path).agg(F.max(mark_col).alias("mark"))
+            if previous is not None:
+                top = top.select(F.greatest(F.col("mark"), F.lit(str(previous)).cast(df.schema[mark_col].dataType)).alias("mark"))
+            record = record | {"marks": {mark_col: top.select(F.col("mark").cast("string")).first()[0]}}
+        self._commit(path, record)
+
+    def publish(self, df: DataFrame, name: str, version: int | None = None, mark_col: str | None = None, source: str | None = None, generation: int | None = None) -> int:
+        """Write `df` as a new version; readers switch once it is committed. Publishing an already committed
+        `version` is a no-op. The record holds the high-water mark of `mark_col`, and `source` and `generation`."""
+        v = version
+        if v is not None and self.is_committed(name, v):
+            return v
+        record = {k: x for k, x in (("source", source), ("generation", generation)) if x is not None}
+        if v is None:
+            v = (self.current(name) or 0) + 1
+            while exists(self.spark, f"{self._dir(name)}/v={v}"):
+                v += 1  # skip leftovers of a failed attempt
+        elif exists(self.spark, f"{self._dir(name)}/v={v}/batch=0"):
+            fs, p = _fs(self.spark, f"{self._dir(name)}/v={v}/batch=0")
+            fs.delete(p, True)  # only an uncommitted leftover can be here
+        self._write(df, name, v, 0, mark_col, record)
+        return v
+
+    def append(self, df: DataFrame, name: str, mark_col: str | None = None, generation: int | None = None) -> int:
+        """Add rows to the current version as a new batch (exact for append-only targets), with the advanced mark."""
+        v = self.current(name)
+        if v is None:
+            return self.publish(df, name, mark_col=mark_col, generation=generation)
+        b = max(self.batches(name, v)) + 1
+        while exists(self.spark, f"{self._dir(name)}/v={v}/batch={b}"):
+            b += 1
+        previous = None
+        if mark_col:
+            previous = self.read_mark(name, mark_col)
+            if previous is None:
+                previous = self.read(name).agg(F.max(mark_col)).first()[0]
+        self._write(df, name, v, b, mark_col, {} if generation is None else {"generation": generation}, previous)
         return v
 
+    # high-water marks
+
     def _mark_path(self, name: str, col: str) -> str:
         return f"{self._dir(name)}/_marks/{col}"
 
     def read_mark(self, name: str, col: str):
-        """The kept high-water mark of `col` for table `name`, or None."""
+        """The high-water mark of `col`: of the current version's last batch, or None where that holds none.
+        Of a table without versions, the mark that `advance_mark` kept."""
+        v = self.current(name)
+        if v is not None:
+            text = list(self.records(name, v).values())[-1].get("marks", {}).get(col)
+            kind = self.read(name).schema[col].dataType
+            return None if text is None else self.spark.range(1).select(F.lit(text).cast(kind)).first()[0]
         path = self._mark_path(name, col)
         if not exists(self.spark, f"{path}/_SUCCESS"):
             return None
@@ -241,25 +343,8 @@ class TableStore:
         return None if row is None else row["mark"]
 
     def advance_mark(self, name: str, col: str, batch: DataFrame, previous=None) -> None:
-        """Keep max(previous, max(batch.col)) as the table's mark (aggregates the batch only)."""
+        """Keep max(previous, max(batch.col)) as the mark of a target that is stored elsewhere."""
         m = batch.agg(F.max(col).alias("mark"))
         if previous is not None:
             m = m.select(F.greatest(F.col("mark"), F.lit(str(previous)).cast(batch.schema[col].dataType)).alias("mark"))
         m.write.mode("overwrite").parquet(self._mark_path(name, col))
-
-    def append(self, df: DataFrame, name: str, mark_col: str | None = None) -> int:
-        """Add rows to the current version as a new batch (exact for append-only targets).
-        With `mark_col`, the kept high-water mark advances by the written batch only."""
-        v = self.current(name)
-        if v is None:
-            return self.publish(df, name, mark_col=mark_col)
-        b = max(self.batches(name, v)) + 1
-        while exists(self.spark, f"{self._dir(name)}/v={v}/batch={b}"):
-            b += 1
-        path = f"{self._dir(name)}/v={v}/batch={b}"
-        previous = self.read_mark(name, mark_col) if mark_col else None
-        df.write.mode("errorifexists").parquet(path)
-        if mark_col:
-            source = self.spark.read.parquet(path) if previous is not None else self.read(name)
-            self.advance_mark(name, mark_col, source, previous)
-        return v

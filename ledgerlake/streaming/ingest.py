@@ -5,8 +5,8 @@
                   offsets and the file sink's commit log, so restarts neither lose nor
                   duplicate files (exactly-once sink).
 `stream_upsert`   change stream → per micro-batch newest version per key → merged into a
-                  versioned table; version n+1 belongs to batch n, so a replayed batch is a
-                  no-op.
+                  versioned table; each version's commit record names the query and its batch,
+                  so a replayed batch is a no-op and another query's batch is not taken for one.
 """
 
 from __future__ import annotations
@@ -93,15 +93,18 @@ def stream_upsert(
     transform=None,
     trigger: str | int | float = "availableNow",
 ) -> StreamingQuery:
-    """Merge every micro-batch into table `name` of `store` (version = batch_id + 1)."""
+    """Merge every micro-batch into table `name` of `store`, once for each (query, batch)."""
+    root = checkpoint.rstrip("/")
 
     def merge(batch_df: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if store.is_committed(name, version):
+        # the query's id lives in its checkpoint: a new checkpoint is another query
+        query = batch_df.sparkSession.read.json(f"{root}/metadata").first()["id"]
+        source = f"{query}/{batch_id}"
+        if store.has_source(name, source):
             return  # replayed batch
         rows = transform(batch_df) if transform else batch_df
         target = store.read(name)
-        store.publish(newest_per_key(target, rows, keys, order), name, version)
+        store.publish(newest_per_key(target, rows, keys, order), name, source=source)
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -111,10 +114,13 @@ def stream_upsert(
     )
 
 
-def run_until_drained(q: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for an availableNow/once query; re-raise its failure."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+def run_until_drained(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an availableNow/once query; re-raise its failure. With `timeout_s`, a query that
+    still runs then is stopped and reported as an error: its target is not complete."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
+        raise TimeoutError(f"the stream was not drained within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -70,14 +70,21 @@ def test_share_and_rank(spark):
     assert zero.first()["pct"] is None
 
 
-def test_global_rank_distributed_path_equals_window(spark):
-    df = spark.range(0, 5000).select((F.col("id") % 397).alias("v"))
-    small = global_rank(df, "v", "r1", local_limit=1000)
-    big = global_rank(df, "v", "r2", partitions=7)
-    a = small.groupBy("v", "r1").count()
-    b = big.groupBy("v", "r2").count()
-    assert rows(a, "v", "r1", "count") == rows(b, "v", "r2", "count")
-    dense = global_rank(df, "v", "d", dense=True, partitions=5).select("v", "d").distinct()
+def test_global_rank_equals_window_without_exchange_reuse(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 5000).select(F.when(F.col("id") % 97 > 0, F.col("id") % 397).alias("v"))
+    order = Window.orderBy(F.col("v").desc_nulls_first())
+    want = rows(df.withColumn("r", F.rank().over(order)).groupBy("v", "r").count(), "v", "r", "count")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = rows(global_rank(df, "v", "r", partitions=7).groupBy("v", "r").count(), "v", "r", "count")
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        assert got == want
+    dense = global_rank(df.dropna(), "v", "d", dense=True, partitions=5).select("v", "d").distinct()
     assert rows(dense, "v", "d")[:3] == [(0, 397), (1, 396), (2, 395)]
 
 

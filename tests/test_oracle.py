@@ -8,7 +8,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerlake.plans.catalog import QUERIES
+from ledgerlake.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -43,7 +45,7 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
@@ -53,11 +55,11 @@ def test_entry_runs(spark):
     assert "usage_rank" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    sdf = queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     scols, srows = normalized(sdf.columns, [tuple(r) for r in sdf.collect()])
-    rel = con.sql(oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     ocols, orows = normalized(rel.columns, rel.fetchall())
     assert scols == ocols
     assert len(srows) == len(orows)
