@@ -57,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir() or current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", local)
