@@ -29,6 +29,7 @@ from ledgerlake.llm.rarity import Rarity, rarity
 from ledgerlake.llm.tables import is_empty, written
 
 NO_ID = (1 << 63) - 1
+SKETCH_BITS = 26
 LINES = "d long, x long, line int, n int, h long, g long, toks array<long>"
 
 
@@ -100,6 +101,14 @@ def _lines(r: Rarity, n: int, num: int, den: int):
     return run
 
 
+def _token_sets(n: int):
+    def sets(block):
+        _, _, first, toks, _ = line_sets(block, n)
+        return toks, first
+
+    return sets
+
+
 def _line_sets_of(n: int):
     """The whole sets of the wanted lines of each text."""
 
@@ -120,6 +129,44 @@ def _line_sets_of(n: int):
     return run
 
 
+def held_elsewhere(docs: DataFrame, alone: DataFrame, sets) -> DataFrame:
+    """(tok): the tokens of alone(tok) that the whole sets of two or more classes hold.
+
+    sets gives the tokens of a block's sets, without empty sets, and where each set begins. Every set of docs(text) is
+    read. Tasks send only what a bit table of fixed size lets through (a token of alone always passes), with the set's
+    hash, and counts are by token, so a frequent token is folded before it is dealt out.
+    """
+    spark = docs.sparkSession
+    low = (1 << SKETCH_BITS) - 1
+    bits = alone.select(F.explode(F.array(F.expr(f"tok & {low}"), F.expr(f"shiftrightunsigned(tok, {SKETCH_BITS}) & {low}"))).alias("k"))
+    bits = bits.groupBy(F.expr("shiftright(k, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(k & 63 as int)))").alias("b")).toArrow()
+    sketch = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
+    sketch[bits.column("w").to_numpy()] = bits.column("b").to_numpy().view(np.uint64)
+    table = spark.sparkContext.broadcast(sketch)
+
+    def run(batches):
+        has = lambda k: (table.value[k >> np.uint64(6)] >> (k & np.uint64(63))) & np.uint64(1) == 1
+        for batch in batches:
+            for block in W.blocks(batch.column(0)):
+                toks, first = sets(block)
+                h, _ = set_hashes(toks, first)
+                hit = np.flatnonzero(has(toks & np.uint64(low)))
+                hit = hit[has((toks[hit] >> np.uint64(SKETCH_BITS)) & np.uint64(low))]
+                of = np.searchsorted(first, hit, side="right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(toks[hit].view(np.int64)), pa.array(h[of])], ["tok", "h"])
+
+    held = docs.select("text").mapInArrow(run, "tok long, h long").groupBy("tok").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    return held.filter("lo <> hi").select("tok")
+
+
+def shared_tokens(docs: DataFrame, prefixes: DataFrame, node: str, sets) -> DataFrame:
+    """(node, more): per node, its prefix tokens that no other prefix has (df = 1), but another whole set."""
+    some = prefixes.filter("df > 1").select(node).distinct()
+    alone = written(prefixes.filter("df = 1").join(some, node, "left_semi").select(node, "tok"), "alone")
+    held = held_elsewhere(docs, alone, sets)
+    return alone.join(held, "tok", "left_semi").groupBy(node).agg(F.count("*").alias("more"))
+
+
 def similar(num: int, den: int):
     """Keeps the pairs (a, b) whose sets sx and sy (sorted hashes as bytes) have den * both >= num * union."""
 
@@ -168,9 +215,12 @@ def removed_lines(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Da
     enough = F.expr(f"({num} * n + {den - 1}) div {den}")
     by_tok = Window.partitionBy("tok")
     posts = classes.select("id", "n", F.size("toks").alias("len"), F.posexplode("toks").alias("pos", "tok"))
-    posts = written(posts.withColumn("df", F.count("*").over(by_tok)).filter("df > 1").drop("df"), "posts")
-    # prefix tokens of no other line bound what a line can share (cap); too little, and it needs no partner
-    caps = posts.groupBy("id", "n", "len").agg(F.count("*").alias("shared")).withColumn("cap", F.expr("n - len + shared"))
+    prefixes = written(posts.withColumn("df", F.count("*").over(by_tok)), "prefixes")
+    posts = prefixes.filter("df > 1").drop("df")
+    # prefix tokens that no other line's whole set has bound what a line can share (cap); too little, and it needs no partner
+    more = shared_tokens(docs, prefixes, "id", _token_sets(n))
+    caps = posts.groupBy("id", "n", "len").agg(F.count("*").alias("shared")).join(more, "id", "left")
+    caps = caps.withColumn("cap", F.expr("n - len + shared + coalesce(more, 0)"))
     posts = posts.join(caps.filter(F.col("cap") >= enough).select("id", "cap"), "id").drop("len")
     posts = posts.withColumn("pivot", F.min("id").over(by_tok)).withColumn("last", F.max("id").over(by_tok))
     posts = written(posts.filter("pivot <> last").drop("last"), "posts")

@@ -7,8 +7,8 @@ choice follows the lengths of the document's posting lists, counted by Spark.
 
 Hot groups. Equal sets become one class before anything is joined. In each posting list the first document is the
 pivot; every document is verified against the pivot it shares most tokens with, which joins a large group of near
-copies by as many pairs as it has members. Prefix tokens that no other document has bound what a document can share;
-where that is too little it needs no partner, which spares near copies just below the threshold. Only then are the lists that still hold more than one component joined
+copies by as many pairs as it has members. Prefix tokens that no other document's whole set has bound what a document can
+share (a token of one prefix may lie beyond the prefix of another, so whole sets are read for this); where that is too little it needs no partner, which spares near copies just below the threshold. Only then are the lists that still hold more than one component joined
 with themselves, between components. No link between different components is lost, and pairs inside one component
 need no check, as they change no result.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
-from ledgerlake.llm.line_dedup import set_hashes, similar
+from ledgerlake.llm.line_dedup import set_hashes, shared_tokens, similar
 from ledgerlake.llm.rarity import Rarity, rarity, word_scores
 from ledgerlake.llm.tables import components, is_empty, written
 
@@ -96,6 +96,16 @@ def _full_sets(n: int):
     return run
 
 
+def _token_sets(n: int):
+    """The tokens of a block's sets that are not empty, and where each set begins."""
+
+    def sets(block):
+        parts = [s for _, s in W.shingle_sets(block, n) if len(s)]
+        return np.concatenate([np.zeros(0, np.uint64), *parts]), np.concatenate([[0], np.cumsum([len(s) for s in parts], dtype=np.int64)])
+
+    return sets
+
+
 def _signatures_allow(num: int, den: int):
     """Drops pairs whose bucket counts alone prove too large a difference (an exact bound)."""
 
@@ -130,13 +140,15 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     need = F.expr(f"({num} * n + {den - 1}) div {den}")
     by_tok = Window.partitionBy("tok")
     posts = classes.select("node", "n", F.size("toks").alias("len"), F.posexplode("toks").alias("pos", "tok"))
-    posts = written(posts.withColumn("df", F.count("*").over(by_tok)).filter("df > 1"), "posts")
+    prefixes = written(posts.withColumn("df", F.count("*").over(by_tok)), "prefixes")
+    posts = prefixes.filter("df > 1")
 
     # per document: how many tokens can be shared at most (cap), and the cheapest number of tokens to ask for
     base_len = F.col("n") - need + 1
     reads = [F.sum(F.when(F.col("pos") < F.col("p") + k, F.col("df")).otherwise(0)).alias(f"s{k}") for k in range(MAX_MULTI)]
     costs = posts.withColumn("p", base_len).groupBy("node", "n", "len").agg(F.count("*").alias("shared"), *reads)
-    costs = costs.withColumn("cap", F.expr("n - len + shared")).filter(F.col("cap") >= need)
+    more = shared_tokens(docs, prefixes, "node", _token_sets(n))
+    costs = costs.join(more, "node", "left").withColumn("cap", F.expr("n - len + shared + coalesce(more, 0)")).filter(F.col("cap") >= need)
     options = [F.struct((F.col(f"s{k}") * (1 + VERIFY_COST / (k + 1))).alias("cost"), F.lit(k + 1).alias("l")) for k in range(MAX_MULTI)]
     options = [options[0]] + [F.when(need >= k + 1, options[k]) for k in range(1, MAX_MULTI)]
     multi = costs.select("node", "cap", F.least(*options).getField("l").alias("l"))

@@ -9,9 +9,11 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import bpe_automaton, chat_format, packing, page_text, ppm
+from ledgerlake.llm import words as W
 from ledgerlake.llm.decontaminate import lcs, leaks
 from ledgerlake.llm.line_dedup import line_dedup
 from ledgerlake.llm.neighbour_quality import neighbour_quality
@@ -117,6 +119,34 @@ def test_line_dedup_equals_brute_force(docs, rows):
             assert r["text"] is None and r["n_lines"] == 0
 
 
+def longer_copies(spark, n, size, extra, triples=16):
+    """Triples C, A, B, one row each, by id: B is A behind rare words, and C has the first tokens of A, so that A and B meet C first."""
+    r = random.Random(n)
+    word = lambda: "w" + str(r.randrange(10**9))
+    rows = []
+    for k in range(triples):
+        a = [word() for _ in range(size + n - 1)]
+        b = [word() for _ in range(extra)] + a
+        order = np.argsort(W.ngrams(W.words(next(W.blocks(pa.array([" ".join(a)]))), True)[0], n))
+        c = [x for at in order[: (extra + size) // n // 2] for x in a[at : at + n]]
+        c += [word() for _ in range(extra + size + n - 1 - len(c))]
+        rows += [(3 * k, " ".join(c)), (3 * k + 1, " ".join(a)), (3 * k + 2, " ".join(b))]
+    # a task for each row: no token is counted twice in one, and all are ordered by hash
+    return rows, spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+
+
+def test_ngram_join_links_longer_copies(spark):
+    rows, table = longer_copies(spark, 3, 90, 10)
+    got = {x["doc_id"]: x["component_id"] for x in ngram_join(table, 3, 9, 10).collect()}
+    assert got == {i: i - (i % 3 == 2) for i, _ in rows}
+
+
+def test_line_dedup_removes_longer_copies(spark):
+    rows, table = longer_copies(spark, 5, 80, 20)
+    got = {x["doc_id"]: x["removed"] for x in line_dedup(table).collect()}
+    assert got == {i: [0] if i % 3 == 2 else [] for i, _ in rows}
+
+
 def test_line_dedup_of_empty_table(empty):
     assert line_dedup(empty).count() == 0
 
