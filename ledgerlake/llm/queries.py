@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerlake.llm.bpe_automaton import op6_bpe_automaton
 from ledgerlake.llm.chat_format import OP5_SQL, op5_chat_format
 from ledgerlake.llm.decontaminate import op2_decontaminate
+from ledgerlake.llm.lexical_search import OP11_SQL, op11_lexical_search
 from ledgerlake.llm.line_dedup import op8_line_dedup
 from ledgerlake.llm.neighbour_quality import op3_neighbour_quality
 from ledgerlake.llm.ngram_join import op10_ngram_join
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_join": op10_ngram_join,
+    "op11_lexical_search": op11_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
     "op4_page_text": OP4_SQL,
     "op5_chat_format": OP5_SQL,
+    "op11_lexical_search": OP11_SQL,
 }
