@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerlake.llm.bpe_automaton import op6_bpe_automaton
 from ledgerlake.llm.chat_format import OP5_SQL, op5_chat_format
 from ledgerlake.llm.decontaminate import op2_decontaminate
+from ledgerlake.llm.learned_ann import op12_learned_ann
 from ledgerlake.llm.lexical_search import OP11_SQL, op11_lexical_search
 from ledgerlake.llm.line_dedup import op8_line_dedup
 from ledgerlake.llm.neighbour_quality import op3_neighbour_quality
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_join": op10_ngram_join,
     "op11_lexical_search": op11_lexical_search,
+    "op12_learned_ann": op12_learned_ann,
 }
 
 ORACLE: dict[str, str] = {
