@@ -38,6 +38,7 @@ SAMPLE = 16_384
 PART_ROWS, MAX_PARTS = 1024, 256  # rows of a part, as long as there are not more than so many parts
 CELL = 2048  # rows that a task holds at once
 RECALL = 0.96  # of the held-out neighbours
+LEAST = (0.3, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.875, 0.9, 0.925, 0.95, 0.96, 0.97, 0.98, 0.99, 0.995, 0.999, 0.9999)
 NEIGHBOURS, HIDDEN, EPOCHS, BATCH, RATE = 10, 128, 12, 256, 2e-3
 
 
@@ -137,6 +138,9 @@ class Router:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def cooled(self, t: float) -> Router:
+        return Router([*self.w[:2], self.w[2] / np.float32(t), self.w[3] / np.float32(t)])
+
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, seed: int = 7) -> Router:
         rng = np.random.default_rng(seed)
@@ -183,8 +187,11 @@ def fit_router(x: np.ndarray, longest: float, parts: int, recall: float = RECALL
     router = Router.fit(np.vstack([held[train], asked[train]]), np.vstack([(own + shares) / 2, shares]))
     test = np.flatnonzero(out)
     near = nearest(asked[test], held[test], min(TOP, len(test) - 1), own=True)
-    place, chances = router(held[test]).argmax(axis=1), router(asked[test])
-    for least in (0.3, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.925, 0.95, 0.97, 0.98, 0.99, 0.995):
+    place = router(held[test]).argmax(axis=1)
+    # its certainty on vectors that it hasn't seen: the temperature at which their neighbours' parts are likeliest
+    router = max((router.cooled(t) for t in (1, 1.5, 2, 3, 4, 6, 8)), key=lambda r: np.log(np.take_along_axis(r(asked[test]), place[near], 1) + 1e-9).sum())
+    chances = router(asked[test])
+    for least in LEAST:
         if np.take_along_axis(reach(chances, least), place[near], 1).mean() >= recall:
             return router, least
     return router, 2.0

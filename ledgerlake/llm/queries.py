@@ -14,6 +14,7 @@ from ledgerlake.llm.packing import op1_packing
 from ledgerlake.llm.page_text import OP4_SQL, op4_page_text
 from ledgerlake.llm.ppm import op7_ppm
 from ledgerlake.llm.quality_rules import op9_quality_rules
+from ledgerlake.llm.turn_repair import OP13_SQL, op13_turn_repair
 
 QUERIES = {
     "op1_packing": op1_packing,
@@ -28,10 +29,12 @@ QUERIES = {
     "op10_ngram_join": op10_ngram_join,
     "op11_lexical_search": op11_lexical_search,
     "op12_learned_ann": op12_learned_ann,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE: dict[str, str] = {
     "op4_page_text": OP4_SQL,
     "op5_chat_format": OP5_SQL,
     "op11_lexical_search": OP11_SQL,
+    "op13_turn_repair": OP13_SQL,
 }
