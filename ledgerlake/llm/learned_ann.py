@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by learned partitions (largest inner product).
 
-Fit, on a sample of at most SAMPLE vectors (the rows of smallest id hash, one an id; a documented bound): the exact
+Fit, on a sample of at most SAMPLE vectors and SAMPLE_BYTES (the rows of smallest id hash, one an id; a documented bound): the exact
 neighbour graph of the sample, cut into equal parts by recursive bisection (a spectral start, then swaps that lower the
 cut), and a small classifier with one hidden layer that learns a vector's part and the parts of its neighbours. A fifth
 of the sample is kept from both; on it the classifier's summed probability is chosen at which RECALL of the true
@@ -9,7 +9,8 @@ neighbours lie in the most probable parts.
 Search. Every row of the table is placed in its most probable part. A part of more than CELL rows is dealt over several
 cells. A query goes to the cells of its most probable parts, as many as the chosen sum asks for, and is compared there
 with every vector; a window by query merges the cells' lists. A task holds one cell of vectors and lets queries stream
-past, so no part or query set has to fit in one task. If parts tell nothing about neighbours, the chosen sum is 1 and
+past, so no part or query set has to fit in one task. A query carries a bar, the score of its last neighbour among the
+sample's rows, and a cell returns only rows that reach it, since its true neighbours do. If parts tell nothing about neighbours, the chosen sum is 1 and
 all parts are searched.
 
 For inner products of vectors of unlike length, vectors and queries get one component more, by which the largest inner
@@ -27,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ from ledgerlake.llm.tables import written
 
 TOP = 20
 QUERY_EVERY = 20
-SAMPLE = 16_384
+SAMPLE, SAMPLE_BYTES = 16_384, 32 << 20
 PART_ROWS, MAX_PARTS = 1024, 256  # rows of a part, as long as there are not more than so many parts
 CELL = 2048  # rows that a task holds at once
 RECALL = 0.96  # of the held-out neighbours
@@ -42,13 +44,27 @@ LEAST = (0.3, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.875, 0.9, 0.925, 0.95, 0.96, 0.9
 NEIGHBOURS, HIDDEN, EPOCHS, BATCH, RATE = 10, 128, 12, 256, 2e-3
 
 
+def _usable(batches):
+    for batch in batches:
+        ids, v = batch.columns
+        size = np.where(np.array(v.is_null()), 0, pc.list_value_length(v).fill_null(0).to_numpy())
+        x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64)  # a null component becomes nan
+        some = np.flatnonzero(size)
+        if len(some):
+            starts = np.append(0, np.cumsum(size[some])[:-1])
+            fine = np.logical_and.reduceat(np.isfinite(x), starts)
+            x = np.where(np.isfinite(x), x, 0)
+            most = np.maximum.reduceat(np.abs(x), starts)
+            norm = most * np.sqrt(np.add.reduceat((x / np.repeat(np.where(most > 0, most, 1), size[some])) ** 2, starts))
+            keep = fine & (most > 0) & ~np.array(ids.is_null())[some]
+            at = pa.array(some[keep])
+            yield pa.RecordBatch.from_arrays([ids.take(at), v.take(at), pa.array(norm[keep]), pa.array(size[some][keep], pa.int32())], ["vec_id", "v", "norm", "d"])
+
+
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, v, norm) of the vectors that take part, whatever their dimension."""
-    v = F.col("v")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v")).filter(F.col("vec_id").isNotNull() & (F.size("v") > 0))
-    rows = rows.filter(F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))) & F.exists(v, lambda x: x != 0))
-    most = F.array_max(F.transform(v, lambda x: F.abs(x).cast("double")))
-    return rows.withColumn("norm", most * F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + (x / most) * (x / most))))
+    """(vec_id, v, norm, d) of the vectors that take part, whatever their dimension d."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
+    return rows.mapInArrow(_usable, f"vec_id long, v {rows.schema['v'].dataType.simpleString()}, norm double, d int")
 
 
 def _matrix(column) -> np.ndarray:
@@ -202,25 +218,40 @@ def fit_router(x: np.ndarray, longest: float, parts: int, recall: float = RECALL
 
 def _fit_task(longest: float, parts: int):
     def fit(batches):
-        rows = pa.Table.from_batches(batches)
-        if rows.num_rows:
-            router, least = fit_router(_matrix(rows.column("v").combine_chunks()), longest, parts)
-            yield pa.RecordBatch.from_pydict({"least": [least], "w": [[p.astype("<f4").tobytes() for p in router.w]]})
+        batches = list(batches)
+        rows = pa.Table.from_batches(batches) if batches else pa.table({})
+        if rows.num_rows >= 4 * TOP:  # else few ids make up the table, and there is one part
+            x = _matrix(rows.column("v").combine_chunks())
+            router, least = fit_router(x, longest, parts)
+            w = [[p.astype("<f4").tobytes() for p in router.w]]
+            yield pa.RecordBatch.from_pydict({"least": [least], "w": w, "ids": [rows.column("vec_id").to_numpy().astype("<i8").tobytes()], "x": [x.astype("<f8").tobytes()]})
 
     return fit
 
 
-def _scored(asked: np.ndarray, ids: list, held: np.ndarray, names: np.ndarray, top: int):
-    """Per query, its nearest rows of a cell: (query, row id, score), ties to the smaller id."""
+def bars(asked: np.ndarray, ids: np.ndarray, held: np.ndarray, names: np.ndarray, top: int) -> np.ndarray:
+    """A score that each query's nearest rows reach at least: that of its last one among the sample's rows."""
+    if len(held) <= top:
+        return np.full(len(asked), -np.inf)
+    out = []
+    for lo in range(0, len(asked), 256):
+        s = asked[lo : lo + 256] @ held.T
+        s[ids[lo : lo + 256, None] == names[None, :]] = -np.inf
+        bar = np.partition(s, len(held) - top, axis=1)[:, len(held) - top]
+        out.append(bar - 1e-9 * np.maximum(1.0, np.abs(bar)))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+def _scored(asked: np.ndarray, ids: list, least: np.ndarray, held: np.ndarray, names: np.ndarray, top: int):
+    """Per query, its nearest rows of a cell that reach its bar: (query, row id, score), ties to the smaller id."""
     s = asked @ held.T
     for i, q in enumerate(ids):
         row = s[i]
         row[names == q] = -np.inf
-        if len(row) > top:
-            bar = np.partition(row, len(row) - top)[len(row) - top]
-            some = np.flatnonzero((row >= bar - 1e-9 * max(1.0, abs(bar))) & (row > -np.inf))
-        else:
-            some = np.flatnonzero(row > -np.inf)
+        some = np.flatnonzero((row >= least[i]) & (row > -np.inf))
+        if len(some) > top:
+            bar = np.partition(row[some], len(some) - top)[len(some) - top]
+            some = some[row[some] >= bar - 1e-9 * max(1.0, abs(bar))]
         exact = (held[some] * asked[i]).sum(axis=1)  # one order of summing for all rows
         for j in np.lexsort((names[some], -exact))[:top]:
             yield q, int(names[some[j]]), float(exact[j])
@@ -231,7 +262,7 @@ def _search(top: int):
         cell, held, names, fixed = None, [], [], None
         for batch in batches:
             cells, queries = batch.column("cell").to_numpy(), batch.column("query").to_numpy(zero_copy_only=False)
-            vectors, ids = _matrix(batch.column("v")), batch.column("vec_id").to_numpy()
+            vectors, ids, least = _matrix(batch.column("v")), batch.column("vec_id").to_numpy(), batch.column("bar").to_numpy(zero_copy_only=False)
             out = []
             cuts = np.flatnonzero(np.append(True, (cells[1:] != cells[:-1]) | (queries[1:] != queries[:-1])))
             for lo, hi in zip(cuts, [*cuts[1:], len(cells)], strict=True):
@@ -243,7 +274,8 @@ def _search(top: int):
                 elif held:
                     fixed = fixed or (np.concatenate(held), np.concatenate(names))
                     for a in range(lo, hi, 256):
-                        out.extend(_scored(vectors[a : min(a + 256, hi)], ids[a : min(a + 256, hi)].tolist(), *fixed, top))
+                        own = slice(a, min(a + 256, hi))
+                        out.extend(_scored(vectors[own], ids[own].tolist(), least[own], *fixed, top))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
@@ -254,22 +286,25 @@ def learned_ann(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP, pa
     """(query_id, rank, vec_id, score): for every row whose id divides by every, its nearest other rows."""
     spark = vectors.sparkSession
     rows = usable(vectors)
-    kinds = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
+    kinds = rows.groupBy("d").agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
     kind = kinds.orderBy(F.col("n").desc(), F.col("d").desc()).first()
-    nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if kind is None:
-        return nothing
-    rows = rows.filter(F.size("v") == kind.d).select("vec_id", "v")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = rows.filter(F.col("d") == kind.d).select("vec_id", "v")
     parts = min(MAX_PARTS, 1 << max(0, round(math.log2(kind.n / part_rows))))
-    router, least = None, 2.0
+    router, least, known = None, 2.0, (np.zeros((0, kind.d)), np.zeros(0, np.int64))
     if parts > 1:
-        share = min(1.0, 1.1 * SAMPLE / kind.n)
+        most = min(SAMPLE, SAMPLE_BYTES // (8 * kind.d))
+        share = min(1.0, 1.1 * most / kind.n)
         mark = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))
-        sample = rows.filter(mark <= int(share * (1 << 40))).groupBy("vec_id").agg(F.min("v").alias("v")).orderBy(mark, "vec_id").limit(SAMPLE)
+        sample = rows.filter(mark <= int(share * (1 << 40))).groupBy("vec_id").agg(F.min("v").alias("v")).orderBy(mark, "vec_id").limit(most)
         sample = written(sample, "sample").coalesce(1).sortWithinPartitions(mark, "vec_id")
-        fitted = sample.mapInArrow(_fit_task(kind.longest, parts), "least double, w array<binary>").first()
-        router, least = Router([np.frombuffer(bytes(w), "<f4") for w in fitted.w]), fitted.least
-        router.w[0], router.w[2] = router.w[0].reshape(-1, HIDDEN), router.w[2].reshape(HIDDEN, -1)
+        fitted = sample.mapInArrow(_fit_task(kind.longest, parts), "least double, w array<binary>, ids binary, x binary").first()
+        if fitted:
+            w1, b1, w2, b2 = (np.frombuffer(bytes(w), "<f4") for w in fitted.w)
+            router, least = Router([w1.reshape(-1, HIDDEN), b1, w2.reshape(HIDDEN, -1), b2]), fitted.least
+            known = np.frombuffer(bytes(fitted.x), "<f8").reshape(-1, kind.d), np.frombuffer(bytes(fitted.ids), "<i8")
+    shared = spark.sparkContext.broadcast(known)  # at most SAMPLE_BYTES
     longest = kind.longest
 
     def place(batches):
@@ -285,18 +320,19 @@ def learned_ann(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP, pa
         for batch in batches:
             if batch.num_rows:
                 x = _forms(_matrix(batch.column("v")), longest)[1]
+                bar = bars(_matrix(batch.column("v")), batch.column("vec_id").to_numpy(), *shared.value, top)
                 who, p = np.nonzero(reach(router(x), least)) if router else (np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *batch.take(pa.array(who)).columns], ["part", "vec_id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *batch.take(pa.array(who)).columns, pa.array(bar[who])], ["part", "vec_id", "v", "bar"])
 
     of = rows.schema["v"].dataType.simpleString()
     placed = written(rows.mapInArrow(place, f"part int, salt long, vec_id long, v {of}"), "placed")
     cells = placed.groupBy("part").agg(F.ceil(F.count("*") / CELL).alias("cells"))  # a row per part
     number = F.col("part") + MAX_PARTS * F.col("k")
     held = placed.join(F.broadcast(cells), "part").withColumn("k", F.pmod(F.xxhash64("salt"), "cells"))
-    held = held.select(number.alias("cell"), F.lit(False).alias("query"), "vec_id", "v")
+    held = held.select(number.alias("cell"), F.lit(False).alias("query"), "vec_id", "v", F.lit(0.0).alias("bar"))
     asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = asked.mapInArrow(route, f"part int, vec_id long, v {of}").join(F.broadcast(cells), "part")
-    asked = asked.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))).select(number.alias("cell"), F.lit(True).alias("query"), "vec_id", "v")
+    asked = asked.mapInArrow(route, f"part int, vec_id long, v {of}, bar double").join(F.broadcast(cells), "part")
+    asked = asked.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))).select(number.alias("cell"), F.lit(True).alias("query"), "vec_id", "v", "bar")
     stream = held.unionByName(asked).repartition("cell").sortWithinPartitions("cell", "query")
     near = stream.mapInArrow(_search(top), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))

@@ -179,6 +179,8 @@ def test_learned_ann_of_little(spark):
     assert ann.learned_ann(spark.createDataFrame([], kind)).collect() == []
     assert ann.learned_ann(spark.createDataFrame([(20, None), (0, [0.0])], kind)).collect() == []
     assert ann.learned_ann(spark.createDataFrame([(20, [1.0])], kind)).collect() == []
+    few = spark.createDataFrame([(i % 3, [1.0, float(i % 5)]) for i in range(600)], kind)  # many rows, few ids
+    assert {r.vec_id for r in ann.learned_ann(few, part_rows=64).collect()} == {1, 2}
     got = ann.learned_ann(spark.createDataFrame([(20, [1e200, 1.0]), (21, [2.0, 1.0]), (22, [2.0, 1.0]), (23, [-1.0, 0.0])], kind))
     assert [(r.query_id, r["rank"], r.vec_id) for r in got.collect()] == [(20, 1, 21), (20, 2, 22), (20, 3, 23)]
 
