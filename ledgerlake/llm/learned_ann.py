@@ -10,7 +10,7 @@ Search. Every row of the table is placed in its most probable part. A part of mo
 cells. A query goes to the cells of its most probable parts, as many as the chosen sum asks for, and is compared there
 with every vector; a window by query merges the cells' lists. A task holds one cell of vectors and lets queries stream
 past, so no part or query set has to fit in one task. A query carries a bar, the score of its last neighbour among the
-sample's rows, and a cell returns only rows that reach it, since its true neighbours do. If parts tell nothing about neighbours, the chosen sum is 1 and
+sample's rows, and a cell returns only rows that reach it, since its true neighbours do; the sample's own are found as well. If parts tell nothing about neighbours, the chosen sum is 1 and
 all parts are searched.
 
 For inner products of vectors of unlike length, vectors and queries get one component more, by which the largest inner
@@ -18,8 +18,8 @@ product is the nearest direction. Scores are those of the original vectors in do
 scores, and ties go to the smaller id.
 
 Defined cases: vectors that are null, zero, empty, or hold a null or non-finite component take no part, nor do rows
-without id or of another dimension than most vectors have. A query isn't compared with rows of its own id. Of rows that
-share an id, each is a candidate; as a query the one with the smallest vector counts. Other columns are ignored.
+without id or of another dimension than most vectors have. A query isn't compared with rows of its own id. Rows that
+share an id are candidates each, but equal ones once; as a query the one with the smallest vector counts. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -257,6 +257,21 @@ def _scored(asked: np.ndarray, ids: list, least: np.ndarray, held: np.ndarray, n
             yield q, int(names[some[j]]), float(exact[j])
 
 
+def _once(held: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows without repeats of one id and vector."""
+    if len(np.unique(names)) < len(names):
+        first = sorted({(n, x.tobytes()): i for i, (n, x) in enumerate(zip(names.tolist(), held, strict=True))}.values())
+        held, names = held[first], names[first]
+    return held, names
+
+
+_FOUND = "query_id long, vec_id long, score double"
+
+
+def _found(out: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
+
+
 def _search(top: int):
     def search(batches):
         cell, held, names, fixed = None, [], [], None
@@ -272,12 +287,12 @@ def _search(top: int):
                     held.append(vectors[lo:hi])
                     names.append(ids[lo:hi])
                 elif held:
-                    fixed = fixed or (np.concatenate(held), np.concatenate(names))
+                    fixed = fixed or _once(np.concatenate(held), np.concatenate(names))
                     for a in range(lo, hi, 256):
                         own = slice(a, min(a + 256, hi))
                         out.extend(_scored(vectors[own], ids[own].tolist(), least[own], *fixed, top))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
+                yield _found(out)
 
     return search
 
@@ -324,17 +339,27 @@ def learned_ann(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP, pa
                 who, p = np.nonzero(reach(router(x), least)) if router else (np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *batch.take(pa.array(who)).columns, pa.array(bar[who])], ["part", "vec_id", "v", "bar"])
 
+    def seeds(batches):
+        held, names = shared.value
+        for batch in batches:
+            x, ids = _matrix(batch.column("v")) if batch.num_rows else (), batch.column("vec_id").to_numpy()
+            for lo in range(0, len(x), 256):
+                out = list(_scored(x[lo : lo + 256], ids[lo : lo + 256].tolist(), np.full(256, -np.inf), held, names, top)) if len(held) else []
+                if out:
+                    yield _found(out)
+
     of = rows.schema["v"].dataType.simpleString()
     placed = written(rows.mapInArrow(place, f"part int, salt long, vec_id long, v {of}"), "placed")
     cells = placed.groupBy("part").agg(F.ceil(F.count("*") / CELL).alias("cells"))  # a row per part
     number = F.col("part") + MAX_PARTS * F.col("k")
     held = placed.join(F.broadcast(cells), "part").withColumn("k", F.pmod(F.xxhash64("salt"), "cells"))
     held = held.select(number.alias("cell"), F.lit(False).alias("query"), "vec_id", "v", F.lit(0.0).alias("bar"))
-    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = asked.mapInArrow(route, f"part int, vec_id long, v {of}, bar double").join(F.broadcast(cells), "part")
+    queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = queries.mapInArrow(route, f"part int, vec_id long, v {of}, bar double").join(F.broadcast(cells), "part")
     asked = asked.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))).select(number.alias("cell"), F.lit(True).alias("query"), "vec_id", "v", "bar")
     stream = held.unionByName(asked).repartition("cell").sortWithinPartitions("cell", "query")
-    near = stream.mapInArrow(_search(top), "query_id long, vec_id long, score double")
+    near = stream.mapInArrow(_search(top), _FOUND).unionByName(queries.mapInArrow(seeds, _FOUND))  # the sample's rows were compared, too
+    near = near.repartition("query_id").dropDuplicates(["query_id", "vec_id", "score"])
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return near.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 

@@ -125,7 +125,7 @@ def exact(rows, every=20, top=20):
             asked[i] = min([asked[i], tuple(v)] if i in asked else [tuple(v)])
     out = {}
     for q, v in asked.items():
-        out[q] = sorted((-float((w * np.array(v)).sum()), i) for i, w in good if i != q)[:top]
+        out[q] = sorted({(-float((w * np.array(v)).sum()), i) for i, w in good if i != q})[:top]
     return out
 
 
@@ -152,6 +152,7 @@ def test_learned_ann_finds_the_neighbours(spark, vectors):
         hit = total = 0
         for q, rows in got.items():
             rows.sort()
+            assert len(rows) == len(want[q])
             assert [x[0] for x in rows] == list(range(1, len(rows) + 1))
             assert [(-s, v) for _, v, s in rows] == sorted((-s, v) for _, v, s in rows)
             hit += sum(((Counter(v for _, v, _ in rows)) & Counter(v for _, v in want[q])).values())
