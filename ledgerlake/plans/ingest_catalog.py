@@ -17,7 +17,8 @@ from ledgerlake.plans.runs import RUN1
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import fixtures as fx
 from ledgerlake.sources.cdc import after_image, decode, jsonable, only_tables, quarantine, realtime_to_changes
-from ledgerlake.sources.lake import TableStore, load_audit, refresh_raw, write_lake
+from ledgerlake.sources.lake import load_audit, refresh_raw, write_lake
+from ledgerlake.sources.partitioned import BucketedTable
 from ledgerlake.sources.raw import to_raw
 from ledgerlake.streaming.ingest import run_until_drained, stream_to_lake, stream_upsert
 
@@ -166,13 +167,13 @@ def _transactions_v2(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_upsert_query(spark: SparkSession, sf: str) -> DataFrame:
     """Two change batches (batch-1 rows, then new versions of all rows) merged per
-    micro-batch into a versioned table; newest `_ts_ms` wins per transaction."""
+    micro-batch into a table bucketed by transaction; newest `_ts_ms` wins per transaction."""
     from ledgerlake.sources.cdc import read_changes
 
     root = scratch_path(spark, "upsert")
     _write_changes(transaction_changes(spark, sf, fx.transactions_batch1), f"{root}/changes")
     _write_changes(transaction_changes(spark, sf, _transactions_v2, ts_offset=10**12), f"{root}/changes")
-    store = TableStore(spark, f"{root}/tables")
+    table = BucketedTable(spark, f"{root}/fact_transactions_stream", ["transaction_id"], buckets=16)
 
     def typed(batch: DataFrame) -> DataFrame:
         images = after_image(decode(batch))
@@ -180,15 +181,13 @@ def stream_upsert_query(spark: SparkSession, sf: str) -> DataFrame:
 
     q = stream_upsert(
         read_changes(spark, "files", f"{root}/changes", tables=["transactions"], max_files_per_trigger=4),
-        store,
-        "fact_transactions_stream",
-        ["transaction_id"],
+        table,
         [F.col("_ts_ms").desc_nulls_last()],
         f"{root}/ckpt",
         transform=typed,
     )
     run_until_drained(q)
-    return store.read("fact_transactions_stream")
+    return table.rows()
 
 
 def safe_number_cast(spark: SparkSession, sf: str) -> DataFrame:

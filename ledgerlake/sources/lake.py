@@ -49,6 +49,11 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 # ---- lake sink -----------------------------------------------------------------------------
 
 
@@ -201,8 +206,7 @@ class TableStore:
     """Immutable versions of named tables under one root (shared storage on a cluster).
 
     A batch is written first and counts once its commit record `_COMMIT` exists: one small file, moved into place
-    in one step, that holds all that belongs to the batch (its high-water marks, the stream batch it came from, its
-    generation). So a run that fails at any point leaves nothing half done, and can be run again.
+    in one step, that holds all that belongs to the batch (its high-water marks, its generation). So a run that fails at any point leaves nothing half done, and can be run again.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -276,10 +280,6 @@ class TableStore:
     def is_committed(self, name: str, version: int) -> bool:
         return exists(self.spark, f"{self._dir(name)}/v={version}/batch=0/_COMMIT")
 
-    def has_source(self, name: str, source: str) -> bool:
-        """Whether the current version, or one before it, was made from this stream batch."""
-        return any(r.get("source") == source for v in reversed(self.versions(name)) for r in self.records(name, v).values())
-
     def _write(self, df: DataFrame, name: str, version: int, batch: int, mark_col: str | None, record: dict, previous=None) -> None:
         path = f"{self._dir(name)}/v={version}/batch={batch}"
         df.write.mode("errorifexists").parquet(path)
@@ -290,13 +290,13 @@ class TableStore:
             record = record | {"marks": {mark_col: top.select(F.col("mark").cast("string")).first()[0]}}
         self._commit(path, record)
 
-    def publish(self, df: DataFrame, name: str, version: int | None = None, mark_col: str | None = None, source: str | None = None, generation: int | None = None) -> int:
+    def publish(self, df: DataFrame, name: str, version: int | None = None, mark_col: str | None = None, generation: int | None = None) -> int:
         """Write `df` as a new version; readers switch once it is committed. Publishing an already committed
-        `version` is a no-op. The record holds the high-water mark of `mark_col`, and `source` and `generation`."""
+        `version` is a no-op. The record holds the high-water mark of `mark_col`, and `generation`."""
         v = version
         if v is not None and self.is_committed(name, v):
             return v
-        record = {k: x for k, x in (("source", source), ("generation", generation)) if x is not None}
+        record = {} if generation is None else {"generation": generation}
         if v is None:
             v = (self.current(name) or 0) + 1
             while exists(self.spark, f"{self._dir(name)}/v={v}"):

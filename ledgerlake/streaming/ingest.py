@@ -4,9 +4,8 @@
                   partitioned by table and ingest date; the checkpoint holds the source
                   offsets and the file sink's commit log, so restarts neither lose nor
                   duplicate files (exactly-once sink).
-`stream_upsert`   change stream → per micro-batch newest version per key → merged into a
-                  versioned table; each version's commit record names the query and its batch,
-                  so a replayed batch is a no-op and another query's batch is not taken for one.
+`stream_upsert`   change stream → per micro-batch newest version per key → merged into a table
+                  bucketed by key, of which only the buckets of the batch's keys are rewritten.
 """
 
 from __future__ import annotations
@@ -17,10 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.operators.dedup import latest_by
 from ledgerlake.schemas import TABLES
 from ledgerlake.sources.cdc import after_image, decode, only_tables
-from ledgerlake.sources.lake import TableStore, lake_frame
+from ledgerlake.sources.lake import lake_frame
+from ledgerlake.sources.partitioned import BucketedTable
 
 
 def utc_date() -> Column:
@@ -65,46 +64,24 @@ def stream_to_lake(
     return w.start(lake)
 
 
-def newest_per_key(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Target ∪ batch, newest version per key under `order`: order-safe merge (late files of
-    an older version cannot overwrite a newer row).
-
-    Only keys present in the batch can change: target rows of other keys pass through an
-    anti join untouched, and the window runs over the touched target rows plus the batch.
-    With a small batch, AQE broadcasts its key set and the target is never shuffled.
-    """
-    keys, order = list(keys), list(order)
-    if target is None:
-        return latest_by(batch, keys, order)
-    batch = batch.select(*target.columns)
-    batch_keys = batch.select(*keys).distinct()
-    untouched = target.join(batch_keys, keys, "left_anti")
-    touched = target.join(batch_keys, keys, "left_semi")
-    return untouched.unionByName(latest_by(touched.unionByName(batch), keys, order))
-
-
 def stream_upsert(
     stream: DataFrame,
-    store: TableStore,
-    name: str,
-    keys: Sequence[str],
+    table: BucketedTable,
     order: Sequence[Column],
     checkpoint: str,
     transform=None,
     trigger: str | int | float = "availableNow",
 ) -> StreamingQuery:
-    """Merge every micro-batch into table `name` of `store`, once for each (query, batch)."""
+    """Merge every micro-batch into `table`: only the buckets of the batch's keys are read and rewritten.
+
+    The newest row per key stays, so late files of an older version can't replace a newer row, and a replayed batch
+    finds its rows in place.
+    """
     root = checkpoint.rstrip("/")
 
     def merge(batch_df: DataFrame, batch_id: int) -> None:
-        # the query's id lives in its checkpoint: a new checkpoint is another query
-        query = batch_df.sparkSession.read.json(f"{root}/metadata").first()["id"]
-        source = f"{query}/{batch_id}"
-        if store.has_source(name, source):
-            return  # replayed batch
-        rows = transform(batch_df) if transform else batch_df
-        target = store.read(name)
-        store.publish(newest_per_key(target, rows, keys, order), name, source=source)
+        query = batch_df.sparkSession.read.json(f"{root}/metadata").first()["id"]  # a new checkpoint is another query
+        table.upsert(transform(batch_df) if transform else batch_df, order, f"{query}-{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.context import RunContext
 from ledgerlake.plans.pipeline import history_step
 from ledgerlake.sources.lake import TableStore, refresh_raw, write_lake
+from ledgerlake.sources.partitioned import BucketedTable
 from ledgerlake.streaming.ingest import run_until_drained, stream_upsert
 
 
@@ -67,26 +71,89 @@ def test_closed_versions_are_closed_once(spark, tmp, monkeypatch):
     assert got == [("a", "2024-01-03 00:00:00"), ("b", None)]
 
 
-def upsert(spark, store, source, checkpoint, trigger="availableNow"):
-    stream = spark.readStream.schema("id int, v string, ts int").json(source)
-    return stream_upsert(stream, store, "t", ["id"], [F.col("ts").desc()], checkpoint, trigger=trigger)
+ROWS = "id int, v string, ts int"
+
+
+def upsert(spark, table, source, checkpoint, trigger="availableNow"):
+    return stream_upsert(spark.readStream.schema(ROWS).json(source), table, [F.col("ts").desc()], checkpoint, trigger=trigger)
+
+
+def files(table):
+    """The data files of each bucket."""
+    root = Path(table.path)
+    return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in root.glob(f"{table.by}=*")}
+
+
+def values(table):
+    return sorted((tuple(r) for r in table.rows().select("id", "v", "ts").collect()), key=repr)
 
 
 def test_a_new_checkpoint_on_the_same_table_is_another_query(spark, tmp):
-    store = TableStore(spark, f"{tmp}/store")
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=4)
     for k in (1, 2):
-        spark.createDataFrame([(k, "x", k)], "id int, v string, ts int").coalesce(1).write.json(f"{tmp}/in{k}")
-        run_until_drained(upsert(spark, store, f"{tmp}/in{k}", f"{tmp}/ck{k}"))
-    assert ids(store.read("t")) == [1, 2]
-    before = store.current("t")
-    run_until_drained(upsert(spark, store, f"{tmp}/in2", f"{tmp}/ck2"))  # nothing new
-    assert store.current("t") == before
+        spark.createDataFrame([(k, "x", k)], ROWS).coalesce(1).write.json(f"{tmp}/in{k}")
+        run_until_drained(upsert(spark, table, f"{tmp}/in{k}", f"{tmp}/ck{k}"))
+    assert ids(table.rows()) == [1, 2]
+    before = files(table)
+    run_until_drained(upsert(spark, table, f"{tmp}/in2", f"{tmp}/ck2"))  # nothing new
+    assert files(table) == before
+
+
+def test_an_upsert_leaves_other_buckets_their_files(spark, tmp):
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=8)
+    newest = [F.col("ts").desc()]
+    table.upsert(spark.createDataFrame([(i, "old", 1) for i in range(100)], ROWS), newest, "a")
+    before = files(table)
+    assert len(before) == 8
+    batch = spark.createDataFrame([(3, "new", 2), (3, "newer", 3), (3, "late", 0)], ROWS)
+    table.upsert(batch, newest, "b")
+    after = files(table)
+    assert sum(after[b] != before[b] for b in before) == 1
+    want = sorted([(i, "old", 1) for i in range(100) if i != 3] + [(3, "newer", 3)], key=repr)
+    assert values(table) == want
+    table.upsert(batch, newest, "b")  # replayed
+    assert values(table) == want
+    assert BucketedTable(spark, f"{tmp}/t", ["id"], buckets=3).buckets == 8
+
+
+def test_an_upsert_reads_only_the_buckets_it_touches(spark, tmp):
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=8)
+    table.upsert(spark.createDataFrame([(i, "old", 1) for i in range(100)], ROWS), [F.col("ts").desc()], "a")
+    plan = table.read().filter(F.col("bucket").isin([3]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_rows_without_a_key_match_nothing(spark, tmp):
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=4)
+    batch = spark.createDataFrame([(None, "a", 1), (None, "b", 1), (1, "c", 1)], ROWS)
+    for tag in ("a", "b"):
+        table.upsert(batch, [F.col("ts").desc()], tag)
+    assert values(table) == sorted([(None, "a", 1), (None, "b", 1), (1, "c", 1)], key=repr)
+
+
+def test_a_write_that_dies_is_finished_by_the_next_reader(spark, tmp, monkeypatch):
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=4)
+    newest = [F.col("ts").desc()]
+    table.upsert(spark.createDataFrame([(i, "old", 1) for i in range(20)], ROWS), newest, "a")
+
+    def dies(self, rows):
+        for d in Path(self.path).glob("bucket=*"):  # as far as Spark's commit may have come
+            shutil.rmtree(d)
+            break
+        raise OSError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(BucketedTable, "_place", dies)
+        with pytest.raises(OSError):
+            table.upsert(spark.createDataFrame([(i, "new", 2) for i in range(20)], ROWS), newest, "b")
+    assert values(table) == sorted(((i, "new", 2) for i in range(20)), key=repr)
+    assert not list((Path(table.path) / "_staged").iterdir())
 
 
 def test_a_stream_that_is_not_drained_in_time_is_an_error(spark, tmp):
-    store = TableStore(spark, f"{tmp}/store")
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=4)
     spark.createDataFrame([(1, "x", 1)], "id int, v string, ts int").coalesce(1).write.json(f"{tmp}/in")
-    q = upsert(spark, store, f"{tmp}/in", f"{tmp}/ck", trigger=3600)
+    q = upsert(spark, table, f"{tmp}/in", f"{tmp}/ck", trigger=3600)
     with pytest.raises(TimeoutError):
         run_until_drained(q, timeout_s=2)
     assert not q.isActive
