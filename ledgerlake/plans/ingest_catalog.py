@@ -16,9 +16,9 @@ from ledgerlake.plans import staging
 from ledgerlake.plans.runs import RUN1
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import fixtures as fx
-from ledgerlake.sources.cdc import after_image, decode, jsonable, only_tables, quarantine, realtime_to_changes
-from ledgerlake.sources.lake import load_audit, refresh_raw, write_lake
-from ledgerlake.sources.partitioned import BucketedTable
+from ledgerlake.sources.cdc import after_image, decode, images_and_rejects, jsonable, only_tables, quarantine, realtime_to_changes
+from ledgerlake.sources.lake import land_raw, load_audit, refresh_raw, write_lake, write_text
+from ledgerlake.sources.partitioned import BucketedTable, PartitionedTable
 from ledgerlake.sources.raw import to_raw
 from ledgerlake.streaming.ingest import run_until_drained, stream_to_lake, stream_upsert
 
@@ -113,16 +113,15 @@ def normalize_changes_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def build_usage_lake(spark: SparkSession, sf: str, lake: str) -> None:
-    """usage id mod 3 = 0 → own sink (VARIANT); = 1 → foreign, BIGINT ids; = 2 → foreign, DOUBLE account_id."""
+def build_usage_lake(spark: SparkSession, sf: str, lake: str, files: int | None = None) -> None:
+    """usage id mod 3 = 0 → own sink (VARIANT); = 1 → foreign, BIGINT ids; = 2 → foreign, DOUBLE account_id.
+    `files`: into how many files each third goes."""
     u = fx.service_usage(spark, sf)
-    own = to_raw(u.filter(F.col("id") % 3 == 0)).withColumn("table", F.lit("service_usage"))
-    write_lake(own, lake, RUN1)
+    dealt = lambda k: u.filter(F.col("id") % 3 == k).repartition(files) if files else u.filter(F.col("id") % 3 == k)
+    write_lake(to_raw(dealt(0)).withColumn("table", F.lit("service_usage")), lake, RUN1)
     base = f"{lake.rstrip('/')}/service_usage/date=2024-01-01"
-    u.filter(F.col("id") % 3 == 1).write.mode("append").parquet(f"{base}/ints")
-    u.filter(F.col("id") % 3 == 2).withColumn("account_id", F.col("account_id").cast("double")).write.mode("append").parquet(
-        f"{base}/doubles"
-    )
+    dealt(1).write.mode("append").parquet(f"{base}/ints")
+    dealt(2).withColumn("account_id", F.col("account_id").cast("double")).write.mode("append").parquet(f"{base}/doubles")
 
 
 def lake_refresh(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,9 +133,23 @@ def lake_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_audit_query(spark: SparkSession, sf: str) -> DataFrame:
+    """A lake with type drift, two files that are not Parquet, and events that can't be read.
+
+    Fixed rules: usage ids mod 3 lie as in `build_usage_lake`, each third in 4 files; events of id mod 19 = 0 are not
+    JSON, of id mod 23 = 0 (and not 19) have no envelope.
+    """
     lake = scratch_path(spark, "lake-audit")
-    build_usage_lake(spark, sf, lake)
-    return load_audit(refresh_raw(spark, lake, "service_usage"), "service_usage").select("table", "rows")
+    build_usage_lake(spark, sf, lake, files=4)
+    base = f"{lake}/service_usage/date=2024-01-01"
+    for k in range(2):
+        write_text(spark, f"{base}/broken-{k}.parquet", "not a Parquet file")
+    i = F.col("id")
+    text = F.when(i % 19 == 0, F.concat(F.lit("not json "), i.cast("string"))).otherwise(F.concat(F.lit('{"id":'), i.cast("string"), F.lit("}")))
+    events = fx.service_usage(spark, sf).filter((i % 19 == 0) | (i % 23 == 0))
+    events = events.select(F.lit("banking_server.public.service_usage").alias("topic"), text.alias("value"))
+    write_lake(images_and_rejects(decode(events), ["service_usage"]), lake, RUN1)
+    landed = land_raw(spark, lake, "service_usage", PartitionedTable(spark, f"{lake}-raw", "date"))
+    return load_audit(landed, "service_usage", lake)
 
 
 def _write_changes(df: DataFrame, path: str) -> None:

@@ -449,7 +449,8 @@ ORACLE_INGEST = {
 FROM (SELECT *, CASE WHEN id % 10 = 7 THEN 'r' WHEN id % 3 = 0 THEN 'c' WHEN id % 3 = 1 THEN 'u' ELSE 'd' END AS op
       FROM customers WHERE id % 23 <> 0 AND id % 11 <> 0) c""", "customers"),
     "lake_refresh": q("SELECT * EXCLUDE (load_timestamp) FROM stg_service_usage", "stg_service_usage"),
-    "load_audit": q("SELECT 'service_usage' AS \"table\", count(*) AS \"rows\" FROM service_usage", "service_usage"),
+    "load_audit": q("SELECT 'service_usage' AS \"table\", 12 AS files, count(*) AS \"rows\", 2 AS skipped_files, 0 AS lost_rows, "
+                    "count(*) FILTER (id % 19 = 0 OR id % 23 = 0) AS bad_lines FROM service_usage", "service_usage"),
     "stream_to_lake": q(f"SELECT {STG_TX_COLS} FROM transactions WHERE {TX_KEPT}", "transactions"),
     "stream_upsert": q(f"""SELECT {STG_TX_COLS}, _ts_ms FROM (
   SELECT id, account_id, txn_type, CASE WHEN id % 3 = 0 THEN amount + 1 ELSE amount END AS amount, related_account_id, status,

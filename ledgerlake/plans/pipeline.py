@@ -1,6 +1,6 @@
 """Pipeline run: ingest | warehouse | full, one Spark application.
 
-Stage order: lake → RAW (full refresh per table, skip-on-empty) → staging (lazy) → history
+Stage order: lake → RAW (new dates per table, skip-on-empty) → staging (lazy) → history
 (SCD2) → dimensions → features and marts (table or incremental) → data-quality checks →
 reports. Every materialized dataset is published as a new immutable version in a
 `TableStore`; incremental targets read their previous version, and append-only targets
@@ -20,7 +20,8 @@ from ledgerlake.plans import facts, features, history, reports, staging, usage
 from ledgerlake.plans.checks import DECLARED, run_suite
 from ledgerlake.schemas import TABLES
 from ledgerlake.sources.cdc import read_changes
-from ledgerlake.sources.lake import TableStore, refresh_raw
+from ledgerlake.sources.lake import TableStore, land_raw
+from ledgerlake.sources.partitioned import PartitionedTable
 from ledgerlake.streaming.ingest import run_until_drained, stream_to_lake
 
 
@@ -48,19 +49,15 @@ def ingest(spark: SparkSession, cfg: PipelineConfig) -> None:
     run_until_drained(q)
 
 
-def load_raw(spark: SparkSession, cfg: PipelineConfig, store: TableStore) -> dict[str, DataFrame | None]:
-    raws: dict[str, DataFrame | None] = {}
-    for t in cfg.tables:
-        fresh = refresh_raw(spark, cfg.lake, t)
-        if fresh is not None:
-            store.publish(fresh, f"raw_{t}")
-        raws[t] = store.read(f"raw_{t}")  # previous contents when the lake had no files
-    return raws
+def load_raw(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame | None]:
+    """RAW of each table, landed by ingest date: a run reads the lake's new dates only."""
+    root = cfg.warehouse.rstrip("/")
+    return {t: land_raw(spark, cfg.lake, t, PartitionedTable(spark, f"{root}/raw_{t}", "date")) for t in cfg.tables}
 
 
 def warehouse(spark: SparkSession, cfg: PipelineConfig, ctx: RunContext) -> dict[str, DataFrame]:
     store = TableStore(spark, cfg.warehouse)
-    raws = load_raw(spark, cfg, store)
+    raws = load_raw(spark, cfg)
     stg = {t: staging.STAGING[t](raws[t], ctx) for t in cfg.tables if raws.get(t) is not None}
     out: dict[str, DataFrame] = {}
 

@@ -21,6 +21,7 @@ from ledgerlake.operators.extract import compute_once
 from ledgerlake.schemas import DEFAULT_SCHEMA, DEFAULT_TOPIC_PREFIX, TABLES
 
 REALTIME_CONNECTOR = "realtime"
+REJECTED = "_rejected"  # the lake table of events that could not be read
 
 
 def topics_for(tables: Sequence[str] | str, prefix: str = DEFAULT_TOPIC_PREFIX, schema: str = DEFAULT_SCHEMA) -> list[str]:
@@ -124,6 +125,35 @@ def after_image(
     )
 
 
+def images_and_rejects(decoded: DataFrame, tables: Sequence[str], wrapped: bool = True, topic: str = "topic") -> DataFrame:
+    """`after_image` of the listed tables, and in one pass the events that could not be read, as rows of table REJECTED.
+
+    An event is rejected when its text is not JSON, or has no object where the envelope should be. Its `v` holds the
+    table, topic, text and reason. An event without text is the tombstone after a delete, and no reject.
+    """
+    root = "$.payload" if wrapped else "$"
+    own = table_of_topic(F.col(topic))
+    base = compute_once(
+        decoded.filter(F.col("value").isNotNull() & own.isin(list(tables))),
+        _envelope=F.variant_get("j", root, "variant"),
+        _after=F.variant_get("j", f"{root}.after", "variant"),
+    )
+    envelope, after = F.col("_envelope"), F.col("_after")
+    kind = F.schema_of_variant(envelope)
+    reason = F.when(F.col("j").isNull(), "not JSON").when(envelope.isNull() | F.is_variant_null(envelope) | ~kind.startswith("OBJECT"), "no envelope")
+    offset = F.col("_offset") if "_offset" in decoded.columns else F.lit(None).cast("bigint")
+    bad = F.col("_reason").isNotNull()
+    rows = base.withColumn("_reason", reason).filter(bad | ~_empty_or_null(after))
+    kept = F.to_variant_object(F.struct(own.alias("table"), F.col(topic).alias("topic"), F.col("value").alias("value"), F.col("_reason").alias("reason")))
+    return rows.select(
+        F.when(bad, REJECTED).otherwise(own).alias("table"),
+        F.when(bad, kept).otherwise(after).alias("v"),
+        F.when(~bad, F.try_variant_get("j", f"{root}.op", "string")).alias("_op"),
+        F.when(~bad, F.try_variant_get("j", f"{root}.ts_ms", "bigint")).alias("_ts_ms"),
+        offset.alias("_offset"),
+    )
+
+
 def _truthy_object(v: Column) -> Column:
     """Python truthiness of a JSON value used as a record: NULL, null, {} are false."""
     return ~_empty_or_null(v)

@@ -16,14 +16,17 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.context import RunContext
 from ledgerlake.sources.raw import to_raw
 
+if TYPE_CHECKING:
+    from ledgerlake.sources.partitioned import PartitionedTable
+
 LAKE_COLUMNS = ["v", "_op", "_ts_ms", "_offset"]
 
 
@@ -49,6 +52,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -89,11 +100,11 @@ def _foreign_layout(spark: SparkSession, lake: str, table: str) -> str | None:
 # URI schemes that pyarrow opens, by their names in Spark
 _ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
-_FOOTER_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("schema", T.StringType())])
+_FOOTERS = "path string, schema string, rows long"
 
 
 def _footers(files: DataFrame) -> DataFrame:
-    """Per file: its Parquet footer schema as text (None: not a Parquet file), read on the executors.
+    """Per file: its Parquet footer schema as text (None: not a Parquet file) and its rows, read on the executors.
 
     Where pyarrow knows the store only the footer is read; of other stores, Spark reads the files' bytes.
     Only a file that is not Parquet counts as unreadable; a store that fails raises.
@@ -108,7 +119,7 @@ def _footers(files: DataFrame) -> DataFrame:
         from pyarrow import fs as pafs
 
         for pdf in batches:
-            out = []
+            schemas, rows = [], []
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
                 if content is None:
                     name, rest = path.split(":", 1)
@@ -118,45 +129,63 @@ def _footers(files: DataFrame) -> DataFrame:
                     handle = pa.BufferReader(content)
                 with handle:
                     try:
-                        sch = pq.read_schema(handle)
-                        out.append(";".join(f"{f.name}:{f.type}" for f in sch))
+                        footer = pq.read_metadata(handle)
+                        schemas.append(";".join(f"{f.name}:{f.type}" for f in footer.schema.to_arrow_schema()))
+                        rows.append(footer.num_rows)
                     except pa.ArrowInvalid:  # not a Parquet file: skipped, as the tolerant load does
-                        out.append(None)
-            yield pd.DataFrame({"path": pdf["path"], "schema": out})
+                        schemas.append(None)
+                        rows.append(None)
+            yield pd.DataFrame({"path": pdf["path"], "schema": schemas, "rows": pd.array(rows, "Int64")})
 
     native = files.filter(known).select("path", F.lit(None).cast("binary").alias("content"))
     other = files.filter(~known).select("path", "content")
-    return native.unionAll(other).mapInPandas(read, _FOOTER_SCHEMA)
+    return native.unionAll(other).mapInPandas(read, _FOOTERS)
+
+
+_DATED = re.compile(r"^date=(.+)$")
+
 
+def _foreign_roots(spark: SparkSession, folder: str, since: str | None) -> list[str]:
+    """The folders to read: those of the dates since `since`, where the files lie by date; else the whole folder."""
+    dates = [m.group(1) if (m := _DATED.match(d)) else None for d in list_dirs(spark, folder)]
+    if not since or None in dates:
+        return [folder]
+    return [f"{folder}/date={d}" for d in dates if d >= since]
 
-def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
+
+def _foreign_files(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """_footers of the Parquet files below these folders."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return _footers(reader.load(roots).select("path", "content"))
+
+
+def refresh_raw(spark: SparkSession, lake: str, table: str, since: str | None = None) -> DataFrame | None:
     """RAW contents of `table` := every lake file of it now (full refresh). None when the
     table has no files, so the caller keeps the previous RAW (skip-on-empty).
 
-    Output: `v` VARIANT, lineage columns, `_file`. Unreadable files are skipped.
+    Output: `v` VARIANT, lineage columns, `_file`. Foreign files that are not Parquet are skipped and counted
+    (`load_audit`); files of the own sink are complete, so one that can't be read is an error. With `since`, the
+    rows carry their `date`, and only the folders of that date and later ones are read ("": all).
     """
-    reader = spark.read.option("ignoreCorruptFiles", "true")
+    day = F.regexp_extract("_file", r"/date=([^/]+)/", 1)
     parts: list[DataFrame] = []
     own = _own_layout(spark, lake, table)
     if own:
         if exists(spark, f"{lake.rstrip('/')}/_spark_metadata"):
             # written by the streaming file sink: read through its commit log (committed files
             # only, never a retried batch's leftovers) and prune to the table's partition
-            df = reader.parquet(lake).where(F.col("table") == table)
+            df = spark.read.parquet(lake).where(F.col("table") == table)
         else:
-            df = reader.parquet(own)
+            df = spark.read.parquet(own)
+        if since:
+            df = df.where(F.col("date") >= F.lit(since).cast(df.schema["date"].dataType))
         df = df.withColumn("_file", F.col("_metadata.file_path"))
         parts.append(df.select(*[c for c in LAKE_COLUMNS if c in df.columns], "_file"))
     foreign = _foreign_layout(spark, lake, table)
-    if foreign:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(foreign)
-            .select("path", "content")
-        )
-        groups = _footers(files).filter(F.col("schema").isNotNull())
+    roots = _foreign_roots(spark, foreign, since) if foreign else []
+    if roots:
+        reader = spark.read.option("ignoreCorruptFiles", "true")
+        groups = _foreign_files(spark, roots).filter(F.col("schema").isNotNull())
         # one entry per distinct footer schema (a handful), not per row
         schemas = [r["schema"] for r in groups.select("schema").distinct().collect()]
         lineage = ("_op", "_ts_ms", "_offset", "_file")
@@ -168,7 +197,7 @@ def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
                 reader.schema(spark.read.parquet(one).schema)
                 .option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.parquet")
-                .parquet(foreign)
+                .parquet(*roots)
                 .withColumn("_file", F.col("_metadata.file_path"))
             )
             parts.append(to_raw(df, exclude=("date", "table"), lineage=lineage))
@@ -184,16 +213,48 @@ def refresh_raw(spark: SparkSession, lake: str, table: str) -> DataFrame | None:
     for c in ("_op", "_ts_ms", "_offset"):
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string" if c == "_op" else "bigint"))
-    return out
+    return out if since is None else out.withColumn("date", F.when(day != "", day))
 
 
-def load_audit(raw: DataFrame, table: str) -> DataFrame:
-    """Files and rows loaded for one table (one aggregation)."""
-    return raw.agg(
-        F.lit(table).alias("table"),
+def load_audit(raw: DataFrame, table: str, lake: str | None = None) -> DataFrame:
+    """One row: files and rows loaded for one table (`raw` as landed) and, of a `lake`, what was not: `skipped_files` (foreign files
+    that are not Parquet), `lost_rows` (rows that readable foreign files hold and the load lacks) and `bad_lines`
+    (events of the table that could not be read)."""
+    from ledgerlake.sources.cdc import REJECTED
+
+    spark = raw.sparkSession
+    foreign_row = ~F.col("_file").contains(f"/table={table}/")
+    loaded = raw.agg(
         F.count_distinct("_file").alias("files"),
         F.count(F.lit(1)).alias("rows"),
+        F.count_if(foreign_row).alias("_foreign"),
     )
+    if lake is None:
+        return loaded.select(F.lit(table).alias("table"), "files", "rows")
+    foreign = _foreign_layout(spark, lake, table)
+    files = _foreign_files(spark, [foreign]) if foreign else spark.createDataFrame([], _FOOTERS)
+    files = files.agg(F.count_if(F.col("schema").isNull()).alias("skipped_files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("_held"))
+    rejected = refresh_raw(spark, lake, REJECTED)
+    if rejected is None:
+        bad = spark.range(1).select(F.lit(0).cast("long").alias("bad_lines"))
+    else:
+        bad = rejected.agg(F.count_if(F.variant_get("v", "$.table", "string") == table).alias("bad_lines"))
+    out = loaded.crossJoin(files).crossJoin(bad)  # one row each
+    return out.select(F.lit(table).alias("table"), "files", "rows", "skipped_files", (F.col("_held") - F.col("_foreign")).alias("lost_rows"), "bad_lines")
+
+
+def land_raw(spark: SparkSession, lake: str, table: str, landed: PartitionedTable) -> DataFrame | None:
+    """Bring `landed` (RAW by ingest date) up to date and return it: v, lineage, `_file`.
+
+    Files come into the folder of the day they are written on, so a run reads the last date that it has and later
+    ones, and replaces those partitions; older dates are neither read nor copied. None if nothing was ever landed.
+    """
+    days = [d.removeprefix("date=") for d in list_dirs(spark, landed.path) if _DATED.match(d)]
+    fresh = refresh_raw(spark, lake, table, since=max(days, default=""))
+    if fresh is not None:
+        landed.overwrite(fresh, f"run-{uuid.uuid4().hex}")
+    out = landed.read()
+    return None if out is None else out.drop("date")
 
 
 # ---- versioned tables ------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.schemas import TABLES
-from ledgerlake.sources.cdc import after_image, decode, only_tables
+from ledgerlake.sources.cdc import REJECTED, decode, images_and_rejects
 from ledgerlake.sources.lake import lake_frame
 from ledgerlake.sources.partitioned import BucketedTable
 
@@ -28,11 +28,22 @@ def utc_date() -> Column:
 
 
 def lake_stream(changes: DataFrame, tables: Sequence[str] = TABLES, wrapped: bool = True) -> DataFrame:
-    """(topic, value, _offset) stream → lake rows (table, v, lineage, date)."""
-    images = only_tables(after_image(decode(changes), wrapped=wrapped), tables)
+    """(topic, value, _offset) stream → lake rows (table, v, lineage, date).
+
+    Events that can't be read are rows too, of table REJECTED, so the sink keeps each of them once. The metrics
+    `ingest` of the query's progress count both kinds.
+    """
+    images = images_and_rejects(decode(changes), tables, wrapped=wrapped)
+    images = images.observe("ingest", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("table") == REJECTED).alias("rejected"))
     return lake_frame(images, utc_date())
 
 
+def ingest_counts(query: StreamingQuery) -> dict[str, int]:
+    """Rows and rejected events of the micro-batches that the query still remembers."""
+    seen = [p.observedMetrics["ingest"] for p in query.recentProgress if "ingest" in p.observedMetrics]
+    return {k: sum(m[k] for m in seen) for k in ("rows", "rejected")}
+
+
 def trigger_kwargs(trigger: str | int | float) -> dict:
     if trigger == "availableNow":
         return {"availableNow": True}

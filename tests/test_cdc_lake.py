@@ -158,3 +158,64 @@ def test_refresh_raw_single_schema_folder(spark, tmp):
     raw = refresh_raw(spark, lake, "accounts")
     assert sorted(r[0] for r in raw.select(F.variant_get("v", "$.id", "int")).collect()) == [1, 2, 3]
     assert raw.filter(F.variant_get("v", "$.date", "string").isNotNull()).count() == 0
+
+
+def test_rejected_events_are_kept_with_their_reason(spark):
+    from ledgerlake.sources.cdc import REJECTED, images_and_rejects
+
+    topic = "banking_server.public.accounts"
+    good = '{"payload":{"op":"c","ts_ms":5,"after":{"id":1}}}'
+    lines = [good, '{"payload":{"op":"d","after":null}}', '{"payload":{"after":{}}}', "oops", "[1]", '{"id":3}', '{"payload":7}', '{"payload":null}', "", None]
+    df = decode(spark.createDataFrame([(topic, x) for x in lines] + [("banking_server.public.other", "oops")], "topic string, value string"))
+    out = images_and_rejects(df, ["accounts"])
+    got = sorted(out.filter(F.col("table") == REJECTED).select(F.variant_get("v", "$.reason", "string"), F.variant_get("v", "$.value", "string")).collect())
+    assert [tuple(r) for r in got] == sorted([("no envelope", x) for x in ("[1]", '{"id":3}', '{"payload":7}', '{"payload":null}')] + [("not JSON", ""), ("not JSON", "oops")])
+    rows = out.filter(F.col("table") == "accounts").select(F.variant_get("v", "$.id", "int"), "_op", "_ts_ms").collect()
+    assert [tuple(r) for r in rows] == [(1, "c", 5)]
+
+
+def test_load_audit_counts_what_was_not_loaded(spark, tmp):
+    from ledgerlake.sources.cdc import images_and_rejects
+    from ledgerlake.sources.lake import land_raw
+    from ledgerlake.sources.partitioned import PartitionedTable
+
+    lake = os.path.join(tmp, "lake")
+    base = os.path.join(lake, "accounts", "date=2024-01-01")
+    os.makedirs(base)
+    for name in ("a", "b"):
+        pq.write_table(pa.table({"id": pa.array(range(5000), pa.int64())}), f"{base}/{name}.parquet", row_group_size=1000, compression="none")
+    content = bytearray(open(f"{base}/b.parquet", "rb").read())
+    content[4:2000] = b"\xff" * 1996  # a good footer over broken pages
+    open(f"{base}/b.parquet", "wb").write(content)
+    open(f"{base}/c.parquet", "wb").write(b"no parquet")
+    lines = spark.createDataFrame([("banking_server.public.accounts", x) for x in ("oops", "[]", '{"payload":{"op":"c","after":{"id":9}}}')], "topic string, value string")
+    write_lake(images_and_rejects(decode(lines), ["accounts"]), lake, RunContext("2024-01-02 00:00:00"))
+    landed = land_raw(spark, lake, "accounts", PartitionedTable(spark, os.path.join(tmp, "raw"), "date"))
+    r = load_audit(landed, "accounts", lake).first()
+    assert r.bad_lines == 2 and r.skipped_files == 1
+    assert r.lost_rows > 0 and r.rows + r.lost_rows == 10_001
+
+
+def test_a_second_landing_reads_new_dates_only(spark, tmp):
+    from ledgerlake.sources.lake import land_raw
+    from ledgerlake.sources.partitioned import PartitionedTable
+
+    lake, landed = os.path.join(tmp, "lake"), PartitionedTable(spark, os.path.join(tmp, "raw"), "date")
+    rows = lambda ids: to_raw(spark.createDataFrame([(i,) for i in ids], "id long")).withColumn("table", F.lit("t"))
+    ids = lambda df: sorted(r[0] for r in df.select(F.variant_get("v", "$.id", "int")).collect())
+    assert land_raw(spark, lake, "t", landed) is None
+    write_lake(rows([1, 2]), lake, RunContext("2024-01-01 00:00:00"))
+    os.makedirs(os.path.join(lake, "t", "date=2024-01-01"))
+    pq.write_table(pa.table({"id": pa.array([3], pa.int64())}), os.path.join(lake, "t", "date=2024-01-01", "f.parquet"))
+    write_lake(rows([4]), lake, RunContext("2024-01-02 00:00:00"))
+    assert ids(land_raw(spark, lake, "t", landed)) == [1, 2, 3, 4]
+    old = {f for f in landed.read().inputFiles() if "date=2024-01-01" in f}
+    write_lake(rows([5]), lake, RunContext("2024-01-02 12:00:00"))  # the day goes on
+    write_lake(rows([6]), lake, RunContext("2024-01-03 00:00:00"))
+    fresh = refresh_raw(spark, lake, "t", since="2024-01-02")
+    assert ids(fresh) == [4, 5, 6]
+    assert "PartitionFilters: [isnotnull(date" in fresh._jdf.queryExecution().executedPlan().toString()
+    assert not [r for r in fresh.select("_file").collect() if "date=2024-01-01" in r[0]]
+    assert ids(land_raw(spark, lake, "t", landed)) == [1, 2, 3, 4, 5, 6]
+    assert old <= set(landed.read().inputFiles())  # the first day's files were left alone
+    assert ids(land_raw(spark, lake, "t", landed)) == [1, 2, 3, 4, 5, 6]

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from ledgerlake.plans import staging
 from ledgerlake.plans.runs import RUN1
 from ledgerlake.sources.cdc import after_image, decode, read_changes
-from ledgerlake.sources.lake import refresh_raw
+from ledgerlake.sources.lake import load_audit, refresh_raw
 from ledgerlake.sources.partitioned import BucketedTable
-from ledgerlake.streaming.ingest import run_until_drained, stream_to_lake, stream_upsert
+from ledgerlake.streaming.ingest import ingest_counts, run_until_drained, stream_to_lake, stream_upsert
 
 
 def _write(spark, path, rows):
@@ -25,8 +25,11 @@ def _ev(i, amount, ts):
 def test_stream_to_lake_restart_is_exactly_once(spark, tmp):
     changes, lake, ckpt = (os.path.join(tmp, x) for x in ("changes", "lake", "ckpt"))
     _write(spark, changes, [_ev(1, 1.5, 1), _ev(2, 2.5, 2), ("oops", "banking_server.public.transactions")])
-    run_until_drained(stream_to_lake(read_changes(spark, "files", changes, ["transactions"]), lake, ckpt, ["transactions"], "availableNow"))
+    q = stream_to_lake(read_changes(spark, "files", changes, ["transactions"]), lake, ckpt, ["transactions"], "availableNow")
+    run_until_drained(q)
+    assert ingest_counts(q) == {"rows": 3, "rejected": 1}
     assert refresh_raw(spark, lake, "transactions").count() == 2
+    assert load_audit(refresh_raw(spark, lake, "transactions"), "transactions", lake).first().bad_lines == 1
     # restart on the same checkpoint with no new input: nothing is written twice
     run_until_drained(stream_to_lake(read_changes(spark, "files", changes, ["transactions"]), lake, ckpt, ["transactions"], "availableNow"))
     assert refresh_raw(spark, lake, "transactions").count() == 2
