@@ -19,7 +19,9 @@ from ledgerlake.operators.history import present_history, scd2_from_log
 from ledgerlake.plans import facts, features, history, reports, staging, usage
 from ledgerlake.plans.ingest_catalog import INGEST_QUERIES
 from ledgerlake.plans.segmentation import segment_customers
+from ledgerlake.session import scratch_path
 from ledgerlake.sources import fixtures as fx
+from ledgerlake.sources.partitioned import PartitionedTable
 from ledgerlake.sources.raw import to_raw
 
 from ledgerlake.plans.runs import RUN1, RUN2  # noqa: E402
@@ -209,6 +211,14 @@ def activity_recompute_run(spark, sf):
     return _activity_two_runs(spark, sf, "recompute")
 
 
+def activity_late_days(spark, sf):
+    """A daily roll-up in partitions by month, brought up to date after late rows of three earlier days and new days came in."""
+    table = PartitionedTable(spark, f"{scratch_path(spark, 'activity')}/by_month", "activity_month")
+    facts.refresh_customer_activity(_tx(spark, sf, RUN1, fx.transactions_without_late_days), _acc(spark, sf), table, "first")
+    out = facts.refresh_customer_activity(_tx(spark, sf, RUN2), _acc(spark, sf, RUN2), table, "second")
+    return out.select("customer_id", "activity_date", "transactions_count", "total_amount", "avg_amount")
+
+
 def report_recent_activity(spark, sf):
     return reports.report_recent_activity(fact_customer_activity(spark, sf), 20)
 
@@ -314,6 +324,7 @@ def _build() -> dict[str, Query]:
             "fact_customer_activity": fact_customer_activity,
             "activity_second_run": activity_second_run,
             "activity_recompute_run": activity_recompute_run,
+            "activity_late_days": activity_late_days,
             "fact_customer_segment": fact_customer_segment,
             "segment_second_run": segment_second_run,
             "dim_customers": dim_customers,

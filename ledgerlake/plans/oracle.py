@@ -419,6 +419,7 @@ def _oracle() -> dict[str, str]:
     o["report_top_services"] = q(
         "SELECT usage_rank, service_name, category, total_uses, distinct_customers, pct_share FROM agg_service_frequency "
         "ORDER BY usage_rank, service_id LIMIT 10", "agg_service_frequency")
+    o["activity_late_days"] = q("SELECT * FROM activity_r2", "activity_r2")
     o["report_recent_activity"] = q(
         "SELECT customer_id, activity_date, transactions_count, total_amount FROM activity "
         "ORDER BY activity_date DESC, customer_id ASC NULLS FIRST LIMIT 20", "activity")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import shutil
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.context import RunContext
+from ledgerlake.plans import facts
 from ledgerlake.plans.pipeline import history_step
 from ledgerlake.sources.lake import TableStore, refresh_raw, write_lake
-from ledgerlake.sources.partitioned import BucketedTable
+from ledgerlake.sources.partitioned import BucketedTable, PartitionedTable
 from ledgerlake.streaming.ingest import run_until_drained, stream_upsert
 
 
@@ -174,3 +176,29 @@ def test_foreign_files_of_a_store_that_only_spark_opens(spark, tmp):
         f.write("no parquet")
     assert refresh_raw(spark, "viewfs://only/lake", "t").count() == 5
     assert refresh_raw(spark, f"file://{tmp}/lake", "t").count() == 5
+
+
+@pytest.mark.parametrize("unit", ["activity_date", "activity_month"])
+def test_late_rows_rewrite_only_the_days_they_change(spark, tmp, unit):
+    table = PartitionedTable(spark, f"{tmp}/activity", unit)
+    parts = lambda *days: {f"{unit}={d if unit == 'activity_date' or d.startswith('__') else d[:7]}" for d in days}
+    tx = lambda rows: spark.createDataFrame(
+        [(str(i), acc, float(amount), "DEPOSIT", None, "COMPLETED", at and datetime.fromisoformat(at)) for i, acc, amount, at in rows],
+        "transaction_id string, account_id string, amount double, transaction_type string, related_account_id string, status string, transaction_time timestamp_ntz",
+    )
+    owners = lambda second: spark.createDataFrame([("a", "1"), ("b", second)], "account_id string, customer_id string")
+    first = [(1, "a", 1.5, "2024-01-01 10:00:00"), (2, "b", 2, "2024-02-02 10:00:00"), (3, "x", 3, "2024-02-03 10:00:00"), (4, "a", 4, None), (5, "a", 9, "2024-03-04")]
+    run = lambda rows, second="2", tag="r": facts.refresh_customer_activity(tx(rows), owners(second), table, tag)
+    want = lambda rows, second="2": sorted((tuple(r) for r in facts.customer_daily_activity(tx(rows), owners(second)).collect()), key=repr)
+    got = lambda df: sorted((tuple(r) for r in df.select("customer_id", "activity_date", "transactions_count", "total_amount", "avg_amount").collect()), key=repr)
+    assert got(run(first)) == want(first)
+    before = files(table)
+    assert got(run(first)) == want(first) and files(table) == before  # nothing new, nothing written
+    late = [*first, (6, "a", 1.5, "2024-01-01 23:00:00"), (7, None, 1, None), (8, "b", 1, "2024-04-09")]
+    assert got(run(late)) == want(late)
+    after = files(table)
+    assert {d for d in after if after[d] != before.get(d)} == parts("2024-01-01", "__HIVE_DEFAULT_PARTITION__", "2024-04-09")
+    assert got(run(late, "7")) == want(late, "7")  # an account that changes hands
+    assert {d for d, f in files(table).items() if f != after[d]} == parts("2024-02-02", "2024-04-09")
+    swapped = [(1, "b", 1.5, "2024-01-01 10:00:00"), *late[1:4], *late[5:]]  # another owner, and a day whose rows are gone
+    assert got(run(swapped, "7")) == want(swapped, "7")
