@@ -32,7 +32,7 @@ from ledgerlake.operators.merge import (
     upsert,
     watermark,
 )
-from ledgerlake.operators.quality import Expectation, run_checks, violations
+from ledgerlake.operators.quality import Expectation, QualityError, check_datasets, require, run_checks, violations
 from ledgerlake.operators.ranking import global_rank, share_of_total
 
 __all__ = [
@@ -57,6 +57,9 @@ __all__ = [
     "present_history",
     "rename",
     "rollup_first_last",
+    "QualityError",
+    "check_datasets",
+    "require",
     "run_checks",
     "scd2_check",
     "scd2_from_log",

@@ -1,17 +1,16 @@
 """Data-quality expectations: not_null, unique, relationships, row predicates, accepted values.
 
-`run_checks` returns one row per expectation: (check_name, dataset, column_name, failed_rows).
-All not_null checks of one dataset share a single aggregation pass; predicates and
-accepted values likewise. `unique` counts duplicated key values (one shuffle per column);
-`relationships` counts child rows without a parent (one anti join).
+`check_datasets` returns one row per expectation: (check_name, dataset, column_name, failed_rows). Each dataset is
+read once and one shuffle answers all checks; `require` turns failures into an error. `violations` gives the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import orphans
@@ -69,47 +68,83 @@ def violations(df: DataFrame, exp: Expectation, parents: dict[str, DataFrame] |
     raise ValueError(f"unknown check {exp.check}")
 
 
-def _failed_expr(exp: Expectation) -> Column:
-    c = F.col(exp.column)
-    if exp.check == "not_null":
-        return F.count_if(c.isNull())
-    if exp.check == "predicate":
-        return F.count_if(~F.coalesce(F.expr(exp.predicate), F.lit(True)))
-    if exp.check == "accepted_values":
-        return F.count_if(c.isNotNull() & ~c.isin(list(exp.values)))
-    raise ValueError(exp.check)
-
-
-def _row(exp: Expectation, dataset: str, failed: Column) -> Column:
-    return F.struct(
-        F.lit(exp.label).alias("check_name"),
-        F.lit(dataset).alias("dataset"),
-        F.lit(exp.column).alias("column_name"),
-        failed.cast("bigint").alias("failed_rows"),
-    )
-
-
-def run_checks(
-    df: DataFrame,
-    dataset: str,
-    expectations: Sequence[Expectation],
-    parents: dict[str, DataFrame] | None = None,
-) -> DataFrame:
-    """Evaluate expectations on one dataset; row-level ones in one aggregation pass."""
-    spark = df.sparkSession
-    row_level = [e for e in expectations if e.check in ("not_null", "predicate", "accepted_values")]
-    parts: list[DataFrame] = []
-    if row_level:
-        agg = df.agg(*[_failed_expr(e).alias(f"_f{i}") for i, e in enumerate(row_level)])
-        rows = F.array(*[_row(e, dataset, F.col(f"_f{i}")) for i, e in enumerate(row_level)])
-        parts.append(agg.select(F.explode(rows).alias("r")).select("r.*"))
-    for e in expectations:
-        if e.check in ("unique", "relationships"):
-            n = violations(df, e, parents).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(n.select(_row(e, dataset, F.col("n")).alias("r")).select("r.*"))
+class QualityError(ValueError):
+    """Checks that failed, or that had no dataset to look at."""
+
+
+_TOKEN = "struct<check:int,value:string,n:bigint,parent:boolean>"
+
+
+def _tokens(df: DataFrame, own: Sequence[tuple[int, Expectation]], children: Sequence[tuple[int, Expectation]]) -> DataFrame:
+    """What one dataset tells about all checks that it has a part in, in one pass over it.
+
+    A row check sends a token for each failing row, a key check the key's value, and the parent side of a relationship
+    its value without a count.
+    """
+
+    def token(when: Column, i: int, value: Column, n: int = 1, parent: bool = False) -> Column:
+        return F.when(when, F.struct(F.lit(i).alias("check"), value.cast("string").alias("value"), F.lit(n).cast("bigint").alias("n"), F.lit(parent).alias("parent")))
+
+    out = []
+    for i, e in own:
+        c = F.col(e.column)
+        if e.check == "not_null":
+            out.append(token(c.isNull(), i, F.lit("")))
+        elif e.check == "predicate":
+            out.append(token(~F.coalesce(F.expr(e.predicate), F.lit(True)), i, F.lit("")))
+        elif e.check == "accepted_values":
+            out.append(token(c.isNotNull() & ~c.isin(list(e.values)), i, F.lit("")))
+        elif e.check in ("unique", "relationships"):
+            out.append(token(c.isNotNull(), i, c))
+        else:
+            raise ValueError(f"unknown check {e.check}")
+    for i, e in children:
+        c = F.col(e.parent_column)
+        out.append(token(c.isNotNull(), i, c, n=0, parent=True))
+    sent = F.explode(F.array_compact(F.array(*out)).cast(f"array<{_TOKEN}>"))
+    return df.select(sent.alias("t")).select("t.*")
+
+
+RESULT = "check_name string, dataset string, column_name string, failed_rows bigint"
+
+
+def check_datasets(suite: dict[str, Sequence[Expectation]], datasets: dict[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
+    """(check_name, dataset, column_name, failed_rows) for every expectation of every dataset.
+
+    Each dataset is read once and all checks share one shuffle: tokens are grouped by check and value, with partial
+    sums in each task, so a value that a third of the rows hold meets as one row per task. failed_rows: failing rows;
+    for `unique` the values that occur more than once; NULL where the dataset or its parent is absent.
+    """
+    checks = [(name, e) for name, es in suite.items() for e in es]
+    there = {i for i, (name, e) in enumerate(checks) if name in datasets and (e.parent is None or e.parent in datasets)}
+    spark = spark or next(iter(datasets.values())).sparkSession
+    parts = []
+    for name, df in datasets.items():
+        own = [(i, e) for i, (d, e) in enumerate(checks) if d == name and i in there]
+        children = [(i, e) for i, (_, e) in enumerate(checks) if e.parent == name and i in there]
+        if own or children:
+            parts.append(_tokens(df, own, children))
+    rows = [(i, e.label, name, e.column, i in there) for i, (name, e) in enumerate(checks)]
+    listed = spark.createDataFrame(rows, "check int, check_name string, dataset string, column_name string, there boolean")
     if not parts:
-        return spark.createDataFrame([], "check_name string, dataset string, column_name string, failed_rows bigint")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return listed.select("check_name", "dataset", "column_name", F.lit(None).cast("bigint").alias("failed_rows"))
+    tokens = reduce(DataFrame.unionAll, parts)
+    values = tokens.groupBy("check", "value").agg(F.sum("n").alias("n"), F.bool_or("parent").alias("found"))
+    kind = lambda k: F.col("check").isin([i for i, (_, e) in enumerate(checks) if e.check == k] or [-1])
+    failed = F.when(kind("unique"), (F.col("n") > 1).cast("bigint")).when(kind("relationships") & F.col("found"), F.lit(0)).otherwise(F.col("n"))
+    found = values.groupBy("check").agg(F.sum(failed).alias("failed"))
+    out = listed.join(found, "check", "left")
+    return out.select("check_name", "dataset", "column_name", F.when(F.col("there"), F.coalesce("failed", F.lit(0).cast("bigint"))).alias("failed_rows"))
+
+
+def run_checks(df: DataFrame, dataset: str, expectations: Sequence[Expectation], parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """`check_datasets` for one dataset."""
+    return check_datasets({dataset: expectations}, {**(parents or {}), dataset: df}, df.sparkSession)
+
+
+def require(results: DataFrame, allowed: Sequence[tuple[str, str, str]] = ()) -> None:
+    """Raise QualityError if a check failed or had nothing to look at, but for the (check, dataset, column) allowed."""
+    bad = results.filter(F.coalesce(F.col("failed_rows") > 0, F.lit(True))).orderBy("dataset", "check_name", "column_name").collect()  # a row per check at most
+    said = [f"{r.dataset}.{r.column_name} {r.check_name}: " + ("absent" if r.failed_rows is None else f"{r.failed_rows} failed") for r in bad if (r.check_name, r.dataset, r.column_name) not in set(allowed)]
+    if said:
+        raise QualityError("; ".join(said))

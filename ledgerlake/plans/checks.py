@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from ledgerlake.operators.quality import (
     Expectation,
     accepted_values,
+    check_datasets,
     not_null,
     predicate,
     relationships,
-    run_checks,
     unique,
 )
 from ledgerlake.schemas import CATEGORIES, CHANNELS, USAGE_STATUSES
@@ -44,39 +44,47 @@ DECLARED: dict[str, list[Expectation]] = {
 }
 
 DDL: dict[str, list[Expectation]] = {
+    "stg_customers": [not_null("first_name"), not_null("last_name"), not_null("email"), unique("email")],
     "stg_accounts": [
+        not_null("customer_id"),
+        not_null("account_type"),
+        not_null("balance"),
+        not_null("currency"),
         predicate("balance", "balance >= 0", "balance_non_negative"),
         relationships("customer_id", "stg_customers", "customer_id"),
     ],
     "stg_transactions": [
+        not_null("account_id"),
+        not_null("transaction_type"),
+        not_null("amount"),
+        not_null("status"),
         predicate("amount", "amount > 0", "amount_positive"),
         relationships("account_id", "stg_accounts", "account_id"),
     ],
     "dim_customer_profile": [predicate("risk_score", "risk_score BETWEEN 0 AND 100", "risk_in_range")],
     "stg_service_usage": [
+        not_null("customer_id"),
+        not_null("channel"),
+        not_null("status"),
         accepted_values("channel", CHANNELS),
         accepted_values("status", USAGE_STATUSES),
         relationships("customer_id", "stg_customers", "customer_id"),
         relationships("account_id", "stg_accounts", "account_id"),
         relationships("service_id", "stg_services", "service_id"),
     ],
-    "stg_services": [accepted_values("category", CATEGORIES)],
-    "stg_customer_profiles": [relationships("customer_id", "stg_customers", "customer_id")],
+    "stg_services": [not_null("service_name"), not_null("category"), not_null("is_active"), accepted_values("category", CATEGORIES)],
+    "stg_customer_profiles": [
+        # on the table the scores come from: those of dim_customer_profile are clamped to the range
+        predicate("risk_score", "risk_score BETWEEN 0 AND 100", "risk_in_range"),
+        relationships("customer_id", "stg_customers", "customer_id"),
+    ],
     "stg_customer_segments": [relationships("customer_id", "stg_customers", "customer_id")],
 }
 
 
-def run_suite(suite: dict[str, list[Expectation]], datasets: dict[str, DataFrame]) -> DataFrame:
-    out = None
-    for name, exps in suite.items():
-        r = run_checks(datasets[name], name, exps, datasets)
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
 def declared_checks(datasets: dict[str, DataFrame]) -> DataFrame:
-    return run_suite(DECLARED, datasets)
+    return check_datasets(DECLARED, datasets)
 
 
 def ddl_checks(datasets: dict[str, DataFrame]) -> DataFrame:
-    return run_suite(DDL, datasets)
+    return check_datasets(DDL, datasets)

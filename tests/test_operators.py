@@ -181,3 +181,30 @@ def test_scd2_from_log_hot_key_spans_partitions(spark):
     assert a == b
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" in plan and "_pid" in plan  # reads the checkpointed range-partitioned log
+
+
+def test_checks_of_all_kinds_share_one_shuffle(spark):
+    from ledgerlake.operators.quality import QualityError, accepted_values, check_datasets, not_null, predicate, relationships, require, unique
+
+    kids = spark.createDataFrame([(1, 10, "a", 5.0), (2, 10, "z", -1.0), (2, None, None, None), (None, 99, "a", 0.0), (None, 98, "b", 1.0)], "id int, up int, kind string, x double")
+    ups = spark.createDataFrame([("10",), ("11",), ("11",), (None,)], "key string")
+    suite = {
+        "kids": [not_null("id"), unique("id"), relationships("up", "ups", "key"), accepted_values("kind", ["a", "b"]), predicate("x", "x >= 0", "x_ok")],
+        "ups": [unique("key"), not_null("key")],
+        "gone": [not_null("id")],
+    }
+    out = check_datasets(suite, {"kids": kids, "ups": ups})
+    got = {(r.dataset, r.check_name, r.column_name): r.failed_rows for r in out.collect()}
+    assert got == {
+        ("kids", "not_null", "id"): 2, ("kids", "unique", "id"): 1, ("kids", "relationships", "up"): 2, ("kids", "accepted_values", "kind"): 1,
+        ("kids", "x_ok", "x"): 1, ("ups", "unique", "key"): 1, ("ups", "not_null", "key"): 1, ("gone", "not_null", "id"): None,
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning(check#") <= 3  # by (check, value), by check, and the few results
+    with pytest.raises(QualityError, match="gone.id not_null: absent; .*kids.id not_null: 2 failed"):
+        require(out)
+    require(out.filter("dataset = 'ups'"), [("unique", "ups", "key"), ("not_null", "ups", "key")])
+    assert check_datasets({"gone": [not_null("id")]}, {}, spark).first().failed_rows is None
+    fine = check_datasets({"kids": [not_null("kind")]}, {"kids": kids.limit(0)})
+    assert fine.first().failed_rows == 0
+    require(fine)

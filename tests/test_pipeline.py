@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerlake.context import RunContext
@@ -65,3 +67,20 @@ def test_marks_kept_for_append_only_targets(spark, tmp):
     assert store.read_mark("fct", "usage_id") == 4
     store.append(spark.range(5, 9).withColumnRenamed("id", "usage_id"), "fct", mark_col="usage_id")
     assert store.read_mark("fct", "usage_id") == 8 and store.read("fct").count() == 9
+
+
+def test_a_failed_check_stops_the_run_after_its_results_are_stored(spark, tmp):
+    from ledgerlake.operators.quality import QualityError
+    from ledgerlake.sources.lake import TableStore
+
+    changes = os.path.join(tmp, "changes")
+    cfg = PipelineConfig(lake=os.path.join(tmp, "lake"), warehouse=os.path.join(tmp, "wh"), changes=changes, tables=["services"])
+    services = fx.services(spark, SF)
+    _feed(spark, changes, "services", services.withColumn("service_code", F.lit("SAME")))
+    with pytest.raises(QualityError, match="stg_services.service_code unique: 1 failed"):
+        run(spark, "full", cfg, RunContext("2024-03-01 00:00:00"))
+    results = TableStore(spark, cfg.warehouse).read("quality_results")
+    assert results.count() == 36 and results.filter("failed_rows > 0").count() == 1
+    assert results.filter("failed_rows IS NULL AND dataset = 'stg_customers'").count() == 2  # reported as absent
+    cfg.on_failed_checks = "report"
+    assert "quality_results" in run(spark, "warehouse", cfg, RunContext("2024-03-01 01:00:00"))
