@@ -14,10 +14,13 @@ untouched (append-only), so cost follows the number of live keys, not the histor
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import null_spread
+
 HISTORY_COLUMNS = ["version_id", "version_updated_at", "valid_from", "valid_to"]
 
 
@@ -54,7 +57,9 @@ def _scd2(
 
     h = opened.select(F.col(key).alias("_k"), F.struct(*hist_cols).alias("h"))
     s = src.select(F.col(key).alias("_k"), F.struct(*src_cols).alias("s"))
-    j = h.join(s, "_k", "full_outer")  # NULL keys never match: they open a version each run
+    # NULL keys never match: they open a version each run, and are spread over the shuffle
+    h, s = (null_spread(side, F.col("_k").isNull(), "_j").drop("_j_null") for side in (h, s))
+    j = h.join(s, ["_k", "_j_salt"], "full_outer")
 
     hv = lambda c: F.col("h").getField(c)
     sv = lambda c: F.col("s").getField(c)
@@ -128,52 +133,82 @@ def scd2_from_log(
     where the next version of the key starts. Output: log columns + valid_from, valid_to,
     is_current.
 
-    Skew-safe: the log is range-partitioned on (key, order), so a key holding a large share
-    of the rows spans several partitions; neighbours are found inside each partition and
-    across partition edges through one boundary row per partition (a table with at most
-    `partitions` rows, broadcast). The range-partitioned log is checkpointed (to the
-    session's `spark.checkpoint.dir`) so every branch sees the same partition ids and the
-    range exchange runs once.
+    Skew-safe: a key with more rows than an even share (`heavy_segments`) is cut into segments of its order, whose
+    bounds are literals, so every branch of the plan cuts alike, whatever is reused or computed again. Neighbours are
+    found inside a segment and across its edges through one boundary row per segment of a heavy key, a table of at
+    most 2 * `partitions` rows.
     """
-    from ledgerlake.session import ensure_checkpoint_dir
-
     vf = valid_from or order[0]
     n = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = log.columns
-    sort_key = [F.col(c).asc_nulls_first() for c in (key, *order)]
-    pos = F.struct(*[F.col(c) for c in (key, *order)])
+    pos = F.struct(*[F.col(c) for c in order])
     sig = F.struct(*[F.col(c) for c in check_cols])
-
-    ensure_checkpoint_dir(log.sparkSession)
-    ranged = log.repartitionByRange(n, *sort_key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    w = Window.partitionBy("_pid", key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    local = ranged.withColumn("_prev", F.lag(sig).over(w)).withColumn("_first_local", F.row_number().over(w) == 1)
-
-    # last row of every partition, carried into the next non-empty one
-    last = ranged.groupBy("_pid").agg(F.max_by(F.struct(F.col(key).alias("k"), sig.alias("s")), pos).alias("_last"))
-    carry = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_carry"))
-    j = local.join(F.broadcast(carry), "_pid", "left")
-    continues = F.col("_first_local") & F.coalesce(F.col("_carry.k").eqNullSafe(F.col(key)), F.lit(False))
-    prev = F.when(continues, F.col("_carry.s")).otherwise(F.col("_prev"))
-    is_first = F.col("_first_local") & ~continues
-    versions = j.filter(is_first | ~sig.eqNullSafe(prev)).select(*cols, "_pid")
-
-    # valid_to: next version of the key, inside the partition or in a later one
-    w2 = Window.partitionBy("_pid", key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    firsts = versions.groupBy("_pid").agg(
-        F.min_by(F.struct(F.col(key).alias("k"), F.col(vf).alias("f")), pos).alias("_fk")
-    )
-    nexts = firsts.select("_pid", F.lead("_fk").over(Window.orderBy("_pid")).alias("_next"))
-    v2 = versions.withColumn("_lead", F.lead(F.col(vf)).over(w2)).join(F.broadcast(nexts), "_pid", "left")
-    following = F.when(F.col("_next.k").eqNullSafe(F.col(key)), F.col("_next.f"))
+    segment, heavy = heavy_segments(log, key, order, n)
+    cut = log.withColumn("_seg", segment)
+    w = Window.partitionBy(key, "_seg").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    in_key = Window.partitionBy("_hk").orderBy("_hs")
+
+    def edges(rows: DataFrame, **aggs: Column) -> DataFrame:
+        """One row per segment of the heavy keys."""
+        return rows.filter(heavy).groupBy(F.col(key).alias("_hk"), F.col("_seg").alias("_hs")).agg(*[c.alias(k) for k, c in aggs.items()])
+
+    def beside(rows: DataFrame, edge: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(edge), F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_seg") == F.col("_hs")), "left")
+
+    # the last row before each segment of a heavy key
+    last = edges(cut, _last=F.max_by(sig, pos))
+    carry = last.select("_hk", "_hs", F.lag("_last").over(in_key).alias("_carry"), (F.row_number().over(in_key) > 1).alias("_goes_on"))
+    first_here = F.row_number().over(w) == 1
+    local = cut.withColumn("_prev", F.lag(sig).over(w)).withColumn("_first_here", first_here)
+    j = beside(local, carry)
+    goes_on = F.col("_first_here") & F.coalesce(F.col("_goes_on"), F.lit(False))
+    prev = F.when(goes_on, F.col("_carry")).otherwise(F.col("_prev"))
+    versions = j.filter((F.col("_first_here") & ~goes_on) | ~sig.eqNullSafe(prev)).select(*cols, "_seg")
+
+    # valid_to: the key's next version, inside the segment or in a later one
+    start = F.struct(F.col(vf).alias("at"))  # a NULL start is a start, too
+    firsts = edges(versions, _from=F.min_by(start, pos))
+    nexts = firsts.select("_hk", "_hs", F.lead("_from").over(in_key).alias("_next"))
+    v2 = beside(versions.withColumn("_lead", F.lead(start).over(w)), nexts)
     out = v2.select(
         *cols,
         F.col(vf).cast("timestamp_ntz").alias("valid_from"),
-        F.coalesce(F.col("_lead"), following).cast("timestamp_ntz").alias("valid_to"),
+        F.coalesce(F.col("_lead"), F.col("_next")).getField("at").cast("timestamp_ntz").alias("valid_to"),
     )
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
+def heavy_segments(df: DataFrame, key: str, order: Sequence[str], parts: int, sampled: int = 50) -> tuple[Column, Column]:
+    """(segment number, whether the key is heavy): cuts keys with over 1/parts of the rows along their order.
+
+    There are at most `parts` such keys. Their bounds are quantiles of a sample of about `sampled` rows for each of
+    the at most 2 * parts segments; which rows are sampled decides where the cuts lie, not any result.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
+    total = df.count()
+    heavy = {r[0]: r["_n"] for r in counts.filter(F.col("_n") > F.lit(max(1.0, total / parts))).collect()}
+    if not heavy:
+        return F.lit(0), F.lit(False)
+    kinds = {c: df.schema[c].dataType for c in (key, *order)}
+    fixed = lambda c, v: F.lit(None if v is None else str(v)).cast(kinds[c]).alias(c)
+    is_key = {k: F.col(key).eqNullSafe(fixed(key, k)) for k in heavy}
+    any_key = reduce(lambda a, b: a | b, is_key.values())
+    cuts = {k: -(-n * parts // total) for k, n in heavy.items()}
+    share = min(1.0, sampled * sum(cuts.values()) / sum(heavy.values()))
+    seen: dict = {k: [] for k in heavy}
+    for r in df.filter(any_key).select(key, *order).sample(fraction=share, seed=7).collect():
+        seen[r[0]].append(tuple(r)[1:])
+    pos, out = F.struct(*[F.col(c).alias(c) for c in order]), F.lit(0)
+    for k, rows in seen.items():
+        rows.sort(key=lambda r: [(v is not None, v) for v in r])
+        bounds = sorted({rows[len(rows) * i // cuts[k]] for i in range(1, cuts[k])} if rows else (), key=lambda r: [(v is not None, v) for v in r])
+        number = F.lit(0)
+        for b in bounds:
+            number = number + (pos > F.struct(*[fixed(c, v) for c, v in zip(order, b, strict=True)])).cast("int")
+        out = F.when(is_key[k], number).otherwise(out)
+    return out, any_key
+
+
 def present_history(history: DataFrame, keep_version_cols: bool = False) -> DataFrame:
     """Dimension view of a history: effective_from / effective_to / is_current."""
     base = [c for c in history.columns if c not in HISTORY_COLUMNS]

@@ -160,27 +160,55 @@ def test_scd2_runs_equal_history_from_log(spark):
     assert _hist_rows(h) == sorted((r["id"], r["a"], r["valid_from"], r["valid_to"]) for r in from_log.collect())
 
 
-def test_scd2_from_log_hot_key_spans_partitions(spark):
-    """One key holds most rows; the range-partitioned form equals a plain per-key window."""
+def _plain_history(base, order):
     from pyspark.sql import Window
 
+    w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    marked = base.withColumn("_p", F.lag(F.struct("a")).over(w))
+    ref = marked.filter(F.col("_p").isNull() | ~F.struct("a").eqNullSafe(F.col("_p"))).withColumn("valid_to", F.lead("ts").over(w))
+    return sorted(((r.k, r.ts, r.i, r.a, r.valid_to) for r in ref.collect()), key=repr)
+
+
+@pytest.mark.parametrize("hot", [0, None])
+def test_scd2_from_log_cuts_a_hot_key(spark, hot):
+    """One key, or the NULL key, holds most rows and half of them share their time; equal to a plain window per key."""
     base = spark.range(0, 3000).select(
-        F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("k"),
-        (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("ts"),
-        ((F.col("id") / 7).cast("int") % 3).alias("a"),
-    )
-    got = scd2_from_log(base, "k", ["ts"], ["a"], partitions=7)
-    w = Window.partitionBy("k").orderBy("ts")
-    ref = (
-        base.withColumn("_p", F.lag("a").over(w))
-        .filter(F.col("_p").isNull() | (F.col("_p") != F.col("a")))
-        .withColumn("valid_to", F.lead("ts").over(w))
+        F.when(F.col("id") < 2000, F.lit(hot)).otherwise(F.col("id") % 50 + 1).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("ts"),
+        F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("i"),
+        F.when(F.col("id") % 70 > 6, (F.col("id") / 7).cast("int") % 3).alias("a"),
     )
-    a = sorted((r.k, r.ts, r.a, r.valid_to) for r in got.collect())
-    b = sorted((r.k, r.ts, r.a, r.valid_to) for r in ref.collect())
-    assert a == b
+    want = _plain_history(base, ["ts", "i"])
+    base = base.repartition(5, "i")
+    got = scd2_from_log(base, "k", ["ts", "i"], ["a"], partitions=7)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "ExistingRDD" in plan and "_pid" in plan  # reads the checkpointed range-partitioned log
+    assert "Scan ExistingRDD" not in plan and "_seg" in plan
+    rows = lambda df: sorted(((r.k, r.ts, r.i, r.a, r.valid_to) for r in df.collect()), key=repr)
+    assert rows(got) == want
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert rows(scd2_from_log(base, "k", ["ts", "i"], ["a"], partitions=7)) == want
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_heavy_segments_are_few_and_even(spark):
+    from ledgerlake.operators.history import heavy_segments
+
+    df = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("o"))
+    seg, heavy = heavy_segments(df, "k", ["o"], 12)
+    sizes = [r["count"] for r in df.filter(heavy).groupBy(seg.alias("s")).count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 4 and max(sizes) < 1200
+    assert df.filter(~heavy).select(seg.alias("s")).distinct().collect()[0][0] == 0
+
+
+def test_null_keys_of_a_history_are_spread(spark):
+    src = spark.createDataFrame([(None, str(i)) for i in range(60)] + [(1, "a")], "id int, a string")
+    h = scd2_check(None, src, "id", ["a"], F.lit("2024-01-01").cast("timestamp_ntz"))
+    again = scd2_check(h, src, "id", ["a"], F.lit("2024-01-02").cast("timestamp_ntz"))
+    assert again.count() == 121 and again.filter("id = 1").count() == 1
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "_j_salt" in plan
 
 
 def test_checks_of_all_kinds_share_one_shuffle(spark):
