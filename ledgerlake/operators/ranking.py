@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import null_spread
+
 
 def share_of_total(df: DataFrame, col: str, out: str = "pct_share", scale: int = 2) -> DataFrame:
     """round(100 * col / nullif(sum(col) over (), 0), scale) as DOUBLE, computed in DECIMAL."""
@@ -40,10 +42,10 @@ def global_rank(
     """Competition rank (ties share, gaps follow) or dense rank of `col` over the whole table.
 
     The range of a value is an expression over bounds that are literals (approximate quantiles of the values),
-    so every use of it agrees, whatever the optimizer reuses. `col` is numeric, a date or a timestamp.
+    so every use of it agrees, whatever the optimizer reuses. A value that many rows share is joined by broadcast.
+    `col` is numeric, a date or a timestamp.
     """
-    weight = F.lit(1) if dense else F.count(F.lit(1))
-    counts = df.groupBy(col).agg(weight.cast("bigint").alias("_n"))
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_n", F.lit(1).cast("bigint") if dense else F.col("_rows"))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = df.agg(F.percentile_approx(col, [k / n for k in range(1, n)], 10_000)).first()[0] if n > 1 else None
     kind = df.schema[col].dataType
@@ -62,7 +64,13 @@ def global_rank(
         F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
     ranks = local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid").select(
-        F.col(col).alias("_rank_key"), (F.col("_off") + F.col("_local") + 1).alias(out)
+        F.col(col).alias("_rank_key"), "_rows", (F.col("_off") + F.col("_local") + 1).alias(out)
     )
-    joined = df.join(ranks, df[col].eqNullSafe(ranks["_rank_key"]), "left").drop("_rank_key")
-    return joined.withColumn(out, F.col(out).cast("bigint"))
+    # values that more than 1/n of the rows share, at most n of them, go to the rows; the other rows go to their values
+    often = ranks.filter(F.col("_rows") > df.count() / n).select(F.col("_rank_key").alias("_often"), F.col(out).alias("_often_rank"))
+    rows = df.join(F.broadcast(often), df[col].eqNullSafe(often["_often"]), "left").drop("_often")
+    rows = null_spread(rows, F.col("_often_rank").isNotNull(), "_r")
+    rare = ranks.select("_rank_key", F.col(out).alias("_rare_rank"), F.lit(False).alias("_v_often"), F.lit(0).cast("bigint").alias("_v_salt"))
+    cond = (rows["_r_null"] == rare["_v_often"]) & (rows["_r_salt"] == rare["_v_salt"]) & rows[col].eqNullSafe(rare["_rank_key"])
+    joined = rows.join(rare, cond, "left").withColumn(out, F.coalesce("_often_rank", "_rare_rank").cast("bigint"))
+    return joined.select(*df.columns, out)

@@ -53,6 +53,23 @@ class PartitionedTable:
             self._place(self.spark.read.schema(rows.schema).parquet(staged).hint("rebalance", self.by))
         delete(self.spark, staged)
 
+    def small_files(self, file_bytes: int = 128 << 20) -> DataFrame:
+        """(partition, files, bytes) of the partitions with more files than their size asks for."""
+        rows = self.read()
+        files = rows.select(F.col(self.by), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+        sums = files.groupBy(self.by).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
+        return sums.filter(F.col("files") > F.ceil(F.col("bytes") / file_bytes))
+
+    def compact(self, tag: str, file_bytes: int = 128 << 20) -> int:
+        """Rewrite partitions that lie in too many files; returns how many. The rows stay as they are."""
+        found = [r[0] for r in self.small_files(file_bytes).select(self.by).collect()]  # a row per partition at most
+        if found:
+            known = F.lit(False)
+            for v in found:
+                known = known | F.col(self.by).eqNullSafe(F.lit(v))
+            self.overwrite(self.read().filter(known), tag)
+        return len(found)
+
     def drop(self, values: Sequence) -> None:
         """Remove whole partitions."""
         for v in values:

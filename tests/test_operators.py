@@ -236,3 +236,15 @@ def test_checks_of_all_kinds_share_one_shuffle(spark):
     fine = check_datasets({"kids": [not_null("kind")]}, {"kids": kids.limit(0)})
     assert fine.first().failed_rows == 0
     require(fine)
+
+
+def test_rank_of_frequent_ties_is_joined_by_broadcast(spark):
+    df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("int").alias("v"))
+    for dense in (False, True):
+        got = global_rank(df, "v", "r", dense=dense, partitions=6)
+        fn = F.dense_rank() if dense else F.rank()
+        from pyspark.sql import Window
+
+        want = df.withColumn("r", fn.over(Window.orderBy(F.col("v").desc_nulls_first())))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert "_often" in got._jdf.queryExecution().executedPlan().toString()

@@ -202,3 +202,17 @@ def test_late_rows_rewrite_only_the_days_they_change(spark, tmp, unit):
     assert {d for d, f in files(table).items() if f != after[d]} == parts("2024-02-02", "2024-04-09")
     swapped = [(1, "b", 1.5, "2024-01-01 10:00:00"), *late[1:4], *late[5:]]  # another owner, and a day whose rows are gone
     assert got(run(swapped, "7")) == want(swapped, "7")
+
+
+def test_compaction_rewrites_only_partitions_with_small_files(spark, tmp):
+    table = PartitionedTable(spark, f"{tmp}/t", "day")
+    rows = spark.range(300).select("id", F.when(F.col("id") % 3 < 2, (F.col("id") % 3).cast("string")).alias("day"))
+    rows.filter("day IS NULL OR day = '1'").repartition(6, "id").write.partitionBy("day").parquet(table.path)
+    rows.filter("day = '0'").coalesce(1).write.mode("append").partitionBy("day").parquet(table.path)
+    before = files(table)
+    assert len(before["day=1"]) > 1 and len(before["day=__HIVE_DEFAULT_PARTITION__"]) > 1 and len(before["day=0"]) == 1
+    assert table.compact("c") == 2
+    after = files(table)
+    assert all(len(f) == 1 for f in after.values()) and after["day=0"] == before["day=0"]
+    assert sorted(map(tuple, table.read().select("id", "day").collect()), key=repr) == sorted(((i, i % 3 if i % 3 < 2 else None) for i in range(300)), key=repr)
+    assert table.compact("d") == 0 and files(table) == after
