@@ -78,12 +78,16 @@ def whole_days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 def canonical_id(v: ColumnOrName, path: str) -> Column:
     """Key text of a VARIANT field (H7): integral numbers without a fraction (a double 12.0
-    and a JSON 12 both give '12', a double 1.2E7 gives '12000000'), NaN → NULL, text as is.
-    Each variant lookup is referenced once, so the expression stays cheap when inlined."""
+    and a JSON 12 both give '12', a double 1.2E7 gives '12000000'), NaN → NULL. Text stays as
+    it is: '007.0' is no number."""
     text = F.variant_get(_c(v), path, "string")
+    is_text = F.schema_of_variant(F.variant_get(_c(v), path, "variant")) == "STRING"
     scientific = F.try_variant_get(_c(v), path, "bigint").cast("string")
     plain = F.regexp_replace(text, r"^(-?[0-9]+)\.0+$", "$1")
-    return F.nullif(F.when(text.contains("E") & text.rlike(r"^-?[0-9.]+E[0-9]+$"), scientific).otherwise(plain), F.lit("NaN"))
+    number = F.when(text.rlike(r"^-?[0-9.]+E[0-9]+$"), scientific).otherwise(F.nullif(plain, F.lit("NaN")))
+    # most keys are digits: only others are looked at closely
+    odd = text.contains(".") | text.contains("E") | (text == "NaN")
+    return F.when(odd, F.when(is_text, F.nullif(text, F.lit("NaN"))).otherwise(number)).otherwise(text)
 
 
 def table_of_topic(topic: ColumnOrName) -> Column:

@@ -90,6 +90,30 @@ def scd2_timestamp_second(spark, sf):
     return _no_version_id(history.profiles_history(src2, h1))
 
 
+def _second_history(spark, sf, table, fn, builder):
+    h1 = fn(stg(spark, sf, table, RUN1), None, RUN1)
+    return fn(stg(spark, sf, table, RUN2, builder), h1, RUN2)
+
+
+def customers_second_run(spark, sf):
+    return history.dim_customers(_second_history(spark, sf, "customers", history.customers_history, fx.customers_batch2))
+
+
+def services_second_run(spark, sf):
+    return history.dim_services(_second_history(spark, sf, "services", history.services_history, fx.services_batch2))
+
+
+def segments_second_run(spark, sf):
+    h = _second_history(spark, sf, "customer_segments", history.segments_history, fx.customer_segments_batch2)
+    return _no_version_id(h)
+
+
+def version_ids(spark, sf):
+    """The id of every version of two runs; a version keeps its id when it is closed."""
+    h = _second_history(spark, sf, "accounts", history.accounts_history, fx.accounts_batch2)
+    return h.select("account_id", "valid_from", "valid_to", "version_id", "version_updated_at")
+
+
 def segments_history_first(spark, sf):
     return _no_version_id(history.segments_history(stg(spark, sf, "customer_segments"), None))
 
@@ -129,6 +153,11 @@ def agg_customer_service_freq(spark, sf):
     return usage.agg_customer_service_freq(fct_service_usage(spark, sf))
 
 
+def usage_after_service_change(spark, sf):
+    """Services with closed versions; every usage gets the open one's attributes."""
+    return usage.fct_service_usage(stg(spark, sf, "service_usage", RUN2), services_second_run(spark, sf), None, RUN2)
+
+
 def usage_second_run(spark, sf):
     dim = _dim_services_df(spark, sf)
     t1 = usage.fct_service_usage(stg(spark, sf, "service_usage", RUN1, fx.service_usage_batch1), dim, None, RUN1)
@@ -178,6 +207,15 @@ def dim_customer_profile(spark, sf):
     return features.dim_customer_profile(int_customer_metrics(spark, sf), None)
 
 
+def profile_dim_second_run(spark, sf):
+    """Metrics stamped after the dimension's last ones are merged into it."""
+    prof = stg(spark, sf, "customer_profiles")
+    tx1 = features.int_customer_transactions(_tx(spark, sf, RUN1, fx.transactions_batch1), _acc(spark, sf))
+    first = features.int_customer_metrics(features.int_customer_behavior(tx1, prof), None, RUN1)
+    second = features.int_customer_metrics(int_customer_behavior(spark, sf), first, RUN2)
+    return features.dim_customer_profile(second, features.dim_customer_profile(first, None))
+
+
 def report_top_risk(spark, sf, n=10):
     return reports.report_top_risk(dim_customer_profile(spark, sf), n)
 
@@ -325,6 +363,12 @@ def _build() -> dict[str, Query]:
             "activity_second_run": activity_second_run,
             "activity_recompute_run": activity_recompute_run,
             "activity_late_days": activity_late_days,
+            "customers_second_run": customers_second_run,
+            "services_second_run": services_second_run,
+            "segments_second_run": segments_second_run,
+            "version_ids": version_ids,
+            "usage_after_service_change": usage_after_service_change,
+            "profile_dim_second_run": profile_dim_second_run,
             "fact_customer_segment": fact_customer_segment,
             "segment_second_run": segment_second_run,
             "dim_customers": dim_customers,

@@ -329,6 +329,25 @@ cte("prof_h2", scd2_step_sql("prof_h1", "stg_customer_profiles_b2", "customer_id
                              "coalesce(s.updated_at > h.updated_at, FALSE)", "s.updated_at"),
     "prof_h1", "stg_customer_profiles_b2")
 
+cte("customers_b2", "SELECT * REPLACE (CASE WHEN id % 7 = 0 THEN 'new-' || email ELSE email END AS email) FROM customers WHERE id % 7 <> 1", "customers")
+cte("services_b2", """SELECT * REPLACE (is_active AND id % 4 <> 0 AS is_active, CASE id % 4 WHEN 1 THEN service_name || ' plus' ELSE service_name END AS service_name,
+  CASE id % 4 WHEN 2 THEN service_code || '_B' ELSE service_code END AS service_code) FROM services""", "services")
+CUST_COLS = ["customer_id", "first_name", "last_name", "email", "created_at"]
+SVC_COLS = ["service_id", "service_code", "service_name", "category", "is_active", "created_at"]
+SEG_COLS = ["customer_id", "segment_name", "segment_score", "assigned_at", "updated_at"]
+for _t, _h, _key, _c, _checked in (
+    ("customers", "cust", "customer_id", CUST_COLS, ("first_name", "last_name", "email")),
+    ("services", "svc", "service_id", SVC_COLS, ("service_name", "category", "is_active")),
+):
+    cte(f"stg_{_t}_b2", staging_sql(_t, f"{_t}_b2", RUN2), f"{_t}_b2")
+    cte(f"{_h}_h1", f"SELECT {', '.join(_c)}, TIMESTAMP '{RUN1}' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM stg_{_t}", f"stg_{_t}")
+    _differs = " OR ".join(f"h.{x} IS DISTINCT FROM s.{x}" for x in _checked)
+    cte(f"{_h}_h2", scd2_step_sql(f"{_h}_h1", f"stg_{_t}_b2", _key, _c, _differs, f"TIMESTAMP '{RUN2}'"), f"{_h}_h1", f"stg_{_t}_b2")
+cte("seg_h1", f"SELECT {', '.join(SEG_COLS)}, assigned_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM stg_customer_segments", "stg_customer_segments")
+cte("seg_h2", scd2_step_sql("seg_h1", "stg_customer_segments_b2", "customer_id", SEG_COLS, "coalesce(s.assigned_at > h.assigned_at, FALSE)", "s.assigned_at"),
+    "seg_h1", "stg_customer_segments_b2")
+cte("stg_service_usage_r2", staging_sql("service_usage", "service_usage", RUN2), "service_usage")
+
 LINEITEM_ORDER = "l_shipdate ASC NULLS FIRST, l_linenumber ASC NULLS FIRST, l_partkey ASC NULLS FIRST, l_suppkey ASC NULLS FIRST"
 LOG_COLS = "l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_quantity"
 
@@ -419,6 +438,19 @@ def _oracle() -> dict[str, str]:
     o["report_top_services"] = q(
         "SELECT usage_rank, service_name, category, total_uses, distinct_customers, pct_share FROM agg_service_frequency "
         "ORDER BY usage_rank, service_id LIMIT 10", "agg_service_frequency")
+    o["customers_second_run"] = q(present_sql("cust_h2", CUST_COLS), "cust_h2")
+    o["services_second_run"] = q(present_sql("svc_h2", SVC_COLS), "svc_h2")
+    o["segments_second_run"] = q(present_sql("seg_h2", SEG_COLS), "seg_h2")
+    o["version_ids"] = q("SELECT account_id, valid_from, valid_to, md5(account_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S')) AS version_id, "
+                         "valid_from AS version_updated_at FROM acc_h2", "acc_h2")
+    o["usage_after_service_change"] = q(
+        f"""SELECT u.usage_id, u.customer_id, u.account_id, u.service_id, n.service_code, n.service_name, n.category, u.channel, u.status, u.used_at,
+  CAST(u.used_at AS DATE) AS usage_date, TIMESTAMP '{RUN2}' AS load_timestamp
+FROM stg_service_usage_r2 u LEFT JOIN (SELECT * FROM svc_h2 WHERE valid_to IS NULL) n USING (service_id)""", "stg_service_usage_r2", "svc_h2")
+    merged = merge_sql("d15_t1", "d15_batch2", ["customer_id"])
+    o["profile_dim_second_run"] = q(
+        f"""SELECT customer_id, total_transactions, total_transfer_amount, avg_transaction_amount, login_frequency, preferred_transaction_type,
+  favorite_feature, last_active_date, risk_score, updated_at FROM ({merged}) m""", "d15_t1", "d15_batch2")
     o["activity_late_days"] = q("SELECT * FROM activity_r2", "activity_r2")
     o["report_recent_activity"] = q(
         "SELECT customer_id, activity_date, transactions_count, total_amount FROM activity "

@@ -238,6 +238,22 @@ def accounts_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(new)
 
 
+def customers_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mod 7 = 0: another e-mail (versions); = 1: missing from the source."""
+    c = customers(spark, sf_dir).filter(F.col("id") % 7 != 1)
+    return c.withColumn("email", F.when(F.col("id") % 7 == 0, F.concat(F.lit("new-"), F.col("email"))).otherwise(F.col("email")))
+
+
+def services_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mod 4 = 0: switched off; = 1: another name (versions); = 2: another code (ignored)."""
+    s, m = services(spark, sf_dir), F.col("id") % 4
+    return (
+        s.withColumn("is_active", F.when(m == 0, F.lit(False)).otherwise(F.col("is_active")))
+        .withColumn("service_name", F.when(m == 1, F.concat("service_name", F.lit(" plus"))).otherwise(F.col("service_name")))
+        .withColumn("service_code", F.when(m == 2, F.concat("service_code", F.lit("_B"))).otherwise(F.col("service_code")))
+    )
+
+
 def customer_profiles_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """mod 5 = 0: updated_at + 1 day (versions); mod 5 = 1: other values, same time (ignored)."""
     p = customer_profiles(spark, sf_dir)

@@ -145,3 +145,28 @@ def test_u03_null_timestamp_never_counts_as_newer(spark):
     s2 = spark.createDataFrame([(1, "b", None)], "id int, a string, updated_at timestamp_ntz")
     h2 = scd2_timestamp(h1, s2, "id", "updated_at")
     assert [(r.a, r.valid_to) for r in h2.collect()] == [("a", None)]
+
+
+def test_key_text_stays_as_it_is(spark):
+    from ledgerlake.functions.columns import canonical_id
+
+    df = spark.sql("""SELECT parse_json('{"a":"007.0","b":7.0,"c":"1.2E7","d":12000000.0,"e":null,"f":"NaN","g":12}') AS v""")
+    got = df.select(*[canonical_id("v", f"$.{c}").alias(c) for c in "abcdefg"]).first()
+    assert tuple(got) == ("007.0", "7", "1.2E7", "12000000", None, None, "12")
+
+
+def test_recent_activity_shows_days_without_a_date_first(spark):
+    from ledgerlake.plans.reports import report_recent_activity
+
+    rows = [("1", "2024-01-01", 1, 2.0), ("2", None, 1, 2.0), ("3", "2024-01-02", 1, 2.0)]
+    df = spark.createDataFrame(rows, "customer_id string, activity_date string, transactions_count long, total_amount double")
+    df = df.withColumn("activity_date", F.col("activity_date").cast("date"))
+    assert [r.customer_id for r in report_recent_activity(df, 2).collect()] == ["2", "3"]
+
+
+def test_an_empty_data_object_is_the_payload(spark):
+    from ledgerlake.sources.cdc import normalize_changes
+
+    df = spark.createDataFrame([('{"data":{},"eventType":"INSERT","table":"customers","record":{"id":4}}',)], "s string").select(F.parse_json("s").alias("j"))
+    r = normalize_changes(df, F.lit(1)).first()
+    assert (r.table, r.op) == (None, "r")
