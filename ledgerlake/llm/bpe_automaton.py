@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +30,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORDS_KEPT = 150_000
+WORDS_KEPT = 150_000  # in each of two generations
+ARCS_KEPT = 1 << 20
+TOKEN = -1
+_CUT_ONLY_HERE = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the pattern
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
@@ -47,8 +51,7 @@ class Automaton:
     right: list[int]
     born: list[int]
     merged: dict[int, int]
-    trie: dict[int, int]
-    token_at: list[int]
+    trie: dict  # by symbol, nested; TOKEN: the token whose symbols lead here
     symbol: dict[str, int]
     suffix: str
     pattern: str
@@ -82,22 +85,20 @@ class Automaton:
     def word(self, symbols: list[int]) -> list[int]:
         n = len(symbols)
         state, back = [-1] * (n + 1), [0] * (n + 1)
-        trie, token_at, arcs = self.trie, self.token_at, self.arcs
+        trie, arcs = self.trie, self.arcs
         for i in range(n):
-            s, node = state[i], 0
-            for j in range(i, n):
-                node = trie.get(node << 10 | symbols[j], -1)
-                if node < 0:
-                    break
-                t = token_at[node]
-                if t >= 0:
+            s, node, j = state[i] << 20, trie, i
+            while j < n and (node := node.get(symbols[j])) is not None:
+                j += 1
+                t = node.get(TOKEN)
+                if t is not None:
                     if i:
-                        ok = arcs.get(s << 20 | t)
+                        ok = arcs.get(s | t)
                         if ok is None:
-                            ok = self.has_arc(s, t)
+                            ok = self.has_arc(s >> 20, t)
                         if not ok:
                             continue
-                    state[j + 1], back[j + 1] = t, i
+                    state[j], back[j] = t, i
         out, i = [], n
         while i:
             out.append(state[i])
@@ -132,23 +133,46 @@ def compile_automaton(path: str) -> Automaton:
         symbol[s + suffix] = vocab[s + suffix]
     base = {i: k for k, i in enumerate(sorted(set(symbol.values())))}
     spelled: dict[int, list[int]] = {i: [k] for i, k in base.items()}
-    trie: dict[int, int] = {}
-    token_at = [-1]
+    trie: dict = {}
     for t in sorted((i for i in vocab.values() if born[i] >= 0 or i in base), key=lambda i: born[i]):
         if t not in spelled:
             spelled[t] = spelled[left[t]] + spelled[right[t]]
-        node = 0
+        node = trie
         for k in spelled[t]:
-            node = trie.setdefault(node << 10 | k, len(token_at))
-            if node == len(token_at):
-                token_at.append(-1)
-        token_at[node] = t
+            node = node.setdefault(k, {})
+        node[TOKEN] = t
     pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("[^\\s", f"[^{_SPACE}")
-    return Automaton(labels, left, right, born, merged, trie, token_at, {s: base[i] for s, i in symbol.items()}, suffix, pattern, special)
+    return Automaton(labels, left, right, born, merged, trie, {s: base[i] for s, i in symbol.items()}, suffix, pattern, special)
+
+
+class _Memory:
+    """Short strings met lately: two generations of bounded size, so that what recurs is not forgotten."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def older(self, key: str):
+        """A value of the older generation, which then is young again."""
+        value = self.old.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key: str, value) -> None:
+        if len(key) <= 64:
+            if len(self.young) >= WORDS_KEPT:
+                self.old = dict(self.young)
+                self.young.clear()  # in place: callers hold its methods
+            self.young[key] = value
 
 
 class Encoder:
-    """An automaton with the text rules around it, and a bounded memory of words already encoded."""
+    """An automaton with the text rules around it, and bounded memories of what it has encoded and decoded.
+
+    No word of the pattern holds white space, so a text is cut there first and a piece that was met before is looked up
+    with its ids and their labels as a whole.
+    """
 
     def __init__(self, automaton: Automaton):
         self.a = automaton
@@ -156,51 +180,80 @@ class Encoder:
         self.special = regex.compile("(" + "|".join(map(regex.escape, automaton.special)) + ")") if automaton.special else None
         self.plain = [automaton.symbol[s] for s in byte_symbols()]
         self.last = [automaton.symbol[s + automaton.suffix] for s in byte_symbols()]
-        self.known: dict[str, bytes] = {}
+        self.known, self.pieces = _Memory(), _Memory()
 
     def _word(self, w: str) -> bytes:
         b = w.encode("utf-8")
         symbols = [self.plain[x] for x in b]
         symbols[-1] = self.last[b[-1]]
         ids = np.array(self.a.word(symbols), "<u4").tobytes()
-        if len(self.known) >= WORDS_KEPT:
-            self.known.clear()
+        if len(self.a.arcs) >= ARCS_KEPT:
             self.a.arcs.clear()
-        if len(w) <= 64:
-            self.known[w] = ids
+        self.known.keep(w, ids)
         return ids
 
-    def _plain(self, text: str) -> bytes:
+    def _piece(self, piece: str) -> tuple[bytes, str]:
+        known = self.pieces.older(piece)
+        if known is None:
+            get, older, new = self.known.young.get, self.known.older, self._word
+            ids = b"".join([get(w) or older(w) or new(w) for w in self.words(piece)])
+            known = ids, self.decode(ids)
+            self.pieces.keep(piece, known)
+        return known
+
+    def _plain(self, text: str) -> list[tuple[bytes, str]]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letters are lowered one by one
-        get, new = self.known.get, self._word
-        return b"".join([get(w) or new(w) for w in self.words(text.lower())])
+        text = text.lower()
+        if any(c in text for c in _CUT_ONLY_HERE):
+            return [self._piece(text)]
+        get, new = self.pieces.young.get, self._piece
+        return [get(w) or new(w) for w in text.split()]
+
+    def both(self, text: str) -> tuple[bytes, str]:
+        """The ids, as little-endian unsigned 32-bit integers, and what they decode to."""
+        if not any(s in text for s in self.a.special):
+            found = self._plain(text)
+        else:
+            found = []
+            for k, p in enumerate(self.special.split(text)):
+                if k % 2:
+                    ids = np.uint32(self.a.special[p]).tobytes()
+                    found.append((ids, self.decode(ids)))
+                else:
+                    found += self._plain(p)
+        return b"".join([ids for ids, _ in found]), " ".join([label for ids, label in found if ids])
 
     def encode(self, text: str) -> bytes:
-        """The ids, as little-endian unsigned 32-bit integers."""
-        if self.special is None or not self.special.search(text):
-            return self._plain(text)
-        parts = self.special.split(text)
-        return b"".join(np.uint32(self.a.special[p]).tobytes() if k % 2 else self._plain(p) for k, p in enumerate(parts))
+        return self.both(text)[0]
 
     def decode(self, ids: bytes) -> str:
         label = self.a.labels.__getitem__
         return " ".join(map(label, np.frombuffer(ids, "<u4").tolist()))
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(table, key: str) -> Encoder:
+    """One encoder for all tasks of a call in a Python worker."""
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(table.value)
+    return _ENCODERS[key]
+
+
 def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """Returns (doc_id, n_tokens, ids_sha256, decoded_sha256) of each row, and with keep_ids the ids and decoded text."""
-    table = docs.sparkSession.sparkContext.broadcast(compile_automaton(path))
+    table, key = docs.sparkSession.sparkContext.broadcast(compile_automaton(path)), uuid.uuid4().hex
 
     def run(batches):
-        e = Encoder(table.value)
+        e = _encoder(table, key)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                ids, texts = [], []
-                for t in part.column(1):
-                    ids.append(e.encode(t.as_py() or ""))
-                    texts.append(e.decode(ids[-1]))
+                found = [e.both(t.as_py() or "") for t in part.column(1)]
+                ids, texts = [i for i, _ in found], [t for _, t in found]
                 cols = [
                     part.column(0),
                     pa.array([len(i) // 4 for i in ids], pa.int64()),

@@ -313,3 +313,37 @@ def test_repaired_turns_and_dropped_conversations(spark):
     rows = spark.createDataFrame([(1, 0, "user", "Hm.", 0), (1, 1, "user", "Oh.", 1), (1, 2, "tool", "Ah.", 2)], "conv_id long, turn long, role string, text string, place int")
     turns = fix.repair(rows, rows).collect()
     assert [(r.edit, r.role, r.text) for r in turns][1:] in ([("D", None, None), ("K", "user", "Oh."), ("R", "assistant", "Ah.")],)
+
+
+# --- white space that only str.split knows -------------------------------------------------------------------------------
+
+
+def test_bpe_pieces_equal_the_library():
+    import tokenizers
+
+    from ledgerlake.llm import bpe_automaton as B
+
+    lib = tokenizers.Tokenizer.from_file(B.default_path())
+    lib.no_truncation(), lib.no_padding()
+    e = B.Encoder(B.compile_automaton(B.default_path()))
+    r = random.Random(2)
+    texts = ["a\x1cb c\x1f 's", "<|endoftext|>x<|startoftext|> y", "it's  IT'S Σας x y\x85z\xa0'll", "é ́e", "\x1c", "", "x" * 2000, "ab " * 5000]
+    texts += ["".join(r.choice(" \n\tabcXYZ'sΣéß1٣,.! \x1d 中あ🙂<|>") for _ in range(r.randint(0, 40))) for _ in range(1500)]
+    for t in texts:
+        ids = lib.encode(t, add_special_tokens=False).ids
+        got, text = e.both(t)
+        assert got == np.array(ids, "<u4").tobytes(), repr(t)
+        assert text == lib.decode(ids, skip_special_tokens=False) == e.decode(got)
+
+
+def test_the_memory_of_pieces_forgets_only_what_is_old(monkeypatch):
+    from ledgerlake.llm import bpe_automaton as B
+
+    monkeypatch.setattr(B, "WORDS_KEPT", 3)
+    m = B._Memory()
+    for k in "abcdefgh":
+        m.keep(k, k * 2)
+        assert (m.young.get("a") or m.older("a")) == "aa"
+    assert len(m.young) <= 3 and len(m.old) <= 3
+    m.keep("x" * 65, 1)
+    assert "x" * 65 not in m.young
