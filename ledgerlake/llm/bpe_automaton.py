@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 import uuid
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +147,11 @@ def compile_automaton(path: str) -> Automaton:
     return Automaton(labels, left, right, born, merged, trie, {s: base[i] for s, i in symbol.items()}, suffix, pattern, special)
 
 
+@lru_cache(maxsize=256)
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
 class _Memory:
     """Short strings met lately: two generations of bounded size, so that what recurs is not forgotten."""
 
@@ -182,22 +189,23 @@ class Encoder:
         self.last = [automaton.symbol[s + automaton.suffix] for s in byte_symbols()]
         self.known, self.pieces = _Memory(), _Memory()
 
-    def _word(self, w: str) -> bytes:
+    def _word(self, w: str) -> tuple[bytes, str]:
         b = w.encode("utf-8")
         symbols = [self.plain[x] for x in b]
         symbols[-1] = self.last[b[-1]]
-        ids = np.array(self.a.word(symbols), "<u4").tobytes()
+        tokens = self.a.word(symbols)
         if len(self.a.arcs) >= ARCS_KEPT:
             self.a.arcs.clear()
-        self.known.keep(w, ids)
-        return ids
+        both = _packer(len(tokens))(*tokens), " ".join([self.a.labels[t] for t in tokens])
+        self.known.keep(w, both)
+        return both
 
     def _piece(self, piece: str) -> tuple[bytes, str]:
         known = self.pieces.older(piece)
         if known is None:
             get, older, new = self.known.young.get, self.known.older, self._word
-            ids = b"".join([get(w) or older(w) or new(w) for w in self.words(piece)])
-            known = ids, self.decode(ids)
+            found = [get(w) or older(w) or new(w) for w in self.words(piece)]
+            known = found[0] if len(found) == 1 else (b"".join([i for i, _ in found]), " ".join([t for _, t in found]))
             self.pieces.keep(piece, known)
         return known
 
