@@ -392,7 +392,7 @@ def test_oracles_of_the_whole_tables(spark):
 
     d = "/root/testdata/sf0.001"
     c = duckdb.connect()
-    for t in ("pages", "conversations"):
+    for t in ("pages", "conversations", "documents", "benchmark"):
         c.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
     for name, sql in ORACLE.items():
         got = QUERIES[name](spark, d)
