@@ -1,16 +1,15 @@
 """Quality rules: counts per text, and bands of n-gram perplexity per language.
 
-Method. Every byte of a text is put in one of 32 classes (26 letters, space, line end, sentence marks, symbols,
-other ASCII, non-ASCII). Spark counts the 4-grams of classes over all texts (at most 32^4 = 1,048,576 keys, a fixed bound);
-from these counts a modified Kneser-Ney model is built and stored as hash arrays sorted by key, one for each order, which
-every task receives. A text's perplexity is 10^(-log10 probability per byte). Per language the middle of the log
-perplexities and their spread (quartiles) give a lower and an upper band; a text outside is rejected.
+Method. A modified Kneser-Ney model over character 5-grams is counted by Spark for each language (see char_model): real code
+points, no cap on the keys, tables joined by n-gram. A text is scored by the model of the half of the texts that it is
+not in. Its perplexity is 10^(-log10 probability per character). Per language the middle of the log perplexities and
+their spread (quartiles) give a lower and an upper band; a text outside is rejected.
 
 Counts. Words are runs outside 0x20 and 0x09-0x0D, as written. See the operator's column list.
 
 Defined cases. Null text: no words, rejected. Empty text or no words: rejected (fewer than 10 words). Null language: a
 language of its own. Languages whose texts all have one perplexity get bands around it. Rows that repeat are judged
-alike. An empty table gives an empty table. All columns of the input are kept; the added ones get a prefix that is
+alike. An empty table gives an empty table. The columns asked for are kept; the added ones get a prefix that is
 free, so that no name clashes.
 """
 
@@ -22,124 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.llm import char_model
 from ledgerlake.llm import words as W
 from ledgerlake.llm.tables import written
 
-ORDER = 4
-CLASSES = 32
-BITS = 5
-SPREADS = 4.0
+SPREADS = 3.0  # see the tests for the share of spoiled texts that these bands reject
 FLOOR = 0.05
-SHORT_BYTES = 150  # the bands widen by sqrt(1 + SHORT_BYTES / bytes): a short text's mean is less certain
+SHORT = 150  # the bands widen by sqrt(1 + SHORT / characters): a short text's mean is less certain
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-
-
-def _classes() -> np.ndarray:
-    c = np.full(256, 30, np.int64)
-    for k in range(26):
-        c[65 + k] = c[97 + k] = k
-    c[[0x20, 0x09, 0x0B, 0x0C, 0x0D]] = 26
-    c[0x0A] = 27
-    c[list(b".,;:!?'\"-()")] = 28
-    c[list(b"#*$%&|<>@^~_=+/\\[]{}`")] = 29
-    c[128:] = 31
-    return c
-
-
-CLASS_OF = _classes()
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
 
-def codes(block: W.Block) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram code that ends at each byte (a text begins as if after line ends), and the row's first byte."""
-    c = CLASS_OF[block.data]
-    code = c.copy()
-    place = np.arange(len(c)) - np.repeat(block.offsets[:-1], np.diff(block.offsets))
-    for k in range(1, ORDER):
-        back = np.full(len(c), 27, np.int64)
-        back[k:] = c[:-k] if len(c) > k else back[k:]
-        back[place < k] = 27
-        code |= back << (BITS * k)
-    return code, block.offsets
-
-
-def count_grams(batches):
-    """Counts of each 4-gram code in this task's texts (a fixed-size array, however long the input)."""
-    total = np.zeros(CLASSES**ORDER, np.int64)
-    for batch in batches:
-        for block in W.blocks(batch.column(0)):
-            total += np.bincount(codes(block)[0], minlength=len(total))
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "n"])
-
-
-class KneserNey:
-    """Modified Kneser-Ney over class n-grams: per order, keys sorted by hash, with log10 probability or backoff weight."""
-
-    def __init__(self, code: np.ndarray, n: np.ndarray):
-        counts = {ORDER: (code, n)}
-        for o in range(ORDER - 1, 0, -1):  # lower orders count the different symbols that come before
-            k, c = np.unique(counts[o + 1][0] & ((1 << BITS * o) - 1), return_counts=True)
-            counts[o] = (k, c)
-        prob = np.full(1, 1.0 / CLASSES)  # order 0: any symbol
-        below = (np.zeros(1, np.int64), prob)
-        self.grams, self.weights = {}, {}
-        for o in range(1, ORDER + 1):
-            k, c = counts[o]
-            d = self._discounts(c)
-            less = d[np.minimum(c, 3)]
-            ctx, at = np.unique(k >> BITS, return_inverse=True)
-            total = np.bincount(at, c)
-            weight = np.bincount(at, less) / total
-            if o == 1:
-                lower = np.full(len(k), 1.0 / CLASSES)
-            else:
-                lower = below[1][np.searchsorted(below[0], k & ((1 << BITS * (o - 1)) - 1))]
-            p = (c - less) / total[at] + weight[at] * lower
-            below = (k, p)
-            self.grams[o] = self._sorted(k, np.log10(p))
-            self.weights[o] = self._sorted(ctx, np.log10(weight))
-
-    @staticmethod
-    def _discounts(c: np.ndarray) -> np.ndarray:
-        n1, n2, n3, n4 = (max(1, int(np.count_nonzero(c == k))) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2)
-        d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-        return np.array([0.0] + [min(max(x, 0.1), k - 0.1) if k > 1 else min(max(x, 0.1), 0.9) for k, x in enumerate(d, 1)])
-
-    @staticmethod
-    def _sorted(keys: np.ndarray, values: np.ndarray):
-        h = W.mix(keys.astype(np.uint64))
-        o = np.argsort(h)
-        return h[o], values[o].astype(np.float32)
-
-    @staticmethod
-    def _find(table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = W.mix(keys.astype(np.uint64))
-        at = np.minimum(np.searchsorted(table[0], h), len(table[0]) - 1)
-        return table[0][at] == h, table[1][at]
-
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the last symbol of each code after the ones before it."""
-        kinds, back = np.unique(code, return_inverse=True) if len(code) > 4096 else (code, np.arange(len(code)))
-        out = np.zeros(len(kinds), np.float64)
-        left = np.arange(len(kinds))
-        for o in range(ORDER, 0, -1):
-            k = kinds[left] & ((1 << BITS * o) - 1)
-            have, value = self._find(self.grams[o], k)
-            out[left[have]] += value[have]
-            left, k = left[~have], k[~have]
-            if not len(left):
-                break
-            known, weight = self._find(self.weights[o], k >> BITS)
-            out[left[known]] += weight[known]
-        out[left] += np.log10(1.0 / CLASSES)
-        return out[back]
-
-
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     return total[offsets[1:]] - total[offsets[:-1]]
@@ -188,45 +83,56 @@ def _free_prefix(names: list[str]) -> str:
     return p
 
 
-def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", spreads: float = SPREADS) -> tuple[DataFrame, str]:
-    """All columns of docs, and with the returned prefix: FEATURES, bytes, log_ppl, base_failed, kept."""
+def quality_rules(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", spreads: float = SPREADS, keep: list[str] | None = None, frequent: int = char_model.FREQUENT
+) -> tuple[DataFrame, str]:
+    """The columns `keep` of docs (all if None), and with the returned prefix: FEATURES, chars, log_ppl, base_failed, kept."""
     spark = docs.sparkSession
-    grams = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count_grams, "code long, n long")
-    grams = grams.groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code")
-    table = spark.sparkContext.broadcast(KneserNey(grams["code"].to_numpy(np.int64), grams["n"].to_numpy(np.int64)) if len(grams) else None)
-    at = docs.columns.index(text_col)
+    keep = docs.columns if keep is None else keep
     p = _free_prefix(docs.columns)
+    lang = F.xxhash64(F.coalesce(F.col(lang_col).cast("string"), F.lit("\0"))).alias(p + "l")
+    rows = docs.select(F.col(text_col).cast("string").alias(p + "text"), lang, *keep)
+    top, rest = char_model.fit(rows.select(F.col(p + "text").alias("text"), F.col(p + "l").alias("l")), frequent)
+    table = spark.sparkContext.broadcast(top)
+    added = {**dict.fromkeys(FEATURES, T.LongType()), "row": T.LongType(), "chars": T.LongType(), "lp": T.LongType(), "rare": T.ArrayType(T.LongType()), "side": T.LongType()}
 
     def score(batches):
+        keys = char_model.row_keys()
         for batch in batches:
-            for block in W.blocks(batch.column(at).cast(pa.string())):
-                cols = [pa.array(c.astype(np.int64)) for c in counts(block)]
-                size = np.diff(block.offsets)
-                lp = row_sums(table.value.log10(codes(block)[0]), block.offsets) if size.sum() else np.zeros(len(size))
-                log_ppl = pa.array(np.where(size > 0, -lp / np.maximum(size, 1), 0.0), mask=size == 0)
+            lang = batch.column(1).to_numpy()
+            for block in W.blocks(batch.column(0)):
+                next(keys)
+                numbers = keys.send(block.rows)
+                size, lp, rare, side = char_model.score_block(table.value, block, lang[block.first : block.first + block.rows])
                 part = batch.slice(block.first, block.rows)
-                yield pa.RecordBatch.from_arrays([*part.columns, *cols, pa.array(size), log_ppl], [*batch.schema.names, *[p + f for f in FEATURES], p + "bytes", p + "log_ppl"])
-
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(p + f, T.LongType()) for f in [*FEATURES, "bytes"]], T.StructField(p + "log_ppl", T.DoubleType())])
-    scored = written(docs.mapInArrow(score, schema), "scored")
+                cols = [*counts(block), numbers, size, lp, rare, side]
+                cols = [c if isinstance(c, pa.Array) else pa.array(c.astype(np.int64)) for c in cols]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *cols], [*batch.schema.names[1:], *[p + f for f in added]])
+
+    schema = T.StructType([*rows.schema.fields[1:], *[T.StructField(p + f, t) for f, t in added.items()]])
+    scored = written(rows.mapInArrow(score, schema), "scored")
+    more = char_model.rare_sums(scored, rest, p + "row", p + "rare", p + "side").withColumnRenamed("more", p + "more")
+    total = (F.col(p + "lp") + F.coalesce(p + "more", F.lit(0))) / char_model.MICRO
+    log_ppl = F.when(F.col(p + "chars") > 0, -total / F.col(p + "chars"))
     failed = (F.col(p + "n_words") < MIN_WORDS) | (100 * F.col(p + "n_repeat_words") > REPEAT_PERCENT * F.col(p + "n_words"))
-    scored = scored.withColumn(p + "base_failed", failed)
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("\0")).alias(p + "lang")
+    judged = scored.select(p + "row", p + "l", p + "chars", p + "lp", failed.alias(p + "base_failed")).join(more, p + "row", "left").withColumn(p + "log_ppl", log_ppl)
+    judged = written(judged.select(p + "row", p + "l", p + "chars", p + "base_failed", p + "log_ppl"), "judged")
     quartiles = F.percentile_approx(p + "log_ppl", [0.25, 0.5, 0.75], 10_000)
-    bands = scored.filter(~failed).groupBy(lang).agg(quartiles.alias("q"))
+    bands = judged.filter(~F.col(p + "base_failed")).groupBy(p + "l").agg(quartiles.alias("q"))
     spread = F.greatest(F.col("q")[2] - F.col("q")[0], F.lit(FLOOR / spreads))
-    bands = bands.select(p + "lang", F.col("q")[1].alias(p + "mid"), (spreads * spread).alias(p + "wide"))
+    bands = bands.select(p + "l", F.col("q")[1].alias(p + "mid"), (spreads * spread).alias(p + "wide"))
     # a table of its own: the join may then become a broadcast on its measured size, or split a frequent language
     bands = written(bands, "bands")
-    out = scored.withColumn(p + "lang", lang).join(bands, p + "lang", "left")
-    kept = ~F.col(p + "base_failed") & F.coalesce(F.abs(F.col(p + "log_ppl") - F.col(p + "mid")) <= F.col(p + "wide") * F.sqrt(1 + SHORT_BYTES / F.col(p + "bytes")), F.lit(False))
-    out = out.withColumn(p + "kept", kept)
-    return out.select(*docs.columns, *[p + c for c in [*FEATURES, "bytes", "log_ppl", "base_failed", "kept"]]), p
+    inside = F.abs(F.col(p + "log_ppl") - F.col(p + "mid")) <= F.col(p + "wide") * F.sqrt(1 + SHORT / F.col(p + "chars"))
+    verdict = judged.join(bands, p + "l", "left").withColumn(p + "kept", ~F.col(p + "base_failed") & F.coalesce(inside, F.lit(False)))
+    verdict = verdict.select(p + "row", p + "chars", p + "log_ppl", p + "base_failed", p + "kept")
+    out = scored.drop(*[p + c for c in ("l", "chars", "lp", "rare", "side")]).join(verdict, p + "row")
+    return out.select(*keep, *[p + c for c in [*FEATURES, "chars", "log_ppl", "base_failed", "kept"]]), p
 
 
 def op9_quality_rules(spark, sf_dir):
     """Registered query: the rules over all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    judged, p = quality_rules(docs)
+    judged, p = quality_rules(docs, keep=["doc_id"])
     names = [*FEATURES, "base_failed", "kept"]
     return judged.select("doc_id", *[F.col(p + c).alias(c) for c in names], F.pow(F.lit(10.0), p + "log_ppl").alias("perplexity"))
