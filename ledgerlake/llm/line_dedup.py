@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
 from ledgerlake.llm.rarity import Rarity, rarity
-from ledgerlake.llm.tables import is_empty, written
+from ledgerlake.llm.tables import discard, is_empty, written
 
 NO_ID = (1 << 63) - 1
 SKETCH_BITS = 26
@@ -159,12 +159,12 @@ def held_elsewhere(docs: DataFrame, alone: DataFrame, sets) -> DataFrame:
     return held.filter("lo <> hi").select("tok")
 
 
-def shared_tokens(docs: DataFrame, prefixes: DataFrame, node: str, sets) -> DataFrame:
-    """(node, more): per node, its prefix tokens that no other prefix has (df = 1), but another whole set."""
+def shared_tokens(docs: DataFrame, prefixes: DataFrame, node: str, sets) -> tuple[DataFrame, DataFrame]:
+    """(node, more): per node, its prefix tokens that no other prefix has (df = 1), but another whole set; and the table that it reads."""
     some = prefixes.filter("df > 1").select(node).distinct()
     alone = written(prefixes.filter("df = 1").join(some, node, "left_semi").select(node, "tok"), "alone")
     held = held_elsewhere(docs, alone, sets)
-    return alone.join(held, "tok", "left_semi").groupBy(node).agg(F.count("*").alias("more"))
+    return alone.join(held, "tok", "left_semi").groupBy(node).agg(F.count("*").alias("more")), alone
 
 
 def similar(num: int, den: int):
@@ -211,6 +211,8 @@ def removed_lines(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Da
     first = Window.partitionBy("h", "g").orderBy("d", "x", "line")
     classes = lines.withColumn("r", F.row_number().over(first)).filter("r = 1").drop("r")
     classes = written(classes.sort("d", "x", "line").withColumn("id", F.monotonically_increasing_id()), "classes")
+    wide, lines = lines, written(lines.select("d", "x", "line"), "places")
+    discard(wide)
 
     enough = F.expr(f"({num} * n + {den - 1}) div {den}")
     by_tok = Window.partitionBy("tok")
@@ -218,12 +220,13 @@ def removed_lines(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Da
     prefixes = written(posts.withColumn("df", F.count("*").over(by_tok)), "prefixes")
     posts = prefixes.filter("df > 1").drop("df")
     # prefix tokens that no other line's whole set has bound what a line can share (cap); too little, and it needs no partner
-    more = shared_tokens(docs, prefixes, "id", _token_sets(n))
+    more, alone = shared_tokens(docs, prefixes, "id", _token_sets(n))
     caps = posts.groupBy("id", "n", "len").agg(F.count("*").alias("shared")).join(more, "id", "left")
     caps = caps.withColumn("cap", F.expr("n - len + shared + coalesce(more, 0)"))
     posts = posts.join(caps.filter(F.col("cap") >= enough).select("id", "cap"), "id").drop("len")
     posts = posts.withColumn("pivot", F.min("id").over(by_tok)).withColumn("last", F.max("id").over(by_tok))
     posts = written(posts.filter("pivot <> last").drop("last"), "posts")
+    discard(prefixes, alone)
 
     # round 1: each class against the pivot with which it shares most prefix tokens
     near = posts.filter("pivot < id").groupBy("id", "pivot").agg(F.count("*").alias("c"))
@@ -244,6 +247,7 @@ def removed_lines(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Da
     )
     pairs = pairs.filter(F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= F.col("need"))
     more = _verified(docs, classes, pairs.select("a", "b"), n, num, den)
+    discard(posts)
     done = links.unionAll(more).select(F.col("a").alias("id")).distinct()
 
     gone = classes.join(done, "id", "left_semi").select("d", "x", "line")
@@ -261,7 +265,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, num
     sets = docs.join(wanted, ["d", "x"]).select("text", "lines", "ids").mapInArrow(_line_sets_of(n), "id long, s binary").dropDuplicates(["id"])
     sets = written(sets, "whole")
     out = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sx")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sy")), "b")
-    return written(out.mapInArrow(similar(num, den), "a long, b long"), "links")
+    links = written(out.mapInArrow(similar(num, den), "a long, b long"), "links")
+    discard(pairs, sets)
+    return links
 
 
 def with_keys(docs: DataFrame, id_col: str, text_col: str, more: list[str]) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import words as W
 from ledgerlake.llm.line_dedup import set_hashes, shared_tokens, similar
 from ledgerlake.llm.rarity import Rarity, rarity, word_scores
-from ledgerlake.llm.tables import components, is_empty, written
+from ledgerlake.llm.tables import components, discard, is_empty, written
 
 MAX_MULTI = 4
 NO_ID = (1 << 63) - 1  # stands for a null id inside, so that it sorts last; not usable as an id
@@ -136,6 +136,8 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     classes = base.filter("n > 0").withColumn("r", F.row_number().over(first)).filter("r = 1").drop("r")
     # the ids of the classes follow the order of doc_id
     classes = written(classes.sort("d", "h").withColumn("node", F.monotonically_increasing_id()), "classes")
+    wide, base = base, written(base.select("d", "n", "h", "g"), "base")
+    discard(wide)
 
     need = F.expr(f"({num} * n + {den - 1}) div {den}")
     by_tok = Window.partitionBy("tok")
@@ -147,7 +149,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     base_len = F.col("n") - need + 1
     reads = [F.sum(F.when(F.col("pos") < F.col("p") + k, F.col("df")).otherwise(0)).alias(f"s{k}") for k in range(MAX_MULTI)]
     costs = posts.withColumn("p", base_len).groupBy("node", "n", "len").agg(F.count("*").alias("shared"), *reads)
-    more = shared_tokens(docs, prefixes, "node", _token_sets(n))
+    more, alone = shared_tokens(docs, prefixes, "node", _token_sets(n))
     costs = costs.join(more, "node", "left").withColumn("cap", F.expr("n - len + shared + coalesce(more, 0)")).filter(F.col("cap") >= need)
     options = [F.struct((F.col(f"s{k}") * (1 + VERIFY_COST / (k + 1))).alias("cost"), F.lit(k + 1).alias("l")) for k in range(MAX_MULTI)]
     options = [options[0]] + [F.when(need >= k + 1, options[k]) for k in range(1, MAX_MULTI)]
@@ -155,6 +157,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     posts = posts.drop("df").join(multi, "node").withColumn("p", base_len)
     posts = posts.withColumn("pivot", F.min("node").over(by_tok)).withColumn("last", F.max("node").over(by_tok))
     posts = written(posts.filter("pivot <> last").drop("last", "len"), "posts")
+    discard(prefixes, alone)
 
     # round 1: each document against the pivot with which it shares most tokens of its prefix
     near = posts.filter("pos < p + l - 1 and pivot <> node").groupBy("node", "pivot", "l").agg(F.count("*").alias("c")).filter("c >= l")
@@ -166,6 +169,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     member = posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_lists = member.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tok")
     member = written(member.join(open_lists, "tok").select("tok", "node", "root", "n", "pos", "p", "l", "cap"), "open")
+    discard(posts)
     x = member.select("tok", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "pos", "p", "cap")])
     y = member.select("tok", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "pos", "p", "l", "cap")])
     both = F.expr(f"({num} * (x_n + y_n) + {num + den - 1}) div {num + den}")  # the least intersection that suffices
@@ -184,6 +188,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col:
     pairs = pairs.filter("c >= y_l").filter(F.least(F.expr("x_n - x0"), F.expr("y_n - y0"), F.expr("c + x_n - x1 - 1"), F.expr("c + y_n - y1 - 1")) >= both)
     pairs = pairs.select(F.col("y_node").alias("a"), F.col("x_node").alias("b")).join(links, ["a", "b"], "left_anti")
     more = _verified(docs, classes, pairs, n, num, den)
+    discard(member)
     if not is_empty(more):
         roots = components(links.unionAll(more))
 
@@ -224,7 +229,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, num
     sets = sets.join(wanted, ["d", "h", "g"]).select("node", "s").dropDuplicates(["node"])
     sets = written(sets, "whole")
     out = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sx")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sy")), "b")
-    return written(out.mapInArrow(similar(num, den), "a long, b long"), "links")
+    links = written(out.mapInArrow(similar(num, den), "a long, b long"), "links")
+    discard(pairs, sets)
+    return links
 
 
 def op10_ngram_join(spark, sf_dir):

@@ -45,7 +45,7 @@ class RoomTree:
             i >>= 1
 
     def take(self, least: int) -> tuple[int, int] | None:
-        """Removes and returns (room, row), the oldest row of the least sufficient room; None if there is none."""
+        """Removes and returns (room, row), the newest row of the least sufficient room; None if there is none."""
         i = self.size + least
         if not self.any[i]:
             while i > 1 and not (i % 2 == 0 and self.any[i + 1]):
@@ -125,7 +125,7 @@ def _pack(length: int, kind: str, pad: int):
 
 
 def pack(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, shard_tokens: int = SHARD_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns (shard, row, n_tokens, cu_seqlens, docs, pieces, ids); shard -1 has the rows that are one full piece.
+    """Returns (shard, row, n_tokens, cu_seqlens, docs, pieces, ids); a row that is the full piece k of a text has shard -1 - k.
 
     path: ranks of byte pairs as text lines; pattern: the regular expression that splits texts into words.
     """
@@ -138,8 +138,8 @@ def pack(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, shard_t
     ids = written(rows.mapInArrow(_encode(table, length), "d long, n long, full array<binary>, rest binary"), "ids")
     ids = ids.withColumn("rid", F.monotonically_increasing_id())  # of a written table, so it stays the same
     whole = ids.select("rid", "d", F.posexplode("full").alias("piece", "ids")).select(
-        F.lit(-1).alias("shard"),
-        (F.col("rid") * F.lit(1 << 20) + F.col("piece")).alias("row"),
+        (-1 - F.col("piece")).alias("shard"),
+        F.col("rid").alias("row"),
         F.lit(length).cast("long").alias("n_tokens"),
         F.array(F.lit(0), F.lit(length)).alias("cu_seqlens"),
         F.array("d").alias("docs"),

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
+from ledgerlake.sources.lake import delete
+
+_made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -18,7 +24,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_path(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    if _made.get() is not None:
+        _made.get().append(out)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of written(). Only for tables whose last reader has written its own result: a lost executor then
+    needs none of them again."""
+    for t in tables:
+        delete(t.sparkSession, t.written_path)
+
+
+@contextmanager
+def intermediates() -> Iterator[list[DataFrame]]:
+    """The list of all tables that written() makes inside."""
+    made: list[DataFrame] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -33,7 +61,6 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     both = lambda e: e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = None
     for _ in range(max_rounds):
         # large star: neighbours above u are linked to the smallest node that u sees
         sees = both(edges)
@@ -43,11 +70,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
         small = small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).filter("a <> b").distinct()
-        edges = written(small, "links")
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("s")).first()
-        if seen == now:
+        before, edges = edges, written(small, "links")
+        # both are sets of rows: settled if they are equally large and no row is new
+        settled = before.count() == edges.count() and is_empty(edges.join(before, ["a", "b"], "left_anti"))
+        discard(before)
+        if settled:
             break
-        seen = now
     else:
         raise RuntimeError("components: the links did not settle")
     roots = edges.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
