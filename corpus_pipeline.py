@@ -1,7 +1,8 @@
 """The corpus pipeline over the table documents: quality rules, line dedup, near-duplicate join, decontamination, tokenisation.
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the same columns; the last returns
-the encoded texts. run() writes each stage's result as Parquet below spark.checkpoint.dir and reads it for the next.
+the encoded texts. run() writes each stage's result as Parquet below spark.checkpoint.dir, reads it for the next, and then deletes what the
+stage was made from.
 
 Rows are judged by their own values, so repeated rows share their fate except where they are the duplicates to remove.
 A null id is kept as null.
@@ -17,7 +18,7 @@ from ledgerlake.llm.decontaminate import leaks
 from ledgerlake.llm.line_dedup import line_dedup
 from ledgerlake.llm.ngram_join import ngram_join
 from ledgerlake.llm.quality_rules import quality_rules
-from ledgerlake.llm.tables import written
+from ledgerlake.llm.tables import discard, intermediates, written
 
 
 def _same(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -70,7 +71,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with intermediates() as made:
+            docs = written(stage(spark, docs, sf_dir), name)
+        # the stage's result is in a table: what it was made from has no reader any more
+        discard(*[t for t in made if t is not docs], *([before] if before is not None else []))
+        before = docs
     return docs
