@@ -242,6 +242,53 @@ def test_ppm_pairs_sum_to_one(spark):
         assert sum(10 ** got[context + s] for s in inner) == pytest.approx(1.0)
 
 
+def plain_ppm(texts, learn, order):
+    """log10 probability of each text under the method of `ppm`, from counts kept in dictionaries."""
+    stream = lambda t: b"\n" * (order - 1) + ppm.spelled(*low(t).encode().split(), ppm.END)
+    tries = [collections.defaultdict(collections.Counter) for _ in range(order + 1)]
+    for t in learn:
+        s = stream(t)
+        for i in range(order, len(s)):
+            for o in range(order + 1):
+                tries[o][s[i - o : i]][s[i]] += 1
+    out = []
+    for t in texts:
+        s, total = stream(t), 0.0
+        for i in range(order, len(s)):
+            gone = set()
+            for o in range(order, -1, -1):
+                kinds = {k: n for k, n in tries[o].get(s[i - o : i], {}).items() if k not in gone}
+                if s[i] in kinds:
+                    total += np.log10((kinds[s[i]] - 0.5) / sum(kinds.values()))
+                    break
+                if kinds:
+                    total += np.log10(0.5 * len(kinds) / sum(kinds.values()))
+                gone |= set(kinds)
+            else:
+                total -= np.log10(max(252 - len(gone), 1))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize(("order", "frequent"), [(6, 1 << 21), (6, 40), (2, 1 << 21)])
+def test_ppm_contexts_run_across_words(docs, rows, order, frequent):
+    got = {r["doc_id"]: r["score"] for r in ppm_scores(docs, "d % 5 <> 1", order=order, frequent=frequent).collect() if r["doc_id"] is not None}
+    texts = {i: t or "" for i, t, *_ in rows if i is not None}
+    want = plain_ppm(texts.values(), [t or "" for i, t, *_ in rows if i is None or i % 5 != 1], order)
+    for i, w in zip(texts, want, strict=True):
+        assert got[i] == pytest.approx(w), i
+
+
+def test_ppm_tells_word_order_apart(spark):
+    """The same words in the order of the training texts are likelier than in another order."""
+    r = random.Random(2)
+    vocabulary = [prose(r, 1) for _ in range(12)]
+    learn = [(5 * i, " ".join(vocabulary)) for i in range(20)]
+    docs = spark.createDataFrame([*learn, (1, " ".join(vocabulary)), (6, " ".join(vocabulary[::-1]))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in ppm_scores(docs, "d % 5 <> 1").collect()}
+    assert got[1]["base_score"] == pytest.approx(got[6]["base_score"]) and got[1]["score"] > got[6]["score"] + 1
+
+
 def test_ppm_of_empty_table(empty):
     assert ppm_scores(empty, "d % 5 <> 1").count() == 0
 
