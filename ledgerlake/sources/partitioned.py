@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.dedup import latest_by, total_order
 from ledgerlake.sources.lake import delete, exists, list_dirs
 
+SLICES = 8  # parts of a bucket that an upsert merges in tasks of their own
+
 
 class PartitionedTable:
     def __init__(self, spark: SparkSession, path: str, by: str):
@@ -42,15 +44,16 @@ class PartitionedTable:
             return None
         return self.spark.read.parquet(self.path)
 
-    def overwrite(self, rows: DataFrame, tag: str) -> None:
+    def overwrite(self, rows: DataFrame, tag: str, spread: bool = True) -> None:
         """Replace the partitions that rows has; others keep their files. rows may read this table.
 
-        REBALANCE gives each partition few files of the advisory size and splits a large one over tasks.
+        REBALANCE gives each partition few files of the advisory size and splits a large one over tasks; rows that
+        lie by partition already come with spread=False. What is staged so is put in place without another shuffle.
         """
         staged = self._staged(tag)
-        rows.hint("rebalance", self.by).write.mode("overwrite").partitionBy(self.by).parquet(staged)
+        (rows.hint("rebalance", self.by) if spread else rows).write.mode("overwrite").partitionBy(self.by).parquet(staged)
         if list_dirs(self.spark, staged):
-            self._place(self.spark.read.schema(rows.schema).parquet(staged).hint("rebalance", self.by))
+            self._place(self.spark.read.schema(rows.schema).parquet(staged))
         delete(self.spark, staged)
 
     def small_files(self, file_bytes: int = 128 << 20) -> DataFrame:
@@ -98,6 +101,7 @@ class BucketedTable(PartitionedTable):
         Bringing the same rows again changes nothing, so a replayed batch needs no record of what was done.
         """
         rows = batch.withColumn(self.by, F.pmod(F.coalesce(self._keyless(batch), F.xxhash64(*self.keys)), F.lit(self.buckets)).cast("int")).persist()
+        held = rows
         try:
             touched = [r[0] for r in rows.select(self.by).distinct().collect()]  # at most the number of buckets
             target = self.read() if touched else None
@@ -105,10 +109,14 @@ class BucketedTable(PartitionedTable):
                 rows = target.filter(F.col(self.by).isin(touched)).unionByName(rows.select(*target.columns))
             if touched:
                 rest = total_order(rows, (*self.keys, self.by))
-                merged = latest_by(rows.withColumn("_alone", self._keyless(rows)), [self.by, *self.keys, "_alone"], list(order), rest).drop("_alone")
-                self.overwrite(merged, tag)
+                rows = rows.withColumn("_alone", self._keyless(rows))
+                # one shuffle by parts of buckets serves both the newest row per key and the write by bucket
+                slices = F.pmod(F.shiftright(F.coalesce("_alone", F.xxhash64(*self.keys)), 32), F.lit(SLICES)).alias("_slice")
+                rows = rows.select("*", slices).repartition(self.by, "_slice")
+                merged = latest_by(rows, [self.by, "_slice", *self.keys, "_alone"], list(order), rest).drop("_alone", "_slice")
+                self.overwrite(merged, tag, spread=False)
         finally:
-            rows.unpersist()
+            held.unpersist()
 
     def rows(self) -> DataFrame | None:
         out = self.read()

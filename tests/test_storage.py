@@ -118,6 +118,26 @@ def test_an_upsert_leaves_other_buckets_their_files(spark, tmp):
     assert BucketedTable(spark, f"{tmp}/t", ["id"], buckets=3).buckets == 8
 
 
+def test_an_upsert_shuffles_its_rows_once(spark, tmp, monkeypatch):
+    table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=4)
+    newest = [F.col("ts").desc()]
+    table.upsert(spark.createDataFrame([(i % 50, "old", i) for i in range(100)], ROWS), newest, "a")
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    overwrite, place = BucketedTable.overwrite, BucketedTable._place
+
+    def staging(self, rows, tag, spread=True):
+        plans.append(plan(rows.hint("rebalance", self.by) if spread else rows))
+        overwrite(self, rows, tag, spread)
+
+    monkeypatch.setattr(BucketedTable, "overwrite", staging)
+    monkeypatch.setattr(BucketedTable, "_place", lambda self, rows: (plans.append(plan(rows)), place(self, rows)))
+    table.upsert(spark.createDataFrame([(i, "new", 200) for i in range(0, 60, 2)] + [(None, "x", 1)], ROWS), newest, "b")
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 0] and "REBALANCE" not in plans[0]
+    want = [(i, "new", 200) if i % 2 == 0 else (i, "old", 50 + i) for i in range(50)]
+    assert values(table) == sorted(want + [(i, "new", 200) for i in range(50, 60, 2)] + [(None, "x", 1)], key=repr)
+
+
 def test_an_upsert_reads_only_the_buckets_it_touches(spark, tmp):
     table = BucketedTable(spark, f"{tmp}/t", ["id"], buckets=8)
     table.upsert(spark.createDataFrame([(i, "old", 1) for i in range(100)], ROWS), [F.col("ts").desc()], "a")
