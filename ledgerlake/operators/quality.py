@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,14 +106,37 @@ def _tokens(df: DataFrame, own: Sequence[tuple[int, Expectation]], children: Seq
     return df.select(sent.alias("t")).select("t.*")
 
 
+HELD = 1 << 17  # tokens that a task folds at a time
+FOLDED = "check int, value string, n bigint, parent boolean"
+
+
+def _folded(batches):
+    """The tokens of a task with equal ones among HELD in a row folded: a frequent value is dealt out as few rows, and
+    what a task holds does not grow with its different values, as a partial aggregate would."""
+    held, rows = [], 0
+
+    def fold():
+        t = pa.Table.from_batches(held).group_by(["check", "value"], use_threads=False).aggregate([("n", "sum"), ("parent", "any")])
+        return t.select(["check", "value", "n_sum", "parent_any"]).rename_columns(["check", "value", "n", "parent"]).combine_chunks().to_batches()
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD:
+            yield from fold()
+            held, rows = [], 0
+    if rows:
+        yield from fold()
+
+
 RESULT = "check_name string, dataset string, column_name string, failed_rows bigint"
 
 
 def check_datasets(suite: dict[str, Sequence[Expectation]], datasets: dict[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
     """(check_name, dataset, column_name, failed_rows) for every expectation of every dataset.
 
-    Each dataset is read once and all checks share one shuffle: tokens are grouped by check and value, with partial
-    sums in each task, so a value that a third of the rows hold meets as one row per task. failed_rows: failing rows;
+    Each dataset is read once and all checks share one shuffle: tokens are grouped by check and value after each task
+    has folded them in bounded parts, so a value that a third of the rows hold meets as a row per part. failed_rows: failing rows;
     for `unique` the values that occur more than once; NULL where the dataset or its parent is absent.
     """
     checks = [(name, e) for name, es in suite.items() for e in es]
@@ -129,7 +153,8 @@ def check_datasets(suite: dict[str, Sequence[Expectation]], datasets: dict[str,
     if not parts:
         return listed.select("check_name", "dataset", "column_name", F.lit(None).cast("bigint").alias("failed_rows"))
     tokens = reduce(DataFrame.unionAll, parts)
-    values = tokens.groupBy("check", "value").agg(F.sum("n").alias("n"), F.bool_or("parent").alias("found"))
+    # dealt out first: a partial aggregate would hold a task's different values all at once
+    values = tokens.mapInArrow(_folded, FOLDED).repartition("check", "value").groupBy("check", "value").agg(F.sum("n").alias("n"), F.bool_or("parent").alias("found"))
     kind = lambda k: F.col("check").isin([i for i, (_, e) in enumerate(checks) if e.check == k] or [-1])
     failed = F.when(kind("unique"), (F.col("n") > 1).cast("bigint")).when(kind("relationships") & F.col("found"), F.lit(0)).otherwise(F.col("n"))
     found = values.groupBy("check").agg(F.sum(failed).alias("failed"))

@@ -248,3 +248,26 @@ def test_rank_of_frequent_ties_is_joined_by_broadcast(spark):
         want = df.withColumn("r", fn.over(Window.orderBy(F.col("v").desc_nulls_first())))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
         assert "_often" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tokens_of_checks_are_folded_in_bounded_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    from ledgerlake.operators import quality
+
+    monkeypatch.setattr(quality, "HELD", 1_000)
+    batch = lambda lo: pa.RecordBatch.from_pydict(
+        {"check": pa.array([0] * 500, pa.int32()), "value": ["often" if k % 2 else str(lo + k) for k in range(500)], "n": pa.array([1] * 500), "parent": [lo == 0] * 500}
+    )
+    out = list(quality._folded(batch(500 * i) for i in range(5)))
+    assert [b.num_rows for b in out] == [501, 501, 251]
+    often = [r for b in out for r in b.to_pylist() if r["value"] == "often"]
+    assert [(r["check"], r["n"], r["parent"]) for r in often] == [(0, 500, True), (0, 500, False), (0, 250, False)]
+    assert sum(r["n"] for b in out for r in b.to_pylist()) == 2_500
+
+    kids = spark.createDataFrame([(i % 7, None if i == 3 else f"v{i % 40}") for i in range(60)], "id int, v string")
+    found = quality.check_datasets({"kids": [quality.unique("v"), quality.not_null("v"), quality.relationships("id", "ups")]}, {"kids": kids, "ups": spark.range(5)})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # nothing holds the different values of a task before they are dealt out
+    assert "REPARTITION_BY_COL" in plan and "Aggregate" not in plan.split("REPARTITION_BY_COL")[1]
+    assert {(r.check_name, r.column_name): r.failed_rows for r in found.collect()} == {("unique", "v"): 19, ("not_null", "v"): 1, ("relationships", "id"): 16}
