@@ -23,6 +23,7 @@ from ledgerlake.llm.tables import written
 ORDER = 5
 FREQUENT = 1 << 20
 HELD = 1 << 19  # different 5-grams that a task holds before it sends them on
+BLOCK = 1 << 18  # bytes of text at a time: the arrays of a block take over a hundred times its bytes
 MICRO = 1_000_000  # log10 probabilities are summed as whole millionths, so that no order of rows changes a sum
 _CHAR = (1 << 21) - 1
 _BEFORE = 10  # what stands before a text: a line end
@@ -68,9 +69,15 @@ def half(block: W.Block) -> np.ndarray:
 
 def _folded(parts):
     """The arrays (hash, lang, hi, lo, n0, n1) with one row for each hash."""
-    h, lang, hi, lo, n0, n1 = (np.concatenate(x) for x in zip(*parts, strict=True))
-    kinds, at, back = np.unique(h, return_index=True, return_inverse=True)
-    return kinds, lang[at], hi[at], lo[at], *(np.bincount(back, n, len(kinds)).astype(np.int64) for n in (n0, n1))
+    parts = list(zip(*parts, strict=True))
+    h = np.concatenate(parts[0])
+    o = np.argsort(h)
+    h = h[o]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    at = o[first]
+    # one column after the other, so that only one is there twice
+    out = [h[first], *(np.concatenate(x)[at] for x in parts[1:4])]
+    return *out, *(np.add.reduceat(np.concatenate(x)[o], first) if len(h) else np.concatenate(x) for x in parts[4:])
 
 
 def _count(batches):
@@ -78,7 +85,7 @@ def _count(batches):
     held, size = [], 0
     for batch in batches:
         lang = batch.column(1).to_numpy()
-        for block in W.blocks(batch.column(0)):
+        for block in W.blocks(batch.column(0), BLOCK):
             c, offsets = characters(block)
             hi, lo = grams(c, offsets)
             row = np.repeat(np.arange(block.rows), np.diff(offsets))

@@ -100,7 +100,7 @@ def quality_rules(
         keys = char_model.row_keys()
         for batch in batches:
             lang = batch.column(1).to_numpy()
-            for block in W.blocks(batch.column(0)):
+            for block in W.blocks(batch.column(0), char_model.BLOCK):
                 next(keys)
                 numbers = keys.send(block.rows)
                 size, lp, rare, side = char_model.score_block(table.value, block, lang[block.first : block.first + block.rows])

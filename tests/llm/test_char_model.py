@@ -123,3 +123,19 @@ def test_spoiled_texts_are_rejected_and_clean_ones_stay(spark):
     assert kept[0] > 0.95
     assert kept[1] == 0 and kept[2] == 0
     assert kept[3] < 0.5
+
+
+def test_counting_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(97, 123, 20_000))) for _ in range(250)]  # 5 MB, hardly a 5-gram twice
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1] * len(texts))], ["text", "l"])
+    tracemalloc.start()
+    try:
+        n = sum(out.num_rows for out in char_model._count([batch]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 3_000_000
+    assert most < 200e6, most
