@@ -36,7 +36,8 @@ SYMBOLS = 256 - 6 + 2  # bytes of words, the closing space and the end
 HEAD = 1 << 16
 FREQUENT = 1 << 21  # pairs that go to every task: 32 MB
 HELD = 200_000
-HELD_PAIRS = 1 << 21  # different pairs that a task holds before it sends them on: 32 MB
+HELD_PAIRS = 1 << 21  # pairs that a task holds before it sends on the rare ones among them: 48 MB
+STAY = 3 / 8  # the share of these that may stay in the task, the most frequent ones: they would be sent again and again
 END = b"\n"
 
 
@@ -46,6 +47,13 @@ def _emit(counts: dict, names: list[str]):
     return pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), *[pa.array(v[:, i]) for i in range(v.shape[1])]], names)
 
 
+def _rare(counts: np.ndarray, stay: int) -> np.ndarray:
+    """Which entries a task sends on so that at most `stay` of them, the most frequent ones, remain."""
+    if len(counts) <= stay:
+        return np.zeros(len(counts), bool)
+    return counts <= np.partition(counts, len(counts) - stay - 1)[len(counts) - stay - 1]
+
+
 def _count_words(batches):
     """(word, training count) of this task's texts, in parts of bounded size; words of other rows come with 0."""
     held: dict[bytes, int] = {}
@@ -124,8 +132,10 @@ def _count_pairs(order: int):
                     held = [_folded(*map(np.concatenate, zip(*held, strict=True)))]
                     size = len(held[0][0])
                     if size > HELD_PAIRS // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names)
-                        held, size = [], 0
+                        rare = _rare(held[0][2], int(HELD_PAIRS * STAY))
+                        yield pa.RecordBatch.from_arrays([pa.array(x[rare]) for x in held[0]], names)
+                        held = [tuple(x[~rare] for x in held[0])]
+                        size = len(held[0][0])
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in _folded(*map(np.concatenate, zip(*held, strict=True)))], names)
 

@@ -242,6 +242,25 @@ def test_ppm_pairs_sum_to_one(spark):
         assert sum(10 ** got[context + s] for s in inner) == pytest.approx(1.0)
 
 
+def test_ppm_frequent_pairs_stay_in_the_task(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(["again and again", *("".join(rng.choices("abcdefgh", k=5)) for _ in range(60))]) for _ in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 2]), pa.array([k % 3 > 0, True])], ["text", "train"]) for k in range(0, 60, 2)]
+    total, sent = [collections.Counter(), collections.Counter()], []
+    for held in (1 << 21, 4_000):  # in one part, and in several
+        monkeypatch.setattr(ppm, "HELD_PAIRS", held)
+        sent.append(collections.Counter())
+        for out in ppm._count_pairs(6)(batches):
+            k, n, m = (c.to_pylist() for c in out.columns)
+            sent[-1].update(k)
+            for key, x, y in zip(k, n, m, strict=True):
+                total[0 if held == 1 << 21 else 1][key] += x + (y << 32)
+    assert total[0] == total[1]
+    often = [k for k, _ in sorted(total[0].items(), key=lambda x: -(x[1] >> 32))[:10]]
+    assert max(sent[1].values()) > 1  # rare ones went in several parts
+    assert all(sent[1][k] == 1 for k in often)
+
+
 def plain_ppm(texts, learn, order):
     """log10 probability of each text under the method of `ppm`, from counts kept in dictionaries."""
     stream = lambda t: b"\n" * (order - 1) + ppm.spelled(*low(t).encode().split(), ppm.END)
