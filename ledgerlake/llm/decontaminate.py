@@ -40,6 +40,8 @@ LCS_WITH_ANSWER = 0.55
 ANSWER = 0.75
 ITEMS_AT_ONCE = 2_000
 WORDS_AT_ONCE = 200_000
+PAIRS_AT_ONCE = 1 << 22
+SPAN_WORDS = 1 << 18
 FOUND = "d long, i long, cosine double, lcs double, answer double, start long"
 
 
@@ -64,19 +66,29 @@ def passage_features(block: W.Block):
     yield counted_rows(begin, h % np.uint64(TERMS), int(begin[-1]) + 1 if len(begin) else 0)
 
 
-def lcs(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, by bit rows."""
+def places(a: list[int]) -> dict[int, int]:
+    """For each word of a: the bits of its places."""
     at: dict[int, int] = {}
     for k, x in enumerate(a):
         at[x] = at.get(x, 0) | 1 << k
-    full = (1 << len(a)) - 1
+    return at
+
+
+def lcs_at(at: dict[int, int], n: int, b: list[int]) -> int:
+    """Length of the longest common subsequence of b and n words, given by their places; by bit rows."""
+    full = (1 << n) - 1
     v = full
     for x in b:
         m = at.get(x)
         if m:
             u = v & m
             v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+    return n - v.bit_count()
+
+
+def lcs(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence."""
+    return lcs_at(places(a), len(a), b)
 
 
 class Items:
@@ -103,11 +115,85 @@ class Items:
         self.vectors = np.concatenate(vectors) if vectors else np.zeros((0, RANK), np.float32)
         self.item, self.place = np.array(item, np.int64), np.array(place, np.int64)
         self.vocabulary = W.distinct(np.array([x for ws in self.words for x in ws], np.uint64))
+        self.marked = np.zeros(1 << 20, bool)
+        self.marked[(self.vocabulary & np.uint64(len(self.marked) - 1)).view(np.int64)] = True
         # one row for each word of the benchmark, and a last one for all other words: which items have it
         self.has = np.zeros((len(self.vocabulary) + 1, len(self.ids)), np.uint8)
         for k, ws in enumerate(self.words):
             self.has[np.searchsorted(self.vocabulary, np.array(ws, np.uint64)), k] = 1
         self.first = np.searchsorted(self.item, np.arange(len(self.ids) + 1))
+        self.lengths = np.array([len(ws) for ws in self.words], np.int64)
+        number = lambda ws: np.searchsorted(self.vocabulary, np.array(ws, np.uint64)).tolist()
+        self.words_at = [places(number(ws)) for ws in self.words]
+        self.answers_at = [places(number(ws)) for ws in self.answers]
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """The words' numbers; len(vocabulary) for words that no item has, most of which a bit table tells."""
+        out = np.full(len(h), len(self.vocabulary))
+        maybe = np.flatnonzero(self.marked[(h & np.uint64(len(self.marked) - 1)).view(np.int64)])
+        at = np.minimum(np.searchsorted(self.vocabulary, h[maybe]), len(self.vocabulary) - 1)
+        known = self.vocabulary[at] == h[maybe]
+        out[maybe[known]] = at[known]
+        return out
+
+    def nearest(self, v: np.ndarray, of: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each pair (vector v[of], item): the largest cosine with a window of the item, and the first such window."""
+        cosine, at = np.empty(len(of), np.float32), np.empty(len(of), np.int64)
+        o = np.argsort(item, kind="stable")
+        cuts = np.flatnonzero(np.diff(item[o], prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            mine = o[a:b]
+            i = item[mine[0]]
+            own = v[of[mine]] @ self.vectors[self.first[i] : self.first[i + 1]].T
+            at[mine] = p = own.argmax(1)
+            cosine[mine] = own[np.arange(b - a), p]
+        return cosine, at
+
+    def most_shared(self, index: np.ndarray, lo: np.ndarray, hi: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """For each span index[lo:hi] of word numbers (not empty): how many of its words the item has, no less than their LCS."""
+        out = np.empty(len(lo), np.int64)
+        step = max(1, SPAN_WORDS // int((hi - lo).max(initial=1)))
+        for k in range(0, len(lo), step):
+            a, i = lo[k : k + step], item[k : k + step]
+            size = hi[k : k + step] - a
+            begin = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) + np.repeat(a - begin, size)
+            out[k : k + step] = np.add.reduceat(self.has[index[place], np.repeat(i, size)], begin, dtype=np.int64)
+        return out
+
+
+def _checked(items: Items, index, first, row, b, i, cosine, p) -> list[tuple]:
+    """(row, item, cosine, lcs, answer, start) of the row's and item's best spot that is a leak.
+
+    A spot is a window's first word b, an item, and the place p of the item's window it is near. Of the spots around
+    the same words the nearest counts (to 5 digits, beyond which cosines of equal words differ by rounding). Spots that share too few words for any leak are left out before the LCS.
+    """
+    r, n = row[b], items.lengths[i]
+    o = np.lexsort((-p, -b, -cosine.round(5), i, r))
+    b, i, cosine, p, r, n = b[o], i[o], cosine[o], p[o], r[o], n[o]
+    lo = np.maximum(first[r], b - p - n // 4 - 2)
+    hi = np.minimum(first[r + 1], b - p + n + n // 4 + 2)
+    near = lo // (n // 4 + 2)
+    o = np.lexsort((np.arange(len(r)), near, i, r))
+    new = np.ones(len(o), bool)
+    new[1:] = (np.diff(r[o]) != 0) | (np.diff(i[o]) != 0) | (np.diff(near[o]) != 0)
+    keep = np.sort(o[new])
+    keep = keep[items.most_shared(index, lo[keep], hi[keep], i[keep]) / n[keep] >= min(LCS, LCS_WITH_ANSWER)]
+    best: dict[tuple[int, int], tuple] = {}
+    for k in keep:
+        key = int(r[k]), int(i[k])
+        if key in best and best[key][1] == 1:
+            continue
+        part = index[lo[k] : hi[k]]
+        part = part[items.has[part, i[k]] > 0].tolist()
+        share = lcs_at(items.words_at[key[1]], int(n[k]), part) / int(n[k])
+        if share < min(LCS, LCS_WITH_ANSWER) or (key in best and share <= best[key][1]):
+            continue
+        answer = len(items.answers[key[1]])
+        got = lcs_at(items.answers_at[key[1]], answer, part) / answer
+        if share >= LCS or (share >= LCS_WITH_ANSWER and got >= ANSWER):
+            best[key] = (float(cosine[k]), share, got, int(lo[k] - first[r[k]]))
+    return [(x, items.ids[y], *found) for (x, y), found in best.items()]
 
 
 def _search(table):
@@ -118,9 +204,8 @@ def _search(table):
                 h, first = _hashes(block)
                 if not len(h) or not len(items.vectors):
                     continue
-                at = np.minimum(np.searchsorted(items.vocabulary, h), len(items.vocabulary) - 1)
-                known = items.vocabulary[at] == h
-                index = np.where(known, at, len(items.vocabulary))
+                index = items.numbers(h)
+                known = index < len(items.vocabulary)
                 row = W.row_of(first)
                 end = first[1:][row]
                 place = np.arange(len(h)) - first[row]
@@ -130,48 +215,29 @@ def _search(table):
                 least = np.maximum(1, SHARED * (stop - begin) // WINDOW)
                 enough = have[stop] - have[begin] >= least
                 begin, stop, least = begin[enough], stop[enough], least[enough]
-                found: dict[tuple[int, int], list] = {}
                 term = (h % np.uint64(TERMS)).astype(np.int64)
-                for lo in range(0, len(begin), 2048):
-                    b, s, m = begin[lo : lo + 2048], stop[lo : lo + 2048], least[lo : lo + 2048]
-                    shared = np.zeros((len(b), len(items.ids)), np.uint8)
-                    for k in range(WINDOW):
-                        inside = b + k < s
-                        shared[inside] += items.has[index[b[inside] + k]]
+                at_once = max(2048, PAIRS_AT_ONCE // len(items.ids))
+                spots = []
+                for lo in range(0, len(begin), at_once):
+                    b, s, m = begin[lo : lo + at_once], stop[lo : lo + at_once], least[lo : lo + at_once]
+                    take = b[:, None] + np.arange(WINDOW)
+                    inside = take < s[:, None]
+                    take = np.minimum(take, len(h) - 1)
+                    word = np.where(inside, index[take], len(items.vocabulary))
+                    shared = items.has[word[:, 0]]
+                    for k in range(1, WINDOW):
+                        shared += items.has[word[:, k]]
                     x, y = np.nonzero(shared >= m[:, None])
                     if not len(x):
                         continue
                     used, of = np.unique(x, return_inverse=True)
-                    take = np.minimum(b[used][:, None] + np.arange(WINDOW), len(h) - 1)
-                    inside = (np.arange(WINDOW) < (s - b)[used][:, None]).astype(np.float32)
-                    v = unit(np.einsum("bwk,bw->bk", space.vectors[term[take]], inside))
-                    for k, i in zip(of, y, strict=True):
-                        own = items.vectors[items.first[i] : items.first[i + 1]] @ v[k]
-                        p = int(own.argmax())
-                        if own[p] >= COSINE:
-                            found.setdefault((int(row[b[used[k]]]), int(i)), []).append((float(own[p]), int(b[used[k]]), p))
+                    v = unit(np.einsum("bwk,bw->bk", space.vectors[term[take[used]]], inside[used].astype(np.float32)))
+                    c, p = items.nearest(v, of, y)
+                    near = c >= COSINE
+                    spots.append((b[x[near]], y[near], c[near], p[near]))
                 out = []
-                for (r, i), spots in found.items():
-                    best = None
-                    words, answer = items.words[i], items.answers[i]
-                    tried = set()
-                    for c, b, p in sorted(spots, reverse=True):
-                        n = len(words)
-                        lo = max(int(first[r]), b - p - n // 4 - 2)
-                        near = lo // (n // 4 + 2)
-                        if near in tried:
-                            continue
-                        tried.add(near)
-                        hi = min(int(first[r + 1]), b - p + n + n // 4 + 2)
-                        part = h[lo:hi].tolist()
-                        share = lcs(words, part) / n
-                        got = lcs(answer, part) / len(answer)
-                        if (share >= LCS or (share >= LCS_WITH_ANSWER and got >= ANSWER)) and (best is None or share > best[1]):
-                            best = (c, share, got, lo - int(first[r]))
-                            if share == 1:
-                                break
-                    if best:
-                        out.append((r, items.ids[i], *best))
+                if spots:
+                    out = _checked(items, index, first, row, *map(np.concatenate, zip(*spots, strict=True)))
                 if out:
                     r, i, c, s, a, w = zip(*out, strict=True)
                     ids = batch.column(0).slice(block.first, block.rows).take(pa.array(r))

@@ -2,7 +2,8 @@
 
 Terms are hashed into a fixed number of columns, so every table here has a bound that does not depend on the corpus: document
 frequencies are TERMS numbers, the sketch is TERMS x (rank + extra). Tasks add up their own share; Spark adds the
-shares; the driver only factors the small sums (a QR of the sketch and an eigendecomposition of rank x rank).
+shares; the driver only factors the small sums (a QR of the sketch and an eigendecomposition of rank x rank). The texts
+are read once: their terms and weights are written to a table, one row each, which the passes read.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
+from ledgerlake.llm.tables import discard, written
 
 TERMS = 1 << 15
 CHUNK = 1 << 10
+ROWS = 1 << 12
 EXTRA = 8
 
 # (rows in the block, row of each entry, term, weight); entries sorted by row, terms distinct within a row
@@ -50,11 +53,13 @@ def counted_rows(row: np.ndarray, term: np.ndarray, rows: int) -> Sparse:
 
 def sums_by_row(m: Sparse, table: np.ndarray) -> np.ndarray:
     rows, row, term, weight = m
-    out = np.zeros((rows, table.shape[1]), np.float32)
-    if len(row):
-        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        out[row[first]] = np.add.reduceat(table[term] * weight[:, None], first, axis=0)
-    return out
+    return np.ascontiguousarray(_sums(row, rows, table, term, weight).T.astype(np.float32))
+
+
+def _sums(key: np.ndarray, keys: int, table: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Per column of table and key: the sum of table[at] * weight. Column by column, so that each stays in the cache."""
+    columns = np.ascontiguousarray(table.T)
+    return np.stack([np.bincount(key, c[at] * weight, minlength=keys) for c in columns])
 
 
 def _normal(m: Sparse, idf: np.ndarray) -> Sparse:
@@ -64,23 +69,52 @@ def _normal(m: Sparse, idf: np.ndarray) -> Sparse:
     return rows, row, term, (w / np.maximum(norm[row], 1e-12)).astype(np.float32)
 
 
+def _packed(m: Sparse) -> pa.RecordBatch:
+    """The rows, each with its terms (16 bits each) and weights as bytes."""
+    rows, row, term, weight = m
+    first = np.searchsorted(row, np.arange(rows + 1))
+    data = [(2, term.astype("<u2")), (4, weight.astype("<f4"))]
+    columns = [pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((first * k).astype(np.int32)), pa.py_buffer(x)]) for k, x in data]
+    return pa.RecordBatch.from_arrays(columns, ["t", "w"])
+
+
+def _unpacked(batches) -> Iterator[Sparse]:
+    """The rows of _packed(), a bounded number at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            part = batch.slice(k, ROWS)
+            sizes, out = None, []
+            for col, kind in zip(part.columns, ("<u2", "<f4"), strict=True):
+                _, off, data = col.buffers()
+                off = np.frombuffer(off, np.int32)[col.offset : col.offset + len(col) + 1]
+                item = np.dtype(kind).itemsize
+                out.append(np.frombuffer(data, np.uint8)[off[0] : off[-1]].view(kind) if off[-1] > off[0] else np.zeros(0, kind))
+                sizes = np.diff(off) // item
+            yield len(part), np.repeat(np.arange(len(part)), sizes), out[0].astype(np.int64), out[1]
+
+
 def latent_space(texts: DataFrame, features: Callable[[W.Block], Iterator[Sparse]], rank: int) -> Space:
     """Randomised SVD over the rows that `features` makes of the first column of texts. One power step."""
     spark = texts.sparkSession
     wide = rank + EXTRA
 
-    def frequencies(batches):
-        total, rows = np.zeros(TERMS + 1, np.int64), 0
+    def packed(batches):
         for batch in batches:
             for block in W.blocks(batch.column(0)):
                 for m in features(block):
-                    total[:TERMS] += np.bincount(m[2], minlength=TERMS)
-                    rows += m[0]
-        total[TERMS] = rows
+                    yield _packed(m)
+
+    kept = written(texts.mapInArrow(packed, "t binary, w binary"), "terms")
+
+    def frequencies(batches):
+        total = np.zeros(TERMS + 1, np.int64)
+        for rows, _, term, _ in _unpacked(batches):
+            total[:TERMS] += np.bincount(term, minlength=TERMS)
+            total[TERMS] += rows
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["k", "n"])
 
-    got = texts.mapInArrow(frequencies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    got = kept.mapInArrow(frequencies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(TERMS + 1)
     df[got["k"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
     idf = np.log((1 + df[TERMS]) / (1 + df[:TERMS])).astype(np.float32) + np.float32(0.1)
@@ -89,19 +123,12 @@ def latent_space(texts: DataFrame, features: Callable[[W.Block], Iterator[Sparse
     def sketch(table):
         def run(batches):
             idf, omega = table.value
-            z = np.zeros((TERMS, wide), np.float64)
-            for batch in batches:
-                for block in W.blocks(batch.column(0)):
-                    for m in features(block):
-                        m = _normal(m, idf)
-                        _, row, term, weight = m
-                        if not len(row):
-                            continue
-                        y = sums_by_row(m, omega)
-                        o = np.argsort(term, kind="stable")
-                        t = term[o]
-                        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-                        z[t[first]] += np.add.reduceat(y[row[o]] * weight[o][:, None], first, axis=0)
+            z = np.zeros((wide, TERMS), np.float64)
+            for m in _unpacked(batches):
+                m = _normal(m, idf)
+                _, row, term, weight = m
+                z += _sums(term, TERMS, sums_by_row(m, omega), row, weight)
+            z = np.ascontiguousarray(z.T)
             for k in range(0, TERMS, CHUNK):
                 yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK], pa.int32()), pa.array([z[k : k + CHUNK].astype("<f4").tobytes()])], ["k", "z"])
 
@@ -116,25 +143,24 @@ def latent_space(texts: DataFrame, features: Callable[[W.Block], Iterator[Sparse
         for k, a in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([a.astype("<f4").tobytes()])], ["k", "z"])
 
-    table = spark.sparkContext.broadcast((idf, omega))
-    parts = texts.mapInArrow(sketch(table), "k int, z binary").repartition(TERMS // CHUNK, "k").mapInArrow(added, "k int, z binary").collect()
+    table = spark.sparkContext.broadcast((idf, np.asfortranarray(omega)))
+    parts = kept.mapInArrow(sketch(table), "k int, z binary").repartition(TERMS // CHUNK, "k").mapInArrow(added, "k int, z binary").collect()
     z = np.zeros((TERMS, wide), np.float64)
     for r in parts:
         z[r["k"] * CHUNK : (r["k"] + 1) * CHUNK] = np.frombuffer(r["z"], "<f4").reshape(CHUNK, wide)
     q = np.linalg.qr(z)[0].astype(np.float32)
-    table = spark.sparkContext.broadcast((idf, q))
+    table = spark.sparkContext.broadcast((idf, np.asfortranarray(q)))
 
     def gram(batches):
         idf, q = table.value
         g = np.zeros((wide, wide))
-        for batch in batches:
-            for block in W.blocks(batch.column(0)):
-                for m in features(block):
-                    y = sums_by_row(_normal(m, idf), q).astype(np.float64)
-                    g += y.T @ y
+        for m in _unpacked(batches):
+            y = sums_by_row(_normal(m, idf), q).astype(np.float64)
+            g += y.T @ y
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(wide * wide)), pa.array(g.ravel())], ["k", "v"])
 
-    got = texts.mapInArrow(gram, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas()
+    got = kept.mapInArrow(gram, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas()
+    discard(kept)
     g = np.zeros(wide * wide)
     g[got["k"].to_numpy(np.int64)] = got["v"].to_numpy(np.float64)
     g = g.reshape(wide, wide)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlake.llm import bpe_automaton, chat_format, packing, page_text, ppm
+from ledgerlake.llm import bpe_automaton, chat_format, decontaminate, latent, packing, page_text, ppm
 from ledgerlake.llm import words as W
 from ledgerlake.llm.decontaminate import lcs, leaks
 from ledgerlake.llm.line_dedup import line_dedup
@@ -353,6 +353,43 @@ def test_lcs():
         assert lcs(a, b) == t[-1][-1]
 
 
+def test_lcs_only_where_enough_words_are_shared(monkeypatch):
+    """A window of an item's words in a text that has none of its others is near, but can't be a leak: no LCS is worked out."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    items = [[word() for _ in range(40)] for _ in range(30)]
+    vectors = np.random.Generator(np.random.PCG64(1)).standard_normal((latent.TERMS, decontaminate.RANK)).astype(np.float32)
+    table = type("Table", (), {"value": None})
+    space = latent.Space(np.ones(latent.TERMS, np.float32), vectors)
+    table.value = space, decontaminate.Items(space, list(range(30)), [" ".join(x) for x in items])
+    around = lambda n: [word() for _ in range(n)]
+    near = [(k, " ".join(around(8) + x[8:20] + around(60))) for k, x in enumerate(items)]
+    whole = [(100 + k, " ".join(around(8) + x + around(20))) for k, x in enumerate(items)]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in near + whole]), pa.array([t for _, t in near + whole])], ["d", "text"])
+    calls = []
+    real = decontaminate.lcs_at
+    monkeypatch.setattr(decontaminate, "lcs_at", lambda *a: calls.append(1) or real(*a))
+    got = pa.Table.from_batches(decontaminate._search(table)([batch])).to_pylist()
+    assert {(x["d"], x["i"], x["lcs"], x["answer"]) for x in got} == {(100 + k, k, 1.0, 1.0) for k in range(30)} and len(got) == 30
+    assert len(calls) == 2 * 30  # a whole item's words and its answer's
+
+
+def test_latent_rows_are_packed_and_summed():
+    r = np.random.Generator(np.random.PCG64(3))
+    row = np.sort(r.integers(0, 9000, 20_000))
+    row = row[row % 5 != 0]  # some rows have no terms
+    m = latent.counted_rows(row, r.integers(0, latent.TERMS, len(row)), 9001)
+    parts = list(latent._unpacked([latent._packed(m), latent._packed((2, *[x[:0] for x in m[1:]]))]))
+    assert sum(p[0] for p in parts) == 9003 and max(p[0] for p in parts) <= latent.ROWS
+    first = np.cumsum([0] + [p[0] for p in parts])
+    assert np.array_equal(np.concatenate([p[1] + f for p, f in zip(parts, first[:-1], strict=True)]), m[1])
+    assert all(np.array_equal(np.concatenate([p[k] for p in parts]), m[k]) for k in (2, 3))
+    table = r.standard_normal((latent.TERMS, 3)).astype(np.float32)
+    want = np.zeros((9001, 3))
+    np.add.at(want, m[1], table[m[2]] * m[3][:, None])
+    assert np.allclose(latent.sums_by_row(m, table), want, atol=1e-4)
+
+
 def test_chat_round_trip():
     r = random.Random(8)
     parts = ["\\", "<", "[", "/s", ">", "INST", "]", " ", "\n", "a", "[/INST]", "</s>", "[ROLE", " [/ROLE]\n", "#"]
