@@ -13,17 +13,25 @@ from pyspark.sql import functions as F
 from ledgerlake.session import scratch_path
 from ledgerlake.sources.lake import delete
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once as Parquet below spark.checkpoint.dir and read back.
 
-    This cuts the lineage (a lost executor costs no recomputation) and lets later readers prune columns.
+    This cuts the lineage (a lost executor costs no recomputation) and lets later readers prune columns. The shuffle
+    files behind the write have no further reader, so they go with its end, not when the driver next collects garbage.
     """
     spark = df.sparkSession
     path = f"{scratch_path(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
     if _made.get() is not None:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import pathlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import bpe_automaton, chat_format, decontaminate, latent, packing, page_text, ppm
 from ledgerlake.llm import words as W
@@ -20,7 +23,7 @@ from ledgerlake.llm.neighbour_quality import neighbour_quality
 from ledgerlake.llm.ngram_join import ngram_join
 from ledgerlake.llm.ppm import ppm_scores
 from ledgerlake.llm.quality_rules import quality_rules
-from ledgerlake.llm.tables import components, intermediates
+from ledgerlake.llm.tables import CLEAN_UP, components, intermediates, written
 
 DOCS = "doc_id long, text string, lang string, n long, tok string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -342,6 +345,23 @@ def test_leaks_finds_copies_and_paraphrases_only(spark, empty):
     assert leaks(spark.createDataFrame(rows[:3], DOCS), bench.limit(0)).count() == 0
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """The blocks of a shuffle go with the write that it was for; the session's own setting stays as it was."""
+    dirs = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {str(f) for d in dirs for f in pathlib.Path(d).rglob("shuffle_*")}
+
+    before = spark.conf.get(CLEAN_UP, None)
+    old = files()
+    out = written(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "t")
+    for _ in range(100):  # the executors delete them on their own time
+        if files() - old:
+            time.sleep(0.1)
+    assert not files() - old and sorted(out.collect()) == [(k, 100) for k in range(10)]
+    assert spark.conf.get(CLEAN_UP, None) == before
+
+
 def test_lcs():
     r = random.Random(7)
     for _ in range(200):
