@@ -266,7 +266,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col("text").cast("string").alias("text"))
-    space = latent_space(rows.select("text").unionAll(items.select("text")), passage_features, RANK)
+    space = latent_space(rows.select("text").unionAll(items.select("text")), passage_features, RANK, kept=True)
     out = None
     for ids, texts in _item_blocks(items):
         table = sc.broadcast((space, Items(space, ids, texts)))

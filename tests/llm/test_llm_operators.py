@@ -408,6 +408,7 @@ def test_latent_rows_are_packed_and_summed():
     want = np.zeros((9001, 3))
     np.add.at(want, m[1], table[m[2]] * m[3][:, None])
     assert np.allclose(latent.sums_by_row(m, table), want, atol=1e-4)
+    assert np.allclose(latent._sums(m[1], m[0], table, m[2], m[3]), want, atol=1e-4)
 
 
 def test_chat_round_trip():
