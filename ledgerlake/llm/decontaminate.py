@@ -40,7 +40,7 @@ LCS_WITH_ANSWER = 0.55
 ANSWER = 0.75
 ITEMS_AT_ONCE = 2_000
 WORDS_AT_ONCE = 200_000
-PAIRS_AT_ONCE = 1 << 22
+PAIRS_AT_ONCE = 1 << 20
 SPAN_WORDS = 1 << 18
 FOUND = "d long, i long, cosine double, lcs double, answer double, start long"
 
