@@ -21,10 +21,11 @@ An empty table gives an empty table. Only the id and text columns are read, so f
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
@@ -56,22 +57,23 @@ def _rare(counts: np.ndarray, stay: int) -> np.ndarray:
 
 def _count_words(batches):
     """(word, training count) of this task's texts, in parts of bounded size; words of other rows come with 0."""
-    held: dict[bytes, int] = {}
+    held, other = Counter(), set()
     for batch in batches:
         train = batch.column(1).to_pylist()
         for block in W.blocks(batch.column(0)):
             low = W.lower_ascii(block.data).tobytes()
             for i in range(block.rows):
-                step = 1 if train[block.first + i] else 0
-                for w in low[block.offsets[i] : block.offsets[i + 1]].split():
-                    held[w] = held.get(w, 0) + step
-                if step:
-                    held[END] = held.get(END, 0) + 1
-                if len(held) > HELD:
-                    yield _emit(held, ["word", "c"])
-                    held = {}
-    if held:
-        yield _emit(held, ["word", "c"])
+                words = low[block.offsets[i] : block.offsets[i + 1]].split()
+                if train[block.first + i]:
+                    held.update(words)
+                    held[END] += 1
+                else:
+                    other.update(words)
+                if len(held) + len(other) > HELD:
+                    yield _emit(dict.fromkeys(other, 0) | held, ["word", "c"])
+                    held, other = Counter(), set()
+    if held or other:
+        yield _emit(dict.fromkeys(other, 0) | held, ["word", "c"])
 
 
 def spelled(*words: bytes) -> bytes:
@@ -225,41 +227,52 @@ def _score_texts(table, unit: float, order: int):
     return run
 
 
+def packed(pair: str) -> Column:
+    """A pair of at most 7 bytes as an integer: its bytes, and a 1 in front of them that keeps its length."""
+    return F.expr(f"coalesce(cast(conv(hex({pair}), 16, 10) AS long), 0L) | shiftleft(1L, cast(8 * length({pair}) AS int))")
+
+
 def pair_scores(pairs: DataFrame, order: int) -> DataFrame:
-    """(pair, lp, further columns of pairs): log10 probability of every pair's symbol after its context, backing off by escapes with exclusion."""
-    more = [c for c in pairs.columns if c not in ("pair", "n")]
-    ctx = F.expr("substring(pair, 1, length(pair) - 1)")
-    suffix = lambda o, c="pair": F.expr(f"CASE WHEN length({c}) > {o + 1} THEN substring({c}, length({c}) - {o}, {o + 1}) ELSE {c} END")
-    tries = {order: pairs.filter("n > 0").select("pair", "n")}
+    """(pair, lp, further columns of pairs): log10 probability of every pair's symbol after its context; pairs are binary."""
+    scores = key_scores(pairs.withColumn("key", packed("pair")), order)
+    return scores.select("pair", "lp", *[c for c in pairs.columns if c not in ("pair", "n")])
+
+
+def key_scores(pairs: DataFrame, order: int) -> DataFrame:
+    """(key, lp, further columns of pairs): log10 probability of every packed pair's symbol after its context, backing off by escapes with exclusion."""
+    more = [c for c in pairs.columns if c not in ("key", "n")]
+    ctx = F.expr("shiftright(key, 8)")
+    suffix = lambda o, c="key": F.expr(f"CASE WHEN {c} >= {1 << (8 * o + 16)}L THEN {c} & {(1 << (8 * o + 8)) - 1}L | {1 << (8 * o + 8)}L ELSE {c} END") if o < ORDER else F.col(c)
+    tries = {order: pairs.filter("n > 0").select("key", "n")}
     for o in range(order - 1, -1, -1):
-        tries[o] = written(tries[o + 1].groupBy(suffix(o).alias("pair")).agg(F.sum("n").alias("n")), f"trie{o}")
+        tries[o] = written(tries[o + 1].groupBy(suffix(o).alias("key")).agg(F.sum("n").alias("n")), f"trie{o}")
     nodes = {o: t.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("total"), F.count("*").alias("own_kinds")) for o, t in tries.items()}
-    seen = pairs.filter("n > 0").withColumn("ctx", ctx).join(nodes[order], "ctx").select("pair", F.log10((F.col("n") - 0.5) / F.col("total")).alias("lp"), *more)
+    seen = pairs.filter("n > 0").withColumn("ctx", ctx).join(nodes[order], "ctx").select("key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("lp"), *more)
 
     # pairs without a training count: from the longest context down; lp gathers the escapes, `kinds` and `excluded` say
     # how many kinds and counts of the next shorter context are excluded
-    todo = pairs.filter("n = 0").select("pair", *more, F.lit(0.0).alias("lp"), F.lit(0).cast("long").alias("kinds"))
-    todo = todo.withColumn("at", F.col("pair"))
+    todo = pairs.filter("n = 0").select("key", *more, F.lit(0.0).alias("lp"), F.lit(0).cast("long").alias("kinds"))
+    todo = todo.withColumn("at", F.col("key"))
     out = [seen]
     excluded = None
     for o in range(order, -1, -1):
-        todo = todo.withColumn("at", suffix(o, "at")).withColumn("ctx", F.expr("substring(at, 1, length(at) - 1)"))
+        todo = todo.withColumn("at", suffix(o, "at")).withColumn("ctx", F.expr("shiftright(at, 8)"))
         if excluded is None:
             todo = todo.withColumn("gone", F.lit(0).cast("long"))
         else:
             todo = todo.join(excluded, "long_ctx", "left").withColumn("gone", F.coalesce("gone", F.lit(0).cast("long")))
-        todo = todo.join(nodes[o], "ctx", "left").join(tries[o].select(F.col("pair").alias("at"), "n"), "at", "left")
+        todo = todo.join(nodes[o], "ctx", "left").join(tries[o].select(F.col("key").alias("at"), "n"), "at", "left")
         left_n, left_d = F.col("total") - F.col("gone"), F.col("own_kinds") - F.col("kinds")
         todo = written(todo.withColumn("left_n", left_n).withColumn("left_d", left_d), "todo")
         found = F.col("n").isNotNull() & (F.col("left_n") > 0)
-        out.append(todo.filter(found).select("pair", (F.col("lp") + F.log10((F.col("n") - 0.5) / F.col("left_n"))).alias("lp"), *more))
+        out.append(todo.filter(found).select("key", (F.col("lp") + F.log10((F.col("n") - 0.5) / F.col("left_n"))).alias("lp"), *more))
         escape = F.when(F.coalesce(F.col("left_n"), F.lit(0)) > 0, F.log10(0.5 * F.col("left_d") / F.col("left_n"))).otherwise(0.0)
-        todo = todo.filter(~found).select("pair", *more, (F.col("lp") + escape).alias("lp"), F.coalesce("own_kinds", F.lit(0)).cast("long").alias("kinds"), "at", F.col("ctx").alias("long_ctx"))
+        todo = todo.filter(~found).select("key", *more, (F.col("lp") + escape).alias("lp"), F.coalesce("own_kinds", F.lit(0)).cast("long").alias("kinds"), "at", F.col("ctx").alias("long_ctx"))
         if o:
             # of the next shorter context, the counts of the symbols that this context has
-            mine = tries[o].select(ctx.alias("long_ctx"), suffix(o - 1).alias("pair"))
-            excluded = mine.join(tries[o - 1], "pair").groupBy("long_ctx").agg(F.sum("n").alias("gone"))
-    out.append(todo.select("pair", (F.col("lp") - F.log10(F.greatest(F.lit(SYMBOLS) - F.col("kinds"), F.lit(1)))).alias("lp"), *more))
+            mine = tries[o].select(ctx.alias("long_ctx"), suffix(o - 1).alias("key"))
+            excluded = mine.join(tries[o - 1], "key").groupBy("long_ctx").agg(F.sum("n").alias("gone"))
+    out.append(todo.select("key", (F.col("lp") - F.log10(F.greatest(F.lit(SYMBOLS) - F.col("kinds"), F.lit(1)))).alias("lp"), *more))
     total = out[0]
     for x in out[1:]:
         total = total.unionAll(x)
@@ -286,8 +299,9 @@ def ppm_scores(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: st
 
     # tasks have folded their pairs, so a partial sum before the shuffle would hold them all once more for nothing
     pairs = marked.mapInArrow(_count_pairs(order), "k long, n long, m long").repartition("k").groupBy("k").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-    pairs = written(pairs.withColumn("pair", F.expr(f"unhex(lpad(hex(k), {2 * order + 2}, '0'))")), "pairs")
-    scores = written(pair_scores(pairs, order).select("k", "m", "lp"), "scores")
+    front = 1 << (8 * order + 8)
+    pairs = written(pairs.select((F.col("k") + F.lit(front)).alias("key"), "n", "m"), "pairs")
+    scores = written(key_scores(pairs, order).select((F.col("key") - F.lit(front)).alias("k"), "m", "lp"), "scores")
     kinds = scores.count()
     least = 0
     if kinds > frequent:  # the rest is joined instead

@@ -245,6 +245,34 @@ def test_ppm_pairs_sum_to_one(spark):
         assert sum(10 ** got[context + s] for s in inner) == pytest.approx(1.0)
 
 
+def test_ppm_pairs_are_joined_as_integers(spark):
+    """A packed pair keeps its length and zero bytes, scores as the binary one, and no shuffle carries bytes."""
+    pairs = [(b"a", 2), (b"\0a", 3), (b"\0\0a", 1), (b"ab", 0), (b"xab", 4), (b"zab", 0), (b"", 0)]
+    df = spark.createDataFrame([(bytearray(k), n) for k, n in pairs], "pair binary, n long").withColumn("key", ppm.packed("pair"))
+    keys = {bytes(r["pair"]): r["key"] for r in df.collect()}
+    assert keys == {k: int.from_bytes(b"\1" + k, "big") for k, _ in pairs}
+    top = spark.createDataFrame([(bytearray(b"abcdef\xff"),)], "pair binary").select(ppm.packed("pair").alias("key")).first()["key"]
+    assert top == int.from_bytes(b"\1abcdef\xff", "big") < 1 << 63
+    df = df.filter("length(pair) > 0")
+    by_key = ppm.key_scores(df.select("key", "n"), 2)
+    assert [x.dataType.simpleString() for x in by_key.schema] == ["bigint", "double"]
+    want = {bytes(r["pair"]): r["lp"] for r in ppm.pair_scores(df.select("pair", "n"), 2).collect()}
+    assert {r["key"]: r["lp"] for r in by_key.collect()} == {keys[k]: lp for k, lp in want.items()}
+    plan = by_key._jdf.queryExecution().executedPlan().toString()
+    assert "substring" not in plan and "unhex" not in plan
+
+
+def test_ppm_words_of_other_rows_count_zero(monkeypatch):
+    texts, train = ["a b A", "b c c", None, "a d"], [True, False, True, False]
+    for held in (200_000, 1):
+        monkeypatch.setattr(ppm, "HELD", held)
+        got = collections.Counter()
+        for out in ppm._count_words([pa.RecordBatch.from_arrays([pa.array(texts), pa.array(train)], ["text", "train"])]):
+            for w, c in zip(*(x.to_pylist() for x in out.columns), strict=True):
+                got[w] += c
+        assert dict(got) == {b"a": 2, b"b": 1, ppm.END: 2, b"c": 0, b"d": 0}
+
+
 def test_ppm_frequent_pairs_stay_in_the_task(monkeypatch):
     rng = random.Random(5)
     texts = [" ".join(["again and again", *("".join(rng.choices("abcdefgh", k=5)) for _ in range(60))]) for _ in range(60)]
